@@ -106,9 +106,7 @@ def _before_joining() -> dict[int, str]:
 # Words are runs of letters, digits and vowel marks; the underscore is no letter.
 _WORDS = re.compile("[\\ẁ-ͯؐ-ًؚ-ٰٟۖ-ۜ۟-۪ۤۧۨ-ۭ]+")
 _UNMARKED_WORDS = re.compile("\\w+")
-_MARKS = {o: None for o in [*range(0x0610, 0x061B), *range(0x064B, 0x0653), *range(0x0656, 0x0660), 0x0640, 0x0653, 0x0654, 0x0655, 0x0670, *range(0x06D6, 0x06DD)]}
-_HAS_MARKS = re.compile("[ؐ-ؚـً-ٰٟۖ-ۜ]")
-_ALEF = str.maketrans({"آ": "ا", "أ": "ا", "إ": "ا", "ٱ": "ا"})
+_MARKS = re.compile("[\u0610-\u061a\u0640\u064b-\u065f\u0670\u06d6-\u06dc]+")
 
 
 def marked_words(text: str) -> list[str]:
@@ -119,9 +117,7 @@ def marked_words(text: str) -> list[str]:
 
 def bare_words(text: str) -> list[str]:
     """Words of the consistent form without case, vowel marks, tatweel and the hamza or madda on alef."""
-    t = consistent(text).lower().translate(_ALEF)
-    if _HAS_MARKS.search(t):
-        t = t.translate(_MARKS)
+    t = _MARKS.sub("", consistent(text).lower().replace("أ", "ا").replace("إ", "ا").replace("آ", "ا").replace("ٱ", "ا"))
     return _UNMARKED_WORDS.findall(t.replace("_", " ") if "_" in t else t)
 
 
