@@ -4,8 +4,9 @@
 2. Equal token sets collapse into one class; classes with the same prefix of their ordered set and
    the same size collapse into one group.
 3. Groups meet on a token of their prefixes; size and position filters drop pairs that cannot reach
-   the threshold.
-4. The classes of the remaining groups are verified on their whole sets, and members expand.
+   the threshold. Tokens with long lists meet in a salted join instead.
+4. The classes of the remaining groups are compared by bitmaps, which bound their overlap from above,
+   then verified on their whole sets, and members expand.
 
 All filters are exact, so no pair at or above the threshold is lost. Sets are compared by 64-bit
 hashes of their tokens.
@@ -30,6 +31,11 @@ from marsad.tables import load, role
 EXPAND_PAIRS = 2_500
 #: Buckets are sent in pieces of so many.
 PIECE = 1 << 12
+#: 64-bit words of the bitmap of a token set.
+MAP_WORDS = 8
+#: A token with more groups than this is joined in a salted join rather than within one task.
+LONG_LIST = 2_000
+SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -51,14 +57,14 @@ class Spec:
 
 def tokens_of(texts: list[str], codes: list[int], specs: list[Spec], ids: forms.Ids) -> list[np.ndarray | None]:
     """The distinct hashed tokens of each text; None where it has too few words or no token."""
-    out: list[np.ndarray | None] = []
-    for x, c in zip(texts, codes):
-        spec = specs[c]
-        w = forms.marked_words(x) if x else []
-        if len(w) < max(spec.min_words, spec.run):
-            out.append(None)
+    out: list[np.ndarray | None] = [None] * len(texts)
+    for c, spec in enumerate(specs):
+        least = max(spec.min_words, spec.run)
+        # words and the gaps between them take 2 * least - 1 characters at least
+        mine = [(i, w) for i, x in enumerate(texts) if codes[i] == c and x and len(x) >= 2 * least - 1 and len(w := forms.marked_words(x)) >= least]
+        if not mine:
             continue
-        h = ids.of(w)
+        h = ids.of([y for _, w in mine for y in w])
         m = len(h) - spec.run + 1
         t = np.full(m, c + 1, np.uint64)
         for j in range(spec.run):
@@ -66,10 +72,18 @@ def tokens_of(texts: list[str], codes: list[int], specs: list[Spec], ids: forms.
             t ^= t >> np.uint64(29)
         t *= _ODD2
         t ^= t >> np.uint64(32)
-        out.append(np.unique(t))
+        at = 0
+        for i, w in mine:
+            u = t[at : at + len(w) - spec.run + 1].copy()
+            u.sort()
+            if len(u) > 1:
+                u = u[np.concatenate([_TRUE, u[1:] != u[:-1]])]
+            out[i] = u
+            at += len(w)
     return out
 
 
+_TRUE = np.array([True])
 _ODD, _ODD2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -113,25 +127,141 @@ def token_levels(coded: DataFrame, specs: list[Spec], bits: int) -> np.ndarray:
 
 
 def features(coded: DataFrame, specs: list[Spec], levels: np.ndarray, bits: int) -> DataFrame:
-    """(code, key, text) -> (code, key, n, whole, prefix_hash, prefix): the ordered prefix of each token set."""
+    """(code, key, text) -> (code, key, n, whole, gid, bitmap, prefix).
+
+    ``gid`` names the group of equal code, size and prefix. The prefix itself comes once per group and
+    task, and is null on the other rows, so a group that holds a third of all rows stays small.
+    """
     shared = coded.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = forms.Ids()
+        sent: set[int] = set()
         for b in batches:
             codes, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[] for _ in range(7)]
             for c, k, t in zip(codes, keys, tokens_of(b.column(2).to_pylist(), codes, specs, ids)):
                 if t is None:
                     continue
                 p = int(specs[c].prefix(np.int64(len(t))))
                 order = np.argsort(shared.value[t >> np.uint64(64 - bits)], kind="stable")[:p]
-                prefix = t[order].view(np.int64)
-                for o, v in zip(out, (c, k, len(t), forms.digest128(t.tobytes()), forms.digest128(prefix.tobytes()), prefix)):
+                prefix = t[order].tobytes()
+                gid = forms.digest(f"{c} {len(t)} " + prefix.hex())
+                first = gid not in sent
+                if first:
+                    if len(sent) >= 200_000:
+                        sent.clear()
+                    sent.add(gid)
+                bitmap = np.zeros(MAP_WORDS * 64, np.uint8)
+                bitmap[(t & np.uint64(MAP_WORDS * 64 - 1)).astype(np.int64)] = 1
+                for o, v in zip(out, (c, k, len(t), forms.digest128(t.tobytes()), gid, np.packbits(bitmap).view(np.int64), prefix if first else None)):
                     o.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())))], names=["code", "key", "n", "whole", "prefix_hash", "prefix"])
+            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, kinds)], names=["code", "key", "n", "whole", "gid", "bitmap", "prefix"])
+
+    return coded.mapInArrow(run, "code int, key long, n int, whole binary, gid long, bitmap array<long>, prefix binary")
+
 
-    return coded.mapInArrow(run, "code int, key long, n int, whole binary, prefix_hash binary, prefix array<long>")
+def postings(feats: DataFrame) -> DataFrame:
+    """(token, gid, place): a row per token of a group's prefix; ``place`` packs code, size and position."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            token, gid, place = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for c, n, g, x in zip(*(b.column(j).to_pylist() for j in range(4))):
+                t = np.frombuffer(x, np.int64)
+                token.append(t)
+                gid.append(np.full(len(t), g))
+                place.append(np.arange(len(t)) + ((c << 56) | (n << 28)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (token, gid, place)], names=["token", "gid", "place"])
+
+    return feats.filter("prefix is not null").select("code", "n", "gid", "prefix").mapInArrow(run, "token long, gid long, place long")
+
+
+def meet(gid: tuple, place: tuple, thresholds: np.ndarray) -> np.ndarray:
+    """Which pairs of postings of one token survive the size and position filters."""
+    code = place[0] >> 56
+    n, pos = [(p >> 28) & 0xFFFFFFF for p in place], [p & 0xFFFFFFF for p in place]
+    swap = (n[0] > n[1]) | ((n[0] == n[1]) & (gid[0] > gid[1]))
+    small, large = np.where(swap, n[1], n[0]), np.where(swap, n[0], n[1])
+    at = np.where(swap, pos[1], pos[0])
+    t = thresholds[code]
+    keep = (gid[0] != gid[1]) & (small >= t * large - 1e-9)
+    keep &= at < small - np.ceil(2 * t / (1 + t) * small - 1e-9) + 1
+    keep &= np.minimum(n[0] - pos[0], n[1] - pos[1]) >= np.ceil(t / (1 + t) * (small + large) - 1e-9)
+    return keep
+
+
+def candidates(posts: DataFrame, rules: list[Spec], long_list: int = LONG_LIST) -> DataFrame:
+    """(gid_a, gid_b), gid_a < gid_b, of groups that share a token of their prefixes and pass the filters."""
+    thresholds = np.array([r.threshold for r in rules])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(kind, a, b, place=None):
+            n = len(a)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind)), pa.array(a), pa.array(b), pa.array(np.zeros(n, np.int64) if place is None else place)], names=["token", "gid_a", "gid_b", "place"])
+
+        def pairs(token, gid, place):
+            found = [np.zeros((0, 2), np.int64)]
+            i = np.arange(len(token))
+            step = 1
+            while True:
+                i = i[i + step < len(token)]
+                i = i[token[i] == token[i + step]]
+                if not len(i):
+                    break
+                k = i[meet((gid[i], gid[i + step]), (place[i], place[i + step]), thresholds)]
+                if len(k):
+                    found.append(np.sort(np.column_stack([gid[k], gid[k + step]]), axis=1))
+                step += 1
+            both = np.unique(np.concatenate(found), axis=0)
+            return rows(0, both[:, 0], both[:, 1])
+
+        held = [np.zeros(0, np.int64)] * 3
+        passing = None
+        for b in batches:
+            now = [np.concatenate([h, b.column(j).to_numpy(zero_copy_only=False)]) for j, h in enumerate(held)]
+            if not len(now[0]):
+                continue
+            if passing is not None:
+                end = int(np.searchsorted(now[0], passing, "right"))
+                if end:
+                    yield rows(passing, now[1][:end], now[1][:end], now[2][:end])
+                now = [x[end:] for x in now]
+                if not len(now[0]):
+                    held = now
+                    continue
+                passing = None
+            starts = np.flatnonzero(np.concatenate([_TRUE, now[0][1:] != now[0][:-1]]))
+            lengths = np.diff(np.concatenate([starts, [len(now[0])]]))
+            is_long = np.repeat(lengths > long_list, lengths)
+            last = starts[-1]
+            if is_long[-1]:
+                passing, last = int(now[0][-1]), len(now[0])
+            short = ~is_long
+            short[last:] = False
+            if short.any():
+                yield pairs(*(x[short] for x in now))
+            for s, n in zip(starts[lengths > long_list], lengths[lengths > long_list]):
+                yield rows(int(now[0][s]), now[1][s : s + n], now[1][s : s + n], now[2][s : s + n])
+            held = [x[last:] for x in now]
+        if len(held[0]):
+            yield pairs(*held)
+
+    # tokens are never 0 here: 0 marks a finished pair
+    met = cut(posts.filter("token <> 0").repartition("token").sortWithinPartitions("token").mapInArrow(run, "token long, gid_a long, gid_b long, place long"))
+    hot = met.filter("token <> 0").select("token", F.col("gid_a").alias("gid"), "place")
+    left = hot.select("token", F.pmod("gid", F.lit(SALTS)).alias("salt"), F.col("gid").alias("gid_a"), F.col("place").alias("place_a"))
+    right = hot.select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), F.col("gid").alias("gid_b"), F.col("place").alias("place_b"))
+
+    def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = [b.column(j).to_numpy(zero_copy_only=False) for j in range(4)]
+            k = meet((x[0], x[1]), (x[2], x[3]), thresholds)
+            yield pa.RecordBatch.from_arrays([pa.array(x[0][k]), pa.array(x[1][k])], names=["gid_a", "gid_b"])
+
+    from_hot = left.join(right, ["token", "salt"]).filter("gid_a < gid_b").select("gid_a", "gid_b", "place_a", "place_b").mapInArrow(filtered, "gid_a long, gid_b long")
+    return met.filter("token = 0").select("gid_a", "gid_b").unionByName(from_hot).distinct()
 
 
 class Found:
@@ -161,34 +291,18 @@ def similar(texts: DataFrame, specs: dict[str, Spec]) -> Found:
     bits = sketch_bits(texts)
     levels = token_levels(coded, rules, bits)
     feats = cut(features(coded, rules, levels, bits))
-    light = feats.select("code", "key", "n", "whole", "prefix_hash")
-    members = light.select("code", "key", "whole").distinct()
-    classes = light.groupBy("code", "whole", "n", "prefix_hash").agg(F.min("key").alias("rep"), F.count_distinct("key").alias("copies"))
-    groups = classes.groupBy("code", "n", "prefix_hash").agg(F.min("rep").alias("gid"), F.count("*").alias("width"))
-    classes = cut(classes.join(groups, ["code", "n", "prefix_hash"]).select("code", "gid", "width", "rep", "whole", "n", "copies"))
-
-    threshold = F.element_at(F.array(*(F.lit(r.threshold) for r in rules)), F.col("code") + 1)
-    heads = classes.filter("rep = gid").select("code", F.col("gid").alias("key"), "whole")
-    postings = (
-        feats.join(heads, ["code", "key", "whole"], "left_semi")
-        .select("code", F.col("key").alias("gid"), "n", threshold.alias("t"), F.posexplode("prefix").alias("pos", "token"))
-        .withColumn("index_length", F.col("n") - F.ceil(2 * F.col("t") / (1 + F.col("t")) * F.col("n") - 1e-9).cast("int") + 1)
-    )
-    small = postings.filter("pos < index_length").select("token", "code", "t", F.col("gid").alias("gid_a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
-    large = postings.select("token", F.col("gid").alias("gid_b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
-    needed = F.ceil(F.col("t") / (1 + F.col("t")) * (F.col("n_a") + F.col("n_b")) - 1e-9)
-    candidates = (
-        small.join(large, "token")
-        .filter("gid_a <> gid_b and (n_a < n_b or (n_a = n_b and gid_a < gid_b))")
-        .filter(F.col("n_a") >= F.col("t") * F.col("n_b") - 1e-9)
-        .filter(1 + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1 >= needed)
-        .select("code", "gid_a", "gid_b")
-        .distinct()
-    )
-    inner = classes.filter("width > 1").select("code", F.col("gid").alias("gid_a"), F.col("gid").alias("gid_b")).distinct()
-    a = classes.select("code", F.col("gid").alias("gid_a"), F.col("rep").alias("x"))
-    b = classes.select("code", F.col("gid").alias("gid_b"), F.col("rep").alias("y"))
-    pairs = candidates.join(a, ["code", "gid_a"]).join(b, ["code", "gid_b"]).unionByName(inner.join(a, ["code", "gid_a"]).join(b, ["code", "gid_b"]).filter("x < y"))
+    members = feats.select("code", "key", "whole").distinct()
+    classes = cut(feats.groupBy("code", "gid", "whole", "n").agg(F.min("key").alias("rep"), F.count_distinct("key").alias("copies"), F.first("bitmap").alias("bitmap")))
+    met = candidates(postings(feats), rules)
+    a = classes.select(F.col("gid").alias("gid_a"), "code", F.col("rep").alias("x"), F.col("n").alias("n_a"), F.col("bitmap").alias("map_a"))
+    b = classes.select(F.col("gid").alias("gid_b"), F.col("rep").alias("y"), F.col("n").alias("n_b"), F.col("bitmap").alias("map_b"))
+    wide = classes.groupBy("gid").agg(F.count("*").alias("width")).filter("width > 1").select(F.col("gid").alias("gid_a"), F.col("gid").alias("gid_b"))
+    pairs = met.join(a, "gid_a").join(b, "gid_b").unionByName(wide.join(a, "gid_a").join(b, "gid_b").filter("x < y"))
+    # bits that differ are tokens that only one of the sets has
+    apart = sum((F.bit_count(F.col("map_a")[j].bitwiseXOR(F.col("map_b")[j])) for j in range(MAP_WORDS)), F.lit(0))
+    t = F.element_at(F.array(*(F.lit(r.threshold) for r in rules)), F.col("code") + 1)
+    size = F.col("n_a") + F.col("n_b")
+    pairs = pairs.filter((size - apart) / 2 >= t / (1 + t) * size - 1e-9)
     pairs = cut(pairs.select("code", F.least("x", "y").alias("rep_a"), F.greatest("x", "y").alias("rep_b")))
     return Found(names, classes, members, cut(verified(coded, rules, pairs)))
 

@@ -84,3 +84,14 @@ def test_empty_table_and_extra_columns(spark):
     df = spark.createDataFrame([("a", 1, "a b c d e f", 9, "z"), ("a", 2, "a b c d e f", 9, "z")], SCHEMA + ", code int, whole string")
     assert [tuple(r) for r in neardup.record_pairs(neardup.similar(df, {"a": Spec()})).collect()] == [("a", 1, 2)]
     assert neardup.clusters(neardup.similar(df.limit(0), {"a": Spec()})).count() == 0
+
+
+def test_long_lists_take_the_salted_join(spark, monkeypatch):
+    rows = make(6)
+    specs = {"a": Spec(1, 0.5), "b": Spec(2, 0.5)}
+    texts = spark.createDataFrame(rows, SCHEMA)
+    plain = neardup.candidates
+    monkeypatch.setattr(neardup, "candidates", lambda posts, rules: plain(posts, rules, long_list=2))
+    got = {tuple(r) for r in neardup.record_pairs(neardup.similar(texts, specs)).collect()}
+    want = brute(rows, specs)
+    assert want and got == want
