@@ -129,7 +129,7 @@ def token_levels(coded: DataFrame, specs: list[Spec], bits: int) -> np.ndarray:
 def features(coded: DataFrame, specs: list[Spec], levels: np.ndarray, bits: int) -> DataFrame:
     """(code, key, text) -> (code, key, n, whole, gid, bitmap, prefix).
 
-    ``gid`` names the group of equal code, size and prefix. The prefix itself comes once per group and
+    ``gid`` names the group of equal code, size, prefix and bitmap folded to 64 bits. The prefix itself comes once per group and
     task, and is null on the other rows, so a group that holds a third of all rows stays small.
     """
     shared = coded.sparkSession.sparkContext.broadcast(levels)
@@ -146,15 +146,15 @@ def features(coded: DataFrame, specs: list[Spec], levels: np.ndarray, bits: int)
                 p = int(specs[c].prefix(np.int64(len(t))))
                 order = np.argsort(shared.value[t >> np.uint64(64 - bits)], kind="stable")[:p]
                 prefix = t[order].tobytes()
-                gid = forms.digest(f"{c} {len(t)} " + prefix.hex())
+                # each bit is the parity of how many tokens fall on it, so bits that differ need as many tokens that differ
+                bitmap = np.packbits(np.bincount((t & np.uint64(MAP_WORDS * 64 - 1)).astype(np.int64), minlength=MAP_WORDS * 64).astype(np.uint8) & 1).view(np.int64)
+                gid = forms.digest(f"{c} {len(t)} {np.bitwise_xor.reduce(bitmap)} " + prefix.hex())
                 first = gid not in sent
                 if first:
                     if len(sent) >= 200_000:
                         sent.clear()
                     sent.add(gid)
-                bitmap = np.zeros(MAP_WORDS * 64, np.uint8)
-                bitmap[(t & np.uint64(MAP_WORDS * 64 - 1)).astype(np.int64)] = 1
-                for o, v in zip(out, (c, k, len(t), forms.digest128(t.tobytes()), gid, np.packbits(bitmap).view(np.int64), prefix if first else None)):
+                for o, v in zip(out, (c, k, len(t), forms.digest128(t.tobytes()), gid, bitmap, prefix if first else None)):
                     o.append(v)
             kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, kinds)], names=["code", "key", "n", "whole", "gid", "bitmap", "prefix"])
@@ -163,23 +163,28 @@ def features(coded: DataFrame, specs: list[Spec], levels: np.ndarray, bits: int)
 
 
 def postings(feats: DataFrame) -> DataFrame:
-    """(token, gid, place): a row per token of a group's prefix; ``place`` packs code, size and position."""
+    """(token, gid, place, brief): a row per token of a group's prefix.
+
+    ``place`` packs code, size and position; ``brief`` is the bitmap folded to 64 bits.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            token, gid, place = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for c, n, g, x in zip(*(b.column(j).to_pylist() for j in range(4))):
+            out = [[np.zeros(0, np.int64)] for _ in range(4)]
+            for c, n, g, x, m in zip(*(b.column(j).to_pylist() for j in range(5))):
                 t = np.frombuffer(x, np.int64)
-                token.append(t)
-                gid.append(np.full(len(t), g))
-                place.append(np.arange(len(t)) + ((c << 56) | (n << 28)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (token, gid, place)], names=["token", "gid", "place"])
+                for o, v in zip(out, (t, np.full(len(t), g), np.arange(len(t)) + ((c << 56) | (n << 28)), np.full(len(t), m))):
+                    o.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in out], names=["token", "gid", "place", "brief"])
 
-    return feats.filter("prefix is not null").select("code", "n", "gid", "prefix").mapInArrow(run, "token long, gid long, place long")
+    brief = F.col("bitmap")[0]
+    for j in range(1, MAP_WORDS):
+        brief = brief.bitwiseXOR(F.col("bitmap")[j])
+    return feats.filter("prefix is not null").select("code", "n", "gid", "prefix", brief.alias("brief")).mapInArrow(run, "token long, gid long, place long, brief long")
 
 
-def meet(gid: tuple, place: tuple, thresholds: np.ndarray) -> np.ndarray:
-    """Which pairs of postings of one token survive the size and position filters."""
+def meet(gid: tuple, place: tuple, brief: tuple, thresholds: np.ndarray) -> np.ndarray:
+    """Which pairs of postings of one token survive the size, position and bitmap filters."""
     code = place[0] >> 56
     n, pos = [(p >> 28) & 0xFFFFFFF for p in place], [p & 0xFFFFFFF for p in place]
     swap = (n[0] > n[1]) | ((n[0] == n[1]) & (gid[0] > gid[1]))
@@ -188,7 +193,9 @@ def meet(gid: tuple, place: tuple, thresholds: np.ndarray) -> np.ndarray:
     t = thresholds[code]
     keep = (gid[0] != gid[1]) & (small >= t * large - 1e-9)
     keep &= at < small - np.ceil(2 * t / (1 + t) * small - 1e-9) + 1
-    keep &= np.minimum(n[0] - pos[0], n[1] - pos[1]) >= np.ceil(t / (1 + t) * (small + large) - 1e-9)
+    needed = np.ceil(t / (1 + t) * (small + large) - 1e-9)
+    keep &= np.minimum(n[0] - pos[0], n[1] - pos[1]) >= needed
+    keep &= (small + large - np.bitwise_count(brief[0] ^ brief[1])) / 2 >= needed
     return keep
 
 
@@ -197,11 +204,10 @@ def candidates(posts: DataFrame, rules: list[Spec], long_list: int = LONG_LIST)
     thresholds = np.array([r.threshold for r in rules])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(kind, a, b, place=None):
-            n = len(a)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind)), pa.array(a), pa.array(b), pa.array(np.zeros(n, np.int64) if place is None else place)], names=["token", "gid_a", "gid_b", "place"])
+        def rows(token, a, b, place):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), token)), pa.array(a), pa.array(b), pa.array(place)], names=["token", "gid_a", "gid_b", "place"])
 
-        def pairs(token, gid, place):
+        def pairs(token, gid, place, brief):
             found = [np.zeros((0, 2), np.int64)]
             i = np.arange(len(token))
             step = 1
@@ -210,14 +216,14 @@ def candidates(posts: DataFrame, rules: list[Spec], long_list: int = LONG_LIST)
                 i = i[token[i] == token[i + step]]
                 if not len(i):
                     break
-                k = i[meet((gid[i], gid[i + step]), (place[i], place[i + step]), thresholds)]
+                k = i[meet((gid[i], gid[i + step]), (place[i], place[i + step]), (brief[i], brief[i + step]), thresholds)]
                 if len(k):
                     found.append(np.sort(np.column_stack([gid[k], gid[k + step]]), axis=1))
                 step += 1
             both = np.unique(np.concatenate(found), axis=0)
-            return rows(0, both[:, 0], both[:, 1])
+            return rows(0, both[:, 0], both[:, 1], np.zeros(len(both), np.int64))
 
-        held = [np.zeros(0, np.int64)] * 3
+        held = [np.zeros(0, np.int64)] * 4
         passing = None
         for b in batches:
             now = [np.concatenate([h, b.column(j).to_numpy(zero_copy_only=False)]) for j, h in enumerate(held)]
@@ -226,7 +232,7 @@ def candidates(posts: DataFrame, rules: list[Spec], long_list: int = LONG_LIST)
             if passing is not None:
                 end = int(np.searchsorted(now[0], passing, "right"))
                 if end:
-                    yield rows(passing, now[1][:end], now[1][:end], now[2][:end])
+                    yield rows(passing, now[1][:end], now[3][:end], now[2][:end])
                 now = [x[end:] for x in now]
                 if not len(now[0]):
                     held = now
@@ -243,24 +249,24 @@ def candidates(posts: DataFrame, rules: list[Spec], long_list: int = LONG_LIST)
             if short.any():
                 yield pairs(*(x[short] for x in now))
             for s, n in zip(starts[lengths > long_list], lengths[lengths > long_list]):
-                yield rows(int(now[0][s]), now[1][s : s + n], now[1][s : s + n], now[2][s : s + n])
+                yield rows(int(now[0][s]), now[1][s : s + n], now[3][s : s + n], now[2][s : s + n])
             held = [x[last:] for x in now]
         if len(held[0]):
             yield pairs(*held)
 
-    # tokens are never 0 here: 0 marks a finished pair
-    met = cut(posts.filter("token <> 0").repartition("token").sortWithinPartitions("token").mapInArrow(run, "token long, gid_a long, gid_b long, place long"))
-    hot = met.filter("token <> 0").select("token", F.col("gid_a").alias("gid"), "place")
-    left = hot.select("token", F.pmod("gid", F.lit(SALTS)).alias("salt"), F.col("gid").alias("gid_a"), F.col("place").alias("place_a"))
-    right = hot.select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), F.col("gid").alias("gid_b"), F.col("place").alias("place_b"))
+    # token 0 marks a finished pair; rows of long lists have the bitmap in the place of the second group
+    met = cut(posts.withColumn("token", F.when(F.col("token") == 0, 1).otherwise(F.col("token"))).repartition("token").sortWithinPartitions("token").mapInArrow(run, "token long, gid_a long, gid_b long, place long"))
+    hot = met.filter("token <> 0").select("token", F.col("gid_a").alias("gid"), "place", F.col("gid_b").alias("brief"))
+    left = hot.select("token", F.pmod("gid", F.lit(SALTS)).alias("salt"), F.col("gid").alias("gid_a"), F.col("place").alias("place_a"), F.col("brief").alias("brief_a"))
+    right = hot.select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), F.col("gid").alias("gid_b"), F.col("place").alias("place_b"), F.col("brief").alias("brief_b"))
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [b.column(j).to_numpy(zero_copy_only=False) for j in range(4)]
-            k = meet((x[0], x[1]), (x[2], x[3]), thresholds)
+            x = [b.column(j).to_numpy(zero_copy_only=False) for j in range(6)]
+            k = meet((x[0], x[1]), (x[2], x[3]), (x[4], x[5]), thresholds)
             yield pa.RecordBatch.from_arrays([pa.array(x[0][k]), pa.array(x[1][k])], names=["gid_a", "gid_b"])
 
-    from_hot = left.join(right, ["token", "salt"]).filter("gid_a < gid_b").select("gid_a", "gid_b", "place_a", "place_b").mapInArrow(filtered, "gid_a long, gid_b long")
+    from_hot = left.join(right, ["token", "salt"]).filter("gid_a < gid_b").select("gid_a", "gid_b", "place_a", "place_b", "brief_a", "brief_b").mapInArrow(filtered, "gid_a long, gid_b long")
     return met.filter("token = 0").select("gid_a", "gid_b").unionByName(from_hot).distinct()
 
 
@@ -304,18 +310,58 @@ def similar(texts: DataFrame, specs: dict[str, Spec]) -> Found:
     size = F.col("n_a") + F.col("n_b")
     pairs = pairs.filter((size - apart) / 2 >= t / (1 + t) * size - 1e-9)
     pairs = cut(pairs.select("code", F.least("x", "y").alias("rep_a"), F.greatest("x", "y").alias("rep_b")))
-    return Found(names, classes, members, cut(verified(coded, rules, pairs)))
+    return Found(names, classes, members, cut(verified(coded, rules, pairs, min(27, bits + 2))))
+
 
+def key_bits(code: list[int], key: list[int], bits: int) -> np.ndarray:
+    k = np.array(key, np.int64).view(np.uint64) * _ODD + np.array(code, np.uint64) * _ODD2
+    return ((k ^ (k >> np.uint64(31))) * _ODD >> np.uint64(64 - bits)).astype(np.int64)
 
-def verified(coded: DataFrame, rules: list[Spec], pairs: DataFrame) -> DataFrame:
-    """Keep the pairs whose whole sets reach the threshold; only texts of candidates are read into sets again."""
-    wanted = pairs.select("code", F.explode(F.array("rep_a", "rep_b")).alias("key")).distinct()
+
+def key_filter(keys: DataFrame, bits: int) -> np.ndarray:
+    """A table of 2 ** bits bits, as bytes, with the bits of all (code, key) set: a filter of fixed size."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = [np.zeros(0, np.int64)]
+        for b in batches:
+            seen.append(np.unique(key_bits(b.column(0).to_pylist(), b.column(1).to_pylist(), bits)))
+            if len(seen) > 50:
+                seen = [np.unique(np.concatenate(seen))]
+        at = np.unique(np.concatenate(seen))
+        pieces = at // (PIECE * 8)
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(pieces)), pa.array([(at[pieces == p] % (PIECE * 8)).astype(np.uint16).tobytes() for p in np.unique(pieces)], pa.binary())], names=["piece", "at"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps: dict[int, np.ndarray] = {}
+        for b in batches:
+            for p, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                maps.setdefault(p, np.zeros(PIECE * 8, np.uint8))[np.frombuffer(x, np.uint16)] = 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(maps), pa.int64()), pa.array([np.packbits(m).tobytes() for m in maps.values()], pa.binary())], names=["piece", "map"])
+
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for r in keys.mapInArrow(mark, "piece long, at binary").repartition("piece").mapInArrow(join, "piece long, map binary").toLocalIterator():
+        out[r.piece * PIECE : (r.piece + 1) * PIECE] = np.frombuffer(r.map, np.uint8)
+    return out
+
+
+def verified(coded: DataFrame, rules: list[Spec], pairs: DataFrame, bits: int) -> DataFrame:
+    """Keep the pairs whose whole sets reach the threshold.
+
+    Texts are read again; a filter of fixed size lets those of candidates through, and hardly any others,
+    so no text is shuffled.
+    """
+    filter_ = coded.sparkSession.sparkContext.broadcast(key_filter(pairs.select("code", F.explode(F.array("rep_a", "rep_b")).alias("key")), bits))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = forms.Ids()
         for b in batches:
+            if not b.num_rows:
+                continue
             codes, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
-            rows = [(c, k, t.tobytes()) for c, k, t in zip(codes, keys, tokens_of(b.column(2).to_pylist(), codes, rules, ids)) if t is not None]
+            at = key_bits(codes, keys, bits)
+            keep = (filter_.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            texts = [x if k else None for x, k in zip(b.column(2).to_pylist(), keep)]
+            rows = [(c, k, t.tobytes()) for c, k, t in zip(codes, keys, tokens_of(texts, codes, rules, ids)) if t is not None]
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.int64(), pa.binary()))], names=["code", "key", "tokens"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,7 +374,7 @@ def verified(coded: DataFrame, rules: list[Spec], pairs: DataFrame) -> DataFrame
                     rows.append((c, x, y, both / either))
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.float64()))], names=["code", "rep_a", "rep_b", "similarity"])
 
-    held = coded.join(wanted, ["code", "key"], "left_semi").select("code", "key", "text").mapInArrow(sets, "code int, key long, tokens binary").dropDuplicates(["code", "key"])
+    held = coded.filter("key is not null").mapInArrow(sets, "code int, key long, tokens binary").dropDuplicates(["code", "key"])
     one = held.select("code", F.col("key").alias("rep_a"), F.col("tokens").alias("tokens_a"))
     two = held.select("code", F.col("key").alias("rep_b"), F.col("tokens").alias("tokens_b"))
     return pairs.join(one, ["code", "rep_a"]).join(two, ["code", "rep_b"]).select("code", "rep_a", "rep_b", "tokens_a", "tokens_b").mapInArrow(compare, "code int, rep_a long, rep_b long, similarity double")
