@@ -195,7 +195,7 @@ def meet(gid: tuple, place: tuple, brief: tuple, thresholds: np.ndarray) -> np.n
     keep &= at < small - np.ceil(2 * t / (1 + t) * small - 1e-9) + 1
     needed = np.ceil(t / (1 + t) * (small + large) - 1e-9)
     keep &= np.minimum(n[0] - pos[0], n[1] - pos[1]) >= needed
-    keep &= (small + large - np.bitwise_count(brief[0] ^ brief[1])) / 2 >= needed
+    keep &= (small + large - np.bitwise_count((brief[0] ^ brief[1]).view(np.uint64))) / 2 >= needed
     return keep
 
 
