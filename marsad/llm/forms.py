@@ -10,9 +10,11 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 # Compatibility tags of the Unicode Character Database whose mapping shows the same.
@@ -121,10 +123,18 @@ def bare_words(text: str) -> list[str]:
     return _UNMARKED_WORDS.findall(t.replace("_", " ") if "_" in t else t)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1_000, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches cut into pieces of at most ``rows`` rows and about ``size`` bytes, so that a task's words stay few in memory."""
+    for b in batches:
+        step = max(1, min(rows, int(size * b.num_rows / max(1, b.nbytes))))
+        for i in range(0, b.num_rows, step):
+            yield b.slice(i, step)
+
+
 class Ids(dict):
     """Word -> 64-bit id; forgets everything when it holds too much, so memory stays bounded."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 

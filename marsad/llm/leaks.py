@@ -198,7 +198,7 @@ def leaks_of_block(texts: DataFrame, items: list[tuple[str, str]], plan: Plan) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix: Index = index.value
         ids = forms.Ids()
-        for b in batches:
+        for b in forms.slices(batches):
             rows = [(t, k, w) for t, k, x in zip(*(b.column(i).to_pylist() for i in range(3))) if x and len(w := forms.bare_words(x)) >= plan.window]
             lengths = [len(w) for *_, w in rows]
             starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)

@@ -99,10 +99,11 @@ def token_levels(coded: DataFrame, specs: list[Spec], bits: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = forms.Ids()
         total = np.zeros(1 << bits, np.uint32)
-        for b in batches:
+        for b in forms.slices(batches):
             sets = [t for t in tokens_of(b.column(2).to_pylist(), b.column(0).to_pylist(), specs, ids) if t is not None]
             if sets:
-                total += np.bincount((np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+                at, n = np.unique((np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
+                total[at] += n.astype(np.uint32)
         pieces = total.reshape(-1, PIECE)
         some = np.flatnonzero(pieces.any(axis=1))
         # the narrowest type that fits keeps the shuffle small
@@ -137,7 +138,7 @@ def features(coded: DataFrame, specs: list[Spec], levels: np.ndarray, bits: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = forms.Ids()
         sent: set[int] = set()
-        for b in batches:
+        for b in forms.slices(batches):
             codes, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
             out: list[list] = [[] for _ in range(7)]
             for c, k, t in zip(codes, keys, tokens_of(b.column(2).to_pylist(), codes, specs, ids)):
@@ -169,7 +170,7 @@ def postings(feats: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in forms.slices(batches):
             out = [[np.zeros(0, np.int64)] for _ in range(4)]
             for c, n, g, x, m in zip(*(b.column(j).to_pylist() for j in range(5))):
                 t = np.frombuffer(x, np.int64)
@@ -354,7 +355,7 @@ def verified(coded: DataFrame, rules: list[Spec], pairs: DataFrame, bits: int) -
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = forms.Ids()
-        for b in batches:
+        for b in forms.slices(batches):
             if not b.num_rows:
                 continue
             codes, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -365,7 +366,7 @@ def verified(coded: DataFrame, rules: list[Spec], pairs: DataFrame, bits: int) -
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.int64(), pa.binary()))], names=["code", "key", "tokens"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in forms.slices(batches):
             rows = []
             for c, x, y, s, t in zip(*(b.column(j).to_pylist() for j in range(5))):
                 p, q = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)

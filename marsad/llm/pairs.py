@@ -119,7 +119,7 @@ def learn_frames(replies: DataFrame) -> Frames:
             return pa.RecordBatch.from_arrays([*(pa.array([x[i] for x in k], pa.string()) for i in range(3)), pa.array(list(c.values()), pa.int64())], names=["kind", "opening", "word", "n"])
 
         c: Counter = Counter()
-        for b in batches:
+        for b in forms.slices(batches):
             for x in b.column(0).to_pylist():
                 if not x:
                     continue
@@ -139,7 +139,7 @@ def learn_frames(replies: DataFrame) -> Frames:
                             c["has", o, z] += 1
                     for z in w:
                         c["word", "", z] += 1
-            if len(c) > 500_000:
+            if len(c) > 150_000:
                 yield flush(c)
                 c = Counter()
         yield flush(c)
@@ -362,7 +362,7 @@ def cast_votes(pairs: DataFrame, frames: Frames, idf: dict[str, float]) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exemplars = residue.Exemplars(idf)
-        for b in batches:
+        for b in forms.slices(batches):
             left: list[bool] = []
             out: dict[str, list[int]] = {d: [] for d in DEFECTS}
             for p, r in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):

@@ -342,7 +342,7 @@ def exemplar_idf(texts: DataFrame) -> dict[str, float]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c: Counter = Counter()
         n = 0
-        for b in batches:
+        for b in forms.slices(batches):
             for x in b.column(0).to_pylist():
                 if x:
                     n += 1
@@ -366,7 +366,7 @@ def residue(texts: DataFrame, idf: dict[str, float] | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exemplars = Exemplars(idf)
-        for b in batches:
+        for b in forms.slices(batches):
             out: list[list] = [[], [], [], [], []]
             for j, x in enumerate(b.column(3).to_pylist()):
                 if not x:

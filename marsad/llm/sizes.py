@@ -10,6 +10,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from marsad.llm import forms
+
 #: The vocabulary file; callers may name another one of the same kind.
 TOKENIZER = os.environ.get("MARSAD_TOKENIZER", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 
@@ -20,7 +22,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 class Counter(dict):
     """Piece of text -> number of tokens. Merges never cross pieces, so sizes add up exactly; memory is bounded."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 150_000):
         import regex
         import tiktoken
 
@@ -56,7 +58,7 @@ def token_sizes(df: DataFrame, keep: list[str], text: str = "text", path: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(path)
-        for b in batches:
+        for b in forms.slices(batches):
             n = pa.array([c.size(x) if x else 0 for x in b.column(len(keep)).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], n], names=[*keep, "n_tokens"])
 

@@ -39,7 +39,7 @@ def sentence_words(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = forms.Ids()
-        for b in batches:
+        for b in forms.slices(batches):
             out: list[list] = [[], [], []]
             for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not x or x.isspace():
@@ -115,14 +115,14 @@ def counted(rows: DataFrame, subjects: int, per_batch) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((subjects, BUCKETS))
-        for b in batches:
+        for b in forms.slices(batches):
             if b.num_rows:
                 total += per_batch(Batch(b))
         yield pa.RecordBatch.from_arrays([pa.array(range(subjects), pa.int32()), pa.array([t.astype(np.float32).tobytes() for t in total], pa.binary())], names=["c", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
-        for b in batches:
+        for b in forms.slices(batches):
             for c, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 sums[c] = sums.get(c, 0) + np.frombuffer(x, np.float32).astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["c", "counts"])
@@ -227,7 +227,7 @@ def train(rows: DataFrame, subjects: list[str], rounds: int = EM_ROUNDS) -> Mode
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = np.zeros((k, BINS, 2), np.int64)
-        for b in batches:
+        for b in forms.slices(batches):
             if not b.num_rows:
                 continue
             batch = Batch(b)
@@ -255,7 +255,7 @@ def classify(rows: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
-        for b in batches:
+        for b in forms.slices(batches):
             if not b.num_rows:
                 continue
             batch = Batch(b)

@@ -35,7 +35,7 @@ def skeletons(texts: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in forms.slices(batches):
             table, key, skel, raw = [], [], [], []
             for t, k, x in zip(*(b.column(i).to_pylist() for i in range(3))):
                 if x is None or not (y := forms.consistent(x)).strip():
