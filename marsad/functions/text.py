@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Tokens are runs of letters, numbers and the underscore; marks do not belong to them.
@@ -60,6 +60,11 @@ def shingles(w: Column, n: int) -> Column:
     return F.when(F.size(w) >= n, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 
+def with_shingles(df: DataFrame, text: Column, n: int, name: str) -> DataFrame:
+    """Add the distinct runs of n words of a text; the words become a column first, so they are cut only once a row."""
+    return df.withColumn("_words", words(text)).withColumn(name, shingles(F.col("_words"), n)).drop("_words")
+
+
 def shingles_sql(w: str, n: int) -> str:
     return f"list_distinct([array_to_string({w}[i:i + {n - 1}], ' ') for i in range(1, len({w}) - {n - 2})])"
 

@@ -26,7 +26,7 @@ def documents(spark, sf):
 
 def clone_pairs_of(df):
     """Pairs by Jaccard of five-word runs; equal normalized texts meet their first copy."""
-    d = df.withColumn("tokens", T.shingles(T.words(F.col("text")), 5))
+    d = T.with_shingles(df, F.col("text"), 5, "tokens")
     close = jaccard_pairs(d, THRESHOLD).select("a", "b")
     return close.unionByName(equal_pairs(d.select("id", T.normalized(F.col("text")).alias("value")))).distinct()
 
@@ -50,7 +50,7 @@ j AS (SELECT a, b FROM i JOIN n p ON p.id = a JOIN n q ON q.id = b WHERE hits /
 
 def long_close(spark, sf):
     d = documents(spark, sf).filter(T.word_count(F.col("text")) >= 40)
-    return d, jaccard_pairs(d.withColumn("tokens", T.shingles(T.words(T.without_links(F.col("text"))), 5)), THRESHOLD).select("a", "b")
+    return d, jaccard_pairs(T.with_shingles(d, T.without_links(F.col("text")), 5, "tokens"), THRESHOLD).select("a", "b")
 
 
 @query("repetition_first_wins", CLOSE + " SELECT b AS doc_id, min(a) AS first_doc, count(*) AS n_earlier FROM j GROUP BY b")
@@ -103,8 +103,8 @@ def normalized_duplicates(spark, sf):
 def reference_overlap_12gram(spark, sf):
     """Answers that share a run of twelve words with a style reference."""
     m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull()).select("message_id", "content").distinct()
-    a = m.select("message_id", F.explode(T.shingles(T.words(F.col("content")), 12)).alias("gram"))
-    r = load(spark, sf, "hybrid_references").filter("assistant is not null").select(F.col("id").alias("reference_id"), F.explode(T.shingles(T.words(F.col("assistant")), 12)).alias("gram")).distinct()
+    a = T.with_shingles(m, F.col("content"), 12, "grams").select("message_id", F.explode("grams").alias("gram"))
+    r = T.with_shingles(load(spark, sf, "hybrid_references").filter("assistant is not null"), F.col("assistant"), 12, "grams").select(F.col("id").alias("reference_id"), F.explode("grams").alias("gram")).distinct()
     return a.join(r, "gram").groupBy("message_id", "reference_id").agg(F.count("*").alias("n_shared"))
 
 
