@@ -61,8 +61,11 @@ def shingles(w: Column, n: int) -> Column:
 
 
 def with_shingles(df: DataFrame, text: Column, n: int, name: str) -> DataFrame:
-    """Add the distinct runs of n words of a text; the words become a column first, so they are cut only once a row."""
-    return df.withColumn("_words", words(text)).withColumn(name, shingles(F.col("_words"), n)).drop("_words")
+    """Add the distinct runs of n words of a text.
+
+    The words are bound as a lambda variable, so that no rewrite of the plan cuts them again for every run.
+    """
+    return df.withColumn(name, F.transform(F.array(words(text)), lambda w: shingles(w, n))[0])
 
 
 def shingles_sql(w: str, n: int) -> str:

@@ -15,7 +15,7 @@ def jaccard_pairs(df: DataFrame, threshold: float) -> DataFrame:
     n - ceil(t * n) + 1 tokens, so only those meet, and survivors are compared on their whole sets. Null
     and empty sets meet nothing. Ids must be unique.
     """
-    base = df.select("id", "tokens").filter(F.size("tokens") > 0)
+    base = df.select("id", "tokens")
     exploded = base.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     counts = exploded.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     # tokens of a single row stand first in any order and meet nothing: only their number matters
