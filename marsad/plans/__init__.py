@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("similar", "planning", "explorer", "scoring", "screening")
+MODULES = ("similar", "planning", "explorer", "scoring", "screening", "records")
 
 
 def _load():
