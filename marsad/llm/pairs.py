@@ -66,12 +66,26 @@ _LETTERS = {k: re.compile("[" + v + "]") for k, v in MARK_LETTERS.items()}
 _ARABIC, _LATIN = re.compile("[ء-يپچژگکیےںہھٹڈڑ]"), re.compile("[A-Za-zÀ-ɏ]")
 
 
-def language(text: str) -> tuple[str, dict[str, float]]:
-    """(script, share of words that are frequent words of each language) of a text without its code."""
+_LANGUAGES: dict[str, list[str]] = {}
+for _k, _s in _STOPS.items():
+    for _w in _s:
+        _LANGUAGES.setdefault(_w, []).append(_k)
+_ANY_LETTER = re.compile("[" + "".join(MARK_LETTERS.values()) + "]")
+
+
+def script(text: str) -> str:
+    """The script of most letters; none below three letters."""
     a, l = len(_ARABIC.findall(text)), len(_LATIN.findall(text))
-    script = "" if a + l < 3 else "arabic" if a >= l else "latin"
-    w = forms.bare_words(text)
-    return script, {k: sum(x in s for x in w) / len(w) for k, s in _STOPS.items()} if w else {}
+    return "" if a + l < 3 else "arabic" if a >= l else "latin"
+
+
+def languages(words: list[str]) -> dict[str, float]:
+    """The share of words that are frequent words of each language."""
+    n = dict.fromkeys(_STOPS, 0)
+    for w in words:
+        for k in _LANGUAGES.get(w, ()):
+            n[k] += 1
+    return {k: v / len(words) for k, v in n.items()} if words else {}
 
 
 def sentences(text: str) -> list[str]:
@@ -168,22 +182,34 @@ def learn_frames(replies: DataFrame) -> Frames:
 ABSTAIN, NO, YES = 0, 1, 2
 
 
-def votes(prompt: str | None, reply: str | None, frames: Frames) -> dict[str, list[int]]:
-    """The labelling functions' votes for each defect; every list has a fixed length."""
+def shown_text(reply: str | None) -> str:
+    """The consistent form of a reply without its code."""
     text = forms.consistent(reply or "")
-    bare_text = "" if "`" not in text else _FENCE.sub(" ", text)
-    shown = bare_text or text
+    return (_FENCE.sub(" ", text) if "`" in text else "") or text
+
+
+def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str] | None = None) -> dict[str, list[int]]:
+    """The labelling functions' votes for each defect; every list has a fixed length.
+
+    ``words`` are the bare words of the reply's shown text, where the caller has them.
+    """
+    text, shown = forms.consistent(reply or ""), shown_text(reply)
     blank = _SHOWN.search(text) is None
     v = {"empty": [YES if blank else NO, YES if not text.strip(" \t\n.…-*#؟?‏​—") else ABSTAIN]}
     if blank:
         return v | {d: [NO] * n for d, n in (("refusal", 3), ("wrong_language", 3), ("echo", 3), ("truncated", 4))}
-    q, a = plain(prompt or ""), plain(shown)
+    bare_q, bare_a = forms.bare_words(prompt or ""), forms.bare_words(shown) if words is None else words
+    q, a = ["0" if w.isdigit() else w for w in bare_q], ["0" if w.isdigit() else w for w in bare_a]
     asked = set(q)
 
     # refusal
-    clauses = [" ".join(w) for c in _CLAUSE.split(shown) if (w := plain(c))]
-    kinds = ["declines" if DECLINES.search(c) else "courtesy" if COURTESY.search(c) else "other" for c in clauses]
-    other = [w for c, k in zip(clauses, kinds) if k == "other" for w in c.split() if w not in asked]
+    # clauses matter where something declines, or where the reply is short or begins with courtesy
+    if len(a) < 40 or DECLINES.search(" ".join(a)):
+        clauses = [" ".join(w) for c in _CLAUSE.split(shown) if (w := plain(c))]
+        kinds = ["declines" if DECLINES.search(c) else "courtesy" if COURTESY.search(c) else "other" for c in clauses]
+        other = [w for c, k in zip(clauses, kinds) if k == "other" for w in c.split() if w not in asked]
+    else:
+        kinds, other = ["other"], [w for w in a if w not in asked]
     declined = "declines" in kinds
     v["refusal"] = [
         YES if declined else NO,
@@ -195,14 +221,14 @@ def votes(prompt: str | None, reply: str | None, frames: Frames) -> dict[str, li
     if not prompt or OTHER_LANGUAGE_WANTED.search(prompt) or len(a) < 3:
         v["wrong_language"] = [NO, ABSTAIN, ABSTAIN]
     else:
-        (sq, lq), (sa, la) = language(prompt), language(shown)
+        sq, lq, sa, la = script(prompt), languages(bare_q), script(shown), languages(bare_a)
         best_q, best_a = max(lq, key=lq.get, default=""), max(la, key=la.get, default="")
         mine = la.get(best_q, 0.0)
         sure = bool(best_a) and la[best_a] >= 0.12
         # the prompt's language among those of its script, as a prompt may be too short to tell
         family = {"arabic": ("ar",), "latin": ("en", "fr")}.get(sq, ())
         known = best_q if lq.get(best_q, 0) >= 0.12 else family[0] if len(family) == 1 else ""
-        marked = {k for k, r in _LETTERS.items() if len(r.findall(shown)) >= 2 and (k not in ("fa", "ur") or sa == "arabic") and not r.search(prompt)}
+        marked = set() if _ANY_LETTER.search(shown) is None else {k for k, r in _LETTERS.items() if len(r.findall(shown)) >= 2 and (k not in ("fa", "ur") or sa == "arabic") and not r.search(prompt)}
         v["wrong_language"] = [
             ABSTAIN if not sq or not sa else YES if sq != sa else NO,
             YES if sure and known and best_a != known and la[best_a] > la.get(known, 0) + 0.06 else NO if known and (mine >= 0.06 or la.get(known, 0) >= 0.06) else ABSTAIN,
@@ -366,9 +392,10 @@ def cast_votes(pairs: DataFrame, frames: Frames, idf: dict[str, float]) -> DataF
             left: list[bool] = []
             out: dict[str, list[int]] = {d: [] for d in DEFECTS}
             for p, r in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                kind = residue.judge(r, exemplars)[0] if r else None
+                words = forms.bare_words(shown_text(r)) if r else []
+                kind = residue.judge(r, exemplars, words=words if "`" not in r else None)[0] if r else None
                 left.append(kind is not None and not (kind == "slot" and p is not None and blanks.search(p) is not None))
-                for d, x in votes(p, r, shared.value).items():
+                for d, x in votes(p, r, shared.value, words).items():
                     out[d].append(code(x))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(left, pa.bool_()), *(pa.array(out[d], pa.int32()) for d in DEFECTS)], names=["record_table", "record_key", "residue", *DEFECTS])
 

@@ -221,7 +221,11 @@ _LATIN = set(LATIN_FILLER.split())
 
 def tokens(text: str) -> list[str]:
     """Bare words; numbers become 0, long numbers and codes 0x, so that an exemplar stands for all of them."""
-    return [("0x" if len(w) > 4 else "0") if w.isdigit() else "0x" if w[0] in "0123456789abcdef" and _HEX.match(w) else w for w in forms.bare_words(text)]
+    return masked(forms.bare_words(text))
+
+
+def masked(words: list[str]) -> list[str]:
+    return [("0x" if len(w) > 4 else "0") if w.isdigit() else "0x" if w[0] in "0123456789abcdef" and _HEX.match(w) else w for w in words]
 
 
 class Exemplars:
@@ -247,6 +251,8 @@ class Exemplars:
             for w in anchors:
                 self.index[w].append(i)
         self.anchors = set(self.index)
+        self.words = [set(t) for _, t in self.texts]
+        self.enough = [0.7 * sum(self.idf[w] for w in words) for words in self.words]
 
     def weigh(self, t: list[str]) -> dict:
         f: dict = {}
@@ -267,8 +273,8 @@ class Exemplars:
         places: dict[str, list[int]] | None = None
         for i in candidates:
             kind, e = self.texts[i]
-            words = set(e)
-            if sum(self.idf[w] for w in words & here) < 0.7 * sum(self.idf[w] for w in words):
+            words = self.words[i]
+            if sum(map(self.idf.__getitem__, words & here)) < self.enough[i]:
                 continue
             if places is None:
                 places = defaultdict(list)
@@ -303,17 +309,17 @@ def latin_run(t: list[str], least: int = 4) -> bool:
     return False
 
 
-def judge(text: str, exemplars: Exemplars, coverage: float = 0.7) -> tuple[str | None, float]:
+def judge(text: str, exemplars: Exemplars, coverage: float = 0.7, words: list[str] | None = None) -> tuple[str | None, float]:
     """(kind, share of the value that residue covers); kind is slot, filler, notice or null for real text.
 
     Filler counts alone or within real text. A notice counts only where residue and menu words
-    cover ``coverage`` or more of the whole value, so text that talks about errors stays.
+    cover ``coverage`` or more of the whole value, so text that talks about errors stays. ``words`` are the
+    bare words of the text without its code, where the caller has them.
     """
     found = slots(text)
     if found:
         return "slot", 1.0
-    bare = _CODE.sub(" ", text) if "`" in text else text
-    t = tokens(bare)
+    t = masked(words) if words is not None else tokens(_CODE.sub(" ", text) if "`" in text else text)
     if not t:
         return None, 0.0
     if not _LATIN.isdisjoint(t) and latin_run(t):
