@@ -81,7 +81,7 @@ def prototypes() -> dict[int, str]:
 _WORTH = re.compile(
     # texts without any of these are already in the consistent form
     "[^\t\n -~¡-¬®-¶¸-ž،؛؟ء-غـ-يً-ْ٠-٩–—‘-”]"
-    "|[ً-ْ]{2}| $|^ | (?=\n)|´|¨|¯|¸"
+    "|[ً-ْ]{2}| $|^ | (?=\n)|[\xa8\xaf\xb4\xb5\xb8\u0132\u0133\u013f\u0140\u0149]"
 )
 _FARSI_INNER = re.compile(FARSI_YEH + "(?=[ً-ٟ]*[ؠ-غف-يٮ-ۓ])")
 _LINE_ENDS = re.compile("[ \t]+(?=\n)|[ \t]+\\Z|\\A[ \t]+")
