@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Tokens are runs of letters, numbers and the underscore; marks do not belong to them.
 TOKEN = r"[\p{L}\p{N}_]+"
 # Arabic vowel marks, dagger alef and tatweel.
-MARKS = "[ً-ٰٟـ]"
+MARKS = r"[\x{064B}-\x{065F}\x{0670}\x{0640}]"
 # Letters and digits that a normalized question unifies, position by position.
 UNIFY_FROM, UNIFY_TO = "أإآى٠١٢٣٤٥٦٧٨٩", "اااي0123456789"
 # White space as Python's str.split sees it.

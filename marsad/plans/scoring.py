@@ -30,7 +30,7 @@ def items_by_subset(spark, sf):
     return i.groupBy(F.split_part("subset", F.lit(":"), F.lit(1)).alias("family"), F.coalesce(args["subject"], F.lit("")).alias("subject")).agg(F.count("*").alias("n"), F.count_if(bad).alias("bad_gold"))
 
 
-REPLY = f"'الجواب ' || {LET}[1 + (item_no % 5)]"
+REPLY = f"'خيار ' || {LET}[1 + (item_no % 5)]"
 
 
 @query(
@@ -43,7 +43,7 @@ REPLY = f"'الجواب ' || {LET}[1 + (item_no % 5)]"
 def choice_accuracy(spark, sf):
     """Accuracy by subset of replies that name an option letter."""
     letters = F.array(*(F.lit(x) for x in S.LETTERS))
-    reply = F.concat(F.lit("الجواب "), F.element_at(letters, (F.col("item_no") % 5 + 1).cast("int")))
+    reply = F.concat(F.lit("خيار "), F.element_at(letters, (F.col("item_no") % 5 + 1).cast("int")))
     ok = S.is_correct(reply, F.col("choices"), F.col("gold_index"))
     return load(spark, sf, "mcq_items").groupBy("subset").agg(F.count("*").alias("n"), F.avg(ok.cast("int")).alias("accuracy"))
 

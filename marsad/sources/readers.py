@@ -31,8 +31,8 @@ def read_chats(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
     Files named ``*.passing.*`` stay out, as they repeat others.
     """
-    rows = spark.read.schema(CHAT_SCHEMA).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    rows = rows.withColumn("file", F.col("_metadata.file_path")).filter(~F.col("file").contains(".passing."))
+    lines = spark.read.text(path).filter(F.trim("value") != "").withColumn("file", F.col("_metadata.file_path")).filter(~F.col("file").contains(".passing."))
+    rows = lines.select("file", F.from_json("value", CHAT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r")).select("r.*", "file")
     bad = F.col("_corrupt_record").isNotNull()
     return rows.filter(~bad).withColumn("resolved", resolved_messages()).drop("_corrupt_record"), rows.filter(bad).select("file", F.col("_corrupt_record").alias("line"))
 
