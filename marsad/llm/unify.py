@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marsad.functions.text import word_count
 from marsad.llm import forms
+from marsad.session import cut
 from marsad.tables import load, role
 
 #: Groups of up to so many records come out as all pairs; larger ones as links that still join every record.
@@ -55,7 +57,7 @@ def alike_groups(texts: DataFrame) -> DataFrame:
     Repeated deliveries of a record count once. Groups are found by partial aggregation, so one
     skeleton that a third of all rows share is combined before the shuffle.
     """
-    s = skeletons(texts)
+    s = cut(skeletons(texts))
     variants = s.groupBy("record_table", "skeleton", "stored").agg(F.count("*").alias("n"), F.min("record_key").alias("first_key"))
     groups = variants.groupBy("record_table", "skeleton").agg(F.count("*").alias("variants"), F.sum("n").alias("records"), F.array_sort(F.collect_set("first_key")).alias("firsts"))
     groups = groups.filter("variants > 1").drop("firsts")
@@ -95,7 +97,7 @@ def project_texts(spark: SparkSession, directory: str) -> DataFrame:
     return (
         of("seed_pool", load(spark, directory, "seed_pool"), "seed_index", "question")
         .unionByName(of("mcq_items", load(spark, directory, "mcq_items"), "item_no", "input_text"))
-        .unionByName(of("messages", messages.filter(F.size(F.filter(F.split("content", r"[\s  -  　]+"), lambda w: w != "")) >= 10), "message_id", "content"))
+        .unionByName(of("messages", messages.filter(word_count(F.col("content")) >= 10), "message_id", "content"))
     )
 
 
