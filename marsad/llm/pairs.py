@@ -257,9 +257,11 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
     tail = plain(s[-1]) if s else []
     votes_frame = ABSTAIN
     cutword = ABSTAIN
-    if stop and not open_fence:
+    if open_fence:
+        pass  # the prose before open code may well be complete
+    elif stop:
         votes_frame, cutword = NO, NO
-    elif tail and not stripped.endswith("```"):
+    elif tail:
         candidates = [tail]
         if ":" in s[-1]:
             candidates.append(plain(s[-1].rsplit(":", 1)[1]))
@@ -267,7 +269,10 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
             known = [o for o in openings(t) if o in frames.needed]
             if known:
                 votes_frame = YES if all(frames.cut_off(o, t) for o in known) else NO
-        cutword = YES if tail[-1] in frames.inner or len(tail) < 3 and len(s) > 1 else NO if votes_frame == NO else ABSTAIN
+        if tail[-1] in frames.inner:
+            votes_frame, cutword = (votes_frame if votes_frame == YES else ABSTAIN), YES
+        else:
+            cutword = YES if len(tail) < 3 and len(s) > 1 else NO if votes_frame == NO else ABSTAIN
     v["truncated"] = [
         YES if open_fence else ABSTAIN if "```" not in text else NO,
         votes_frame,
