@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,15 +23,16 @@ def rates(targets: list[tuple], sizes: dict[str, int]) -> list[dict]:
 
     Weights are relative within a mix. A source without tokens cannot contribute; its share goes to the
     others in proportion and is reported. The mix is as large as it can be while every source keeps its
-    share and no document is expected more often than ``max_repeats``. Null or non-positive weights and
-    repeats count as 0; of repeated rows for one source the largest weight holds.
+    share and no document is expected more often than ``max_repeats``. Null, infinite or non-positive weights and
+    null or negative repeats count as 0; of repeated rows for one source the largest weight holds.
     """
     mixes: dict[str, dict[str, tuple[float, int]]] = {}
     for mix, source, weight, repeats in targets:
         if mix is None or source is None:
             continue
         old = mixes.setdefault(mix, {}).get(source, (0.0, 0))
-        mixes[mix][source] = max(old, (max(0.0, float(weight or 0)), max(0, int(repeats or 0))))
+        weight = float(weight or 0)
+        mixes[mix][source] = max(old, (weight if 0 < weight < math.inf else 0.0, max(0, int(repeats or 0))))
     out = []
     for mix, sources in sorted(mixes.items()):
         whole = sum(w for w, _ in sources.values())

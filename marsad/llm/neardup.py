@@ -289,12 +289,13 @@ class Found:
 def similar(texts: DataFrame, specs: dict[str, Spec]) -> Found:
     """Join (record_table, record_key, text) with itself. Tables without a Spec stay out, as do null and short texts.
 
-    Records of different tables never meet. A key that repeats with an equal text counts once.
+    Records of different tables never meet. A key that repeats with an equal text counts once; rows
+    without a key take part in no pair. Extra columns are ignored.
     """
     names = list(specs)
     rules = [specs[x] for x in names]
     code = F.array_position(F.array(*(F.lit(x) for x in names)), F.col("record_table")).cast("int") - 1
-    coded = texts.filter(F.col("record_table").isin(names) & F.col("text").isNotNull()).select(code.alias("code"), F.col("record_key").alias("key"), "text")
+    coded = texts.filter(F.col("record_table").isin(names) & F.col("text").isNotNull() & F.col("record_key").isNotNull()).select(code.alias("code"), F.col("record_key").alias("key"), "text")
     bits = sketch_bits(texts)
     levels = token_levels(coded, rules, bits)
     feats = cut(features(coded, rules, levels, bits))

@@ -182,6 +182,13 @@ def learn_frames(replies: DataFrame) -> Frames:
 ABSTAIN, NO, YES = 0, 1, 2
 
 
+def alike(a: list[str], b: list[str]) -> float:
+    """Similarity of two word lists; above 600 words in all by their bags of words, as matching in order would take too long."""
+    if len(a) + len(b) <= 600:
+        return SequenceMatcher(None, a, b, autojunk=False).ratio()
+    return 2 * (Counter(a) & Counter(b)).total() / (len(a) + len(b))
+
+
 def shown_text(reply: str | None) -> str:
     """The consistent form of a reply without its code."""
     text = forms.consistent(reply or "")
@@ -242,7 +249,7 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
     fresh = len(new) / len(core) if core else 0.0
     back = len(asked & set(core)) / len(asked) if asked else 0.0
     near = q and core and (fresh <= 0.5)
-    ratio = SequenceMatcher(None, q, core[: len(q) + 2], autojunk=False).ratio() if near else 0.0
+    ratio = alike(q, core[: len(q) + 2]) if near else 0.0
     v["echo"] = [
         NO if not q else YES if fresh <= 0.15 or len(core) >= 4 and len(new) <= 1 else NO if fresh > 0.35 else ABSTAIN,
         NO if not q else YES if back >= 0.7 and fresh <= 0.35 else NO if back < 0.5 or fresh > 0.5 else ABSTAIN,

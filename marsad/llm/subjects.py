@@ -274,7 +274,13 @@ def classify(rows: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame
 
 
 def assign(documents: DataFrame, labels: DataFrame, subjects: list[str]) -> DataFrame:
-    """Subject areas of every non-blank document. Without labels every document gets the first subject."""
+    """Subject areas of every non-blank document.
+
+    Without labels every document gets the first subject; without subjects there is no row. A doc_id that
+    repeats, null too, counts once per subject. Extra columns are ignored.
+    """
+    if not subjects:
+        return documents.sparkSession.createDataFrame([], "doc_id long, subject string, share double, posterior double")
     masks = cut(label_masks(labels, subjects))
     # at most MAX_LABELLED rows of two numbers: a proven bound
     rows = cut(sentence_words(documents).join(F.broadcast(masks), "doc_id", "left"))
@@ -283,8 +289,8 @@ def assign(documents: DataFrame, labels: DataFrame, subjects: list[str]) -> Data
 
 def subject_list(spark: SparkSession, directory: str) -> list[str]:
     rows = load(spark, directory, "subject_areas").select(F.lower(F.trim("subject")).alias("s")).filter("s is not null").distinct().orderBy("s").limit(61).collect()
-    if not rows or len(rows) > 60:
-        raise ValueError("between 1 and 60 subjects are needed")
+    if len(rows) > 60:
+        raise ValueError("more than 60 subjects")
     return [r.s for r in rows]
 
 

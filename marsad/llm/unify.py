@@ -33,7 +33,7 @@ def skeletons(texts: DataFrame) -> DataFrame:
     """(record_table, record_key, text) -> (record_table, record_key, skeleton, stored): two 128-bit hashes a record.
 
     ``skeleton`` is equal for texts that show alike, ``stored`` for equal strings. Null and blank
-    texts give no row. Extra columns are ignored.
+    texts give no row, and rows without a table match nothing. Extra columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -63,3 +63,8 @@ def test_empty_inputs(spark):
 def test_rates_use_the_whole_of_the_limiting_source():
     plan = {r["source"]: r for r in mixing.rates([("m", "a", 1, 2), ("m", "b", 1, 1)], {"a": 10, "b": 100})}
     assert plan["a"]["rate"] == 2.0 and plan["b"]["rate"] == pytest.approx(0.2)
+
+
+def test_odd_targets_count_as_nothing():
+    plan = mixing.rates([("m", "a", float("inf"), 2), ("m", "b", float("nan"), 1), ("m", "c", 1.0, None), ("m", "d", 1.0, 2), (None, "a", 1.0, 1), ("m", None, 1.0, 1)], {"a": 5, "b": 5, "c": 5, "d": 5})
+    assert {r["source"]: r["rate"] for r in plan} == {"a": 0.0, "b": 0.0, "c": 0.0, "d": 2.0}

@@ -70,3 +70,16 @@ def test_one_defect_a_pair_and_dirty_rows(spark):
     best = {(r.record_key, r.defect) for r in pairs.best_defect(labels.filter("not residue")).collect()}
     assert best == {("a", "empty"), ("b", "empty")}
     assert pairs.label(df.limit(0)).count() == 0
+
+
+def test_long_echoes_are_compared_in_reasonable_time():
+    words = " ".join(f"w{i % 50} x" for i in range(20_000))
+    assert pairs.votes(words, words, pairs.Frames())["echo"] == [pairs.YES] * 3
+
+
+def test_near_duplicate_keys_may_be_null(spark):
+    from marsad.llm import neardup, unify
+
+    df = spark.createDataFrame([("a", None, "one two three four five six"), ("a", 1, "one two three four five six"), (None, 2, "x"), ("a", 3, None)], "record_table string, record_key long, text string")
+    assert neardup.record_pairs(neardup.similar(df, {"a": neardup.Spec()})).filter("key_a is not null and key_b is not null").count() == 0
+    assert unify.alike_pairs(unify.alike_groups(df)).count() == 0
