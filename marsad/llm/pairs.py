@@ -43,6 +43,12 @@ DECLINES = re.compile(
     r"move to another subject|change the subject|isn t something i|not something i|conversation has to stop|against (?:my|the|our) polic|hold no view|"
     r"je ne peux pas|je ne suis pas en mesure|je dois refuser|je préfère ne pas|modèle de langage|hors de ma portée)"
 )
+# Pieces of which every way to decline above has one; they are quicker to look for.
+DECLINE_PIECES = (
+    "اقدر", "استطيع", "يمكن", "قادر", "اتمكن", "صلاحي", "تعذر", "لغوي", "لغه", "نطاق", "افضل عدم", "اكتفي", "نغير", "اتعامل", "غير متاح", "له اهله", "ارفض", "لا اود",
+    "can t ", "cannot ", "can not ", "won t ", "will not ", "able to", "decline", "language model", "beyond", "rather not", "prefer not", "no answer", "better left", "subject", "something i", "has to stop", "against", "no view",
+    "ne peux pas", "pas en mesure", "dois refuser", "préfère ne", "modèle de langage", "hors de ma",
+)
 # Courtesy around a refusal or an answer; such clauses neither help nor decline.
 COURTESY = re.compile(
     r"^(?:عذرا|اسف|معليش|سامحني|للاسف|مع الاسف|الصراحه|اعتذر\w*|افهم طلبك|شكرا على|واتمنى تتفهم|اتمنى تتفهم|انصحك تسال|هل عندك سؤال|اقدر اساعدك في|الله يعطيك|جرب مصدر|حسب السياسه|يعطيك العافيه|تفضل|"
@@ -128,11 +134,16 @@ def learn_frames(replies: DataFrame) -> Frames:
     """Count sentence frames over all replies; only frames above a fixed share of all sentences reach the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(c: Counter) -> pa.RecordBatch:
-            k = list(c)
-            return pa.RecordBatch.from_arrays([*(pa.array([x[i] for x in k], pa.string()) for i in range(3)), pa.array(list(c.values()), pa.int64())], names=["kind", "opening", "word", "n"])
-
-        c: Counter = Counter()
+        def flush() -> pa.RecordBatch:
+            rows = [("word", "", w, n) for w, n in words.items()] + [("end", "", w, n) for w, n in ends.items()]
+            for o, (n, last, has) in frames.items():
+                rows.append(("frame", o, "", n))
+                rows += [("last", o, w, k) for w, k in last.items()]
+                rows += [("has", o, w, k) for w, k in has.items()]
+            return pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in rows], pa.string()) for i in range(3)), pa.array([r[3] for r in rows], pa.int64())], names=["kind", "opening", "word", "n"])
+
+        frames: dict[str, list] = {}
+        words, ends, held = Counter(), Counter(), 0
         for b in forms.slices(batches):
             for x in b.column(0).to_pylist():
                 if not x:
@@ -144,19 +155,21 @@ def learn_frames(replies: DataFrame) -> Frames:
                     w = plain(y)
                     if len(w) < 3:
                         continue
-                    c["end", "", w[-1]] += 1
-                    words = set(w[2:])
+                    ends[w[-1]] += 1
+                    words.update(w)
+                    rest = set(w[2:])
                     for o in openings(w):
-                        c["frame", o, ""] += 1
-                        c["last", o, w[-1]] += 1
-                        for z in words:
-                            c["has", o, z] += 1
-                    for z in w:
-                        c["word", "", z] += 1
-            if len(c) > 150_000:
-                yield flush(c)
-                c = Counter()
-        yield flush(c)
+                        e = frames.get(o)
+                        if e is None:
+                            e = frames[o] = [0, Counter(), Counter()]
+                        e[0] += 1
+                        e[1][w[-1]] += 1
+                        e[2].update(rest)
+                        held += 2
+            if held > 200_000:
+                yield flush()
+                frames, words, ends, held = {}, Counter(), Counter(), 0
+        yield flush()
 
     sums = replies.select("reply").mapInArrow(count, "kind string, opening string, word string, n long").groupBy("kind", "opening", "word").agg(F.sum("n").alias("n"))
     sums = cut(sums.filter(f"n >= 3 or kind = 'frame'"))
@@ -211,9 +224,11 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
 
     # refusal
     # clauses matter where something declines, or where the reply is short or begins with courtesy
-    if len(a) < 40 or DECLINES.search(" ".join(a)):
+    whole = " ".join(a)
+    if len(a) < 40 or any(x in whole for x in DECLINE_PIECES) and DECLINES.search(whole):
         clauses = [" ".join(w) for c in _CLAUSE.split(shown) if (w := plain(c))]
-        kinds = ["declines" if DECLINES.search(c) else "courtesy" if COURTESY.search(c) else "other" for c in clauses]
+        might = any(x in whole for x in DECLINE_PIECES)
+        kinds = ["declines" if might and DECLINES.search(c) else "courtesy" if COURTESY.search(c) else "other" for c in clauses]
         other = [w for c, k in zip(clauses, kinds) if k == "other" for w in c.split() if w not in asked]
     else:
         kinds, other = ["other"], [w for w in a if w not in asked]
