@@ -16,7 +16,8 @@ def jaccard_pairs(df: DataFrame, threshold: float) -> DataFrame:
     and empty sets meet nothing. Ids must be unique.
     """
     base = df.select("id", "tokens")
-    exploded = base.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    # tokens meet by their 64-bit hashes; a collision only adds a candidate, as whole sets decide
+    exploded = base.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("token")).select("id", "n", F.xxhash64("token").alias("token"))
     counts = exploded.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     # tokens of a single row stand first in any order and meet nothing: only their number matters
     shared = exploded.join(counts, "token")
