@@ -14,8 +14,9 @@ from marsad.llm import forms
 from marsad.session import cut
 from marsad.tables import load, role
 
-#: Groups of up to so many records come out as all pairs; larger ones as links that still join every record.
-EXPAND_RECORDS = 64
+#: A group with more records than this is paired in a salted join rather than within one task.
+LONG_GROUP = 1_000
+SALTS = 32
 
 
 def with_consistent_form(df: DataFrame, columns: list[str], suffix: str = "_form") -> DataFrame:
@@ -58,24 +59,37 @@ def alike_groups(texts: DataFrame) -> DataFrame:
     skeleton that a third of all rows share is combined before the shuffle.
     """
     s = cut(skeletons(texts))
-    variants = s.groupBy("record_table", "skeleton", "stored").agg(F.count("*").alias("n"), F.min("record_key").alias("first_key"))
-    groups = variants.groupBy("record_table", "skeleton").agg(F.count("*").alias("variants"), F.sum("n").alias("records"), F.array_sort(F.collect_set("first_key")).alias("firsts"))
-    groups = groups.filter("variants > 1").drop("firsts")
-    return s.join(groups, ["record_table", "skeleton"]).dropDuplicates(["record_table", "skeleton", "stored", "record_key"])
+    variants = s.groupBy("record_table", "skeleton", "stored").agg(F.count("*").alias("n"))
+    groups = variants.groupBy("record_table", "skeleton").agg(F.count("*").alias("variants")).filter("variants > 1")
+    members = cut(s.join(groups, ["record_table", "skeleton"]).dropDuplicates(["record_table", "skeleton", "stored", "record_key"]))
+    sizes = members.groupBy("record_table", "skeleton").agg(F.count_distinct("record_key").alias("records"))
+    return members.join(sizes, ["record_table", "skeleton"])
 
 
-def alike_pairs(members: DataFrame, expand_records: int = EXPAND_RECORDS) -> DataFrame:
+def alike_pairs(members: DataFrame, expand_records: int | None = None, long_group: int = LONG_GROUP) -> DataFrame:
     """Pairs (record_table, key_a, key_b), key_a < key_b, of records whose strings differ and show alike.
 
-    Groups of at most ``expand_records`` records give every pair. In larger groups every record is
-    linked with the smallest key of the first form it does not have itself, which takes one row a
-    record and still connects the whole group; ``alike_groups`` has the full membership.
+    Every group gives all its pairs. Only a caller that sets ``expand_records`` gets links instead from
+    groups of more records: each record with the smallest key of the first form it does not have itself,
+    which takes one row a record and connects the whole group, but leaves out its other pairs.
     """
     m = members.select("record_table", "skeleton", "stored", "record_key", "records")
-    small = m.filter(F.col("records") <= expand_records)
-    a = small.select("record_table", "skeleton", F.col("stored").alias("stored_a"), F.col("record_key").alias("key_a"))
-    b = small.select("record_table", "skeleton", F.col("stored").alias("stored_b"), F.col("record_key").alias("key_b"))
-    pairs = a.join(b, ["record_table", "skeleton"]).filter("key_a < key_b and stored_a <> stored_b").select("record_table", "key_a", "key_b")
+    whole = m if expand_records is None else m.filter(F.col("records") <= expand_records)
+
+    def both(part: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+        return tuple(part.select(*on, F.col("stored").alias(f"stored_{x}"), F.col("record_key").alias(f"key_{x}")) for x in "ab")
+
+    on = ["record_table", "skeleton"]
+    a, b = both(whole.filter(F.col("records") <= long_group), on)
+    pairs = a.join(b, on)
+    a, b = both(whole.filter(F.col("records") > long_group), on)
+    on = [*on, "salt"]
+    # a fixed number of partitions, as adaptive execution would put the salts of few bytes back into one task
+    a = a.withColumn("salt", F.pmod(F.hash("key_a"), F.lit(SALTS))).repartition(SALTS, *on)
+    b = b.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).repartition(SALTS, *on)
+    pairs = pairs.unionByName(a.join(b, on).drop("salt")).filter("key_a < key_b and stored_a <> stored_b").select("record_table", "key_a", "key_b")
+    if expand_records is None:
+        return pairs.distinct()
     large = m.filter(F.col("records") > expand_records)
     reps = large.groupBy("record_table", "skeleton", "stored").agg(F.min("record_key").alias("rep"))
     two = reps.groupBy("record_table", "skeleton").agg(F.min(F.struct("rep", "stored")).alias("one"), F.max(F.struct("rep", "stored")).alias("other"))

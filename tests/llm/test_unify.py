@@ -93,6 +93,17 @@ def test_large_group_stays_connected_in_linear_rows(spark):
     assert len({find(i) for i in range(300)}) == 1
 
 
+def test_groups_of_any_size_give_all_pairs(spark):
+    # 150 copies of one form, one each of two others; a record that comes twice counts once
+    data = [("t", i, "abc d") for i in range(150)] + [("t", 200, "аbc d"), ("t", 300, "abс d"), ("t", 300, "abс d")]
+    m = unify.alike_groups(rows(spark, data))
+    assert {r.records for r in m.collect()} == {152}
+    want = brute(data)
+    assert len(want) == 301 and ("t", 200, 300) in want
+    for got in (unify.alike_pairs(m).collect(), unify.alike_pairs(m, long_group=20).collect()):
+        assert len(got) == 301 and {tuple(r) for r in got} == want
+
+
 def test_empty_table_and_extra_columns(spark):
     assert unify.alike_pairs(unify.alike_groups(rows(spark, []))).count() == 0
     df = spark.createDataFrame([("t", 1, "a​b", "x", "y")], "record_table string, record_key long, text string, skeleton string, stored string")
