@@ -460,5 +460,10 @@ def p5_found(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def p5_groups(spark: SparkSession, directory: str) -> DataFrame:
-    """Class, group and number of links of every record at the usual five words and 0.8."""
-    return clusters(similar(project_texts(spark, directory), {"documents": Spec(), "messages": Spec(), "seed_pool": Spec()}))
+    """Class, group and number of links of every record with a text, similar as in ``p5_found``; one too short for that is a group of its own."""
+    texts = project_texts(spark, directory)
+    every = texts.filter("record_key is not null and text is not null").select("record_table", "record_key").distinct()
+    own = F.col("record_key")
+    return every.join(clusters(similar(texts, PROJECT)), ["record_table", "record_key"], "left").select(
+        "record_table", "record_key", F.coalesce("class_key", own).alias("class_key"), F.coalesce("cluster_key", own).alias("cluster_key"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    )

@@ -95,3 +95,21 @@ def test_long_lists_take_the_salted_join(spark, monkeypatch):
     got = {tuple(r) for r in neardup.record_pairs(neardup.similar(texts, specs)).collect()}
     want = brute(rows, specs)
     assert want and got == want
+
+
+def test_project_groups_follow_the_definition_of_the_pairs(spark, tmp_path):
+    words = [f"w{i}" for i in range(60)]
+    edited = words[:20] + ["x"] + words[21:40] + ["y"] + words[41:]  # 46 of 66 runs of five are in both: 0.697
+    documents = [(1, " ".join(words)), (2, " ".join(edited)), (3, "short note"), (4, "short note"), (5, None), (3, "short note")]
+    seeds = [(1, "how do we brew good coffee at home"), (2, "at home how do we brew coffee"), (3, "tea"), (4, "tea")]
+    messages = [(1, "Assistant ", "yes"), (2, "user", "no")]
+    for name, rows, schema in (("documents", documents, "doc_id long, text string"), ("seed_pool", seeds, "seed_index long, question string"), ("messages", messages, "message_id long, role string, content string")):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    groups = neardup.p5_groups(spark, str(tmp_path)).collect()
+    of = {(r.record_table, r.record_key): r for r in groups}
+    assert len(groups) == len(of) == 9  # every record with a text, once
+    pairs = {tuple(r) for r in neardup.p5_found(spark, str(tmp_path)).collect()}
+    assert pairs == {("documents", 1, 2), ("seed_pool", 1, 2), ("seed_pool", 3, 4)}
+    together = {(t, a, b) for t, a in of for u, b in of if t == u and a < b and of[t, a].cluster_key == of[t, b].cluster_key}
+    assert together == pairs
+    assert of["documents", 3].cluster_key == 3 and of["documents", 3].n_links == 0 and of["messages", 1].cluster_key == 1
