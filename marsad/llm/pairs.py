@@ -65,6 +65,7 @@ _CLAUSE = re.compile(r"[.!?؟،,;؛:\n。۔…]+")
 _STOP = ".!?؟。۔．…"
 _SENTENCE = re.compile(r"(?<=[.!?؟。۔．…])[\s‎‏]+|\n+")
 _BULLET = re.compile(r"^\s*(?:[-*•#>]+|\d+[.)-])\s*")
+_MARKER = re.compile(r"[-*•]|\(?(?:(\d{1,3})[.)-]|([^\W\d_])[.)])")
 _SHOWN = re.compile(r"[^\W_]")
 
 _STOPS = {k: set(forms.bare_words(v)) for k, v in STOP_WORDS.items()}
@@ -98,6 +99,19 @@ def sentences(text: str) -> list[str]:
     return [s for x in _SENTENCE.split(_FENCE.sub("\n", text)) if (s := _BULLET.sub("", x).strip())]
 
 
+def hangs(stripped: str) -> bool:
+    """Whether a text stops at a bare list marker. Several bare ones in turn are a blank form; a number or letter needs a list that it continues."""
+    before, _, end = stripped.rpartition("\n")
+    before, m = before.rstrip(), _MARKER.fullmatch(end.strip())
+    if not m or not before or _MARKER.fullmatch(before.rpartition("\n")[2].strip()):
+        return False
+    items = [i for x in before.split("\n") if (i := _MARKER.match(x.strip()))]
+    if m.group(1):
+        n = int(m.group(1))
+        return n == 1 or any(i.group(1) and int(i.group(1)) in (n - 1, n) for i in items)
+    return not m.group(2) or any(i.group(2) for i in items)
+
+
 def plain(s: str) -> list[str]:
     return ["0" if w.isdigit() else w for w in forms.bare_words(s)]
 
@@ -274,13 +288,16 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
     # truncated
     stripped = text.rstrip()
     open_fence = text.count("```") % 2 == 1
-    stop = stripped[-1] in _STOP or stripped.endswith("```")
+    hanging = not open_fence and hangs(stripped)
+    stop = not hanging and (stripped[-1] in _STOP or stripped.endswith("```"))
     s = sentences(text)
     tail = plain(s[-1]) if s else []
     votes_frame = ABSTAIN
     cutword = ABSTAIN
     if open_fence:
         pass  # the prose before open code may well be complete
+    elif hanging:
+        votes_frame = YES  # an item of which nothing is there; the one before may well be complete
     elif stop:
         votes_frame, cutword = NO, NO
     elif tail:
@@ -299,7 +316,7 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
         YES if open_fence else ABSTAIN if "```" not in text else NO,
         votes_frame,
         cutword,
-        YES if open_fence or stripped[-1] in ",،:;؛(-/" else NO if stop else ABSTAIN,
+        YES if open_fence or hanging or stripped[-1] in ",،:;؛(-/" else NO if stop else ABSTAIN,
     ]
     return v
 

@@ -45,6 +45,16 @@ def test_truncation_is_learnt_from_complete_sentences(spark):
     assert sum((str(i), "truncated") in got for i in range(400)) <= 8
 
 
+def test_replies_that_stop_at_a_list_marker_are_truncated(spark):
+    items = "Do it so:\n1. Heat the oven for the dough.\n2. Salt the broth and the rice.\n"
+    arabic = "الخطوات:\n١. سخن الفرن قبل العجين.\n٢. أضف الملح إلى المرق.\n"
+    cut = [items + "3.", items + "3)", items + "(3)", arabic + "٣.", "Take these:\n- the oven is hot.\n- the pan is cold.\n-", "a. Heat the oven.\nb. Salt the broth.\nc."]
+    whole = [items.strip(), arabic.strip(), items + "3. Wait.", "The oven takes, in litres:\n42.", "Fill in this form:\n1.\n2.\n3.", "Take this:\n```\n1.\n```"]
+    rows = corpus()
+    got = label(spark, rows + [("How do I set up the oven?", r) for r in cut + whole])
+    assert [(str(400 + i), "truncated") in got for i in range(len(cut + whole))] == [True] * len(cut) + [False] * len(whole)
+
+
 def test_label_model_finds_the_hidden_classes():
     rng = np.random.default_rng(0)
     y = rng.random(20_000) < 0.05
