@@ -111,12 +111,14 @@ def project_texts(spark: SparkSession, directory: str) -> DataFrame:
     return (
         of("seed_pool", load(spark, directory, "seed_pool"), "seed_index", "question")
         .unionByName(of("mcq_items", load(spark, directory, "mcq_items"), "item_no", "input_text"))
-        .unionByName(of("messages", messages.filter(word_count(F.col("content")) >= 10), "message_id", "content"))
+        .unionByName(of("messages", messages, "message_id", "content"))
     )
 
 
 def p2_found(spark: SparkSession, directory: str) -> DataFrame:
-    return alike_pairs(alike_groups(project_texts(spark, directory)))
+    """Pairs that show alike, of messages those of at least ten words."""
+    texts = project_texts(spark, directory)
+    return alike_pairs(alike_groups(texts.filter((F.col("record_table") != "messages") | (word_count(F.col("text")) >= 10))))
 
 
 def p2_consistent_texts(spark: SparkSession, directory: str) -> DataFrame:

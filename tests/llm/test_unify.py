@@ -110,3 +110,15 @@ def test_empty_table_and_extra_columns(spark):
     assert unify.alike_groups(df).count() == 0
     out = unify.with_consistent_form(df, ["text"]).collect()[0]
     assert out.text_form == "ab" and out.skeleton == "x"
+
+
+def test_short_messages_have_a_form_and_groups_but_no_pairs(spark, tmp_path):
+    ten = "one two three four five six seven eight nine ten"
+    messages = [(1, "assistant", "yes"), (2, " Assistant", "yеs"), (3, "user", "yes"), (4, "assistant", None), (5, "assistant", ten), (6, "assistant", ten.replace("e", "е"))]
+    for name, data, schema in (("messages", messages, "message_id long, role string, content string"), ("seed_pool", [(1, "no"), (2, "nо")], "seed_index long, question string"), ("mcq_items", [(1, "so")], "item_no long, input_text string")):
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    d = str(tmp_path)
+    forms_ = {(r.record_table, r.record_key): r.text_form for r in unify.p2_consistent_texts(spark, d).collect()}
+    assert forms_ == {("messages", 1): "yes", ("messages", 2): "yes", ("messages", 5): ten, ("messages", 6): ten, ("seed_pool", 1): "no", ("seed_pool", 2): "no", ("mcq_items", 1): "so"}
+    assert {(r.record_table, r.record_key) for r in unify.p2_groups(spark, d).collect()} == {("messages", 1), ("messages", 2), ("messages", 5), ("messages", 6), ("seed_pool", 1), ("seed_pool", 2)}
+    assert {tuple(r) for r in unify.p2_found(spark, d).collect()} == {("messages", 5, 6), ("seed_pool", 1, 2)}
