@@ -186,7 +186,7 @@ def learn_frames(replies: DataFrame) -> Frames:
         yield flush()
 
     sums = replies.select("reply").mapInArrow(count, "kind string, opening string, word string, n long").groupBy("kind", "opening", "word").agg(F.sum("n").alias("n"))
-    sums = cut(sums.filter(f"n >= 3 or kind = 'frame'"))
+    sums = cut(sums.filter("n >= 3 or kind not in ('has', 'last')"))
     total = sums.filter("kind = 'frame'").agg(F.sum("n")).first()[0] or 0
     least = max(LEAST_COUNT, total * LEAST_SHARE)
     frames = sums.filter("kind = 'frame'").filter(F.col("n") >= least).select("opening", F.col("n").alias("whole"))

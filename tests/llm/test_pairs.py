@@ -45,6 +45,13 @@ def test_truncation_is_learnt_from_complete_sentences(spark):
     assert sum((str(i), "truncated") in got for i in range(400)) <= 8
 
 
+def test_rare_sentence_ends_count(spark):
+    replies = ["The amber lamp stands there."] * 60 + ["Nobody wants that amber."] * 2 + ["The wide brass door shuts."] * 60 + ["A dim shed by day."] * 18 + ["We like that shed."] * 2
+    frames = pairs.learn_frames(spark.createDataFrame([(r,) for r in replies], "reply string"))
+    assert "brass" in frames.inner and "amber" not in frames.inner  # amber is last in 3 %
+    assert "shed" in frames.enders and "amber" not in frames.enders  # shed is last in 10 %
+
+
 def test_replies_that_stop_at_a_list_marker_are_truncated(spark):
     items = "Do it so:\n1. Heat the oven for the dough.\n2. Salt the broth and the rice.\n"
     arabic = "الخطوات:\n١. سخن الفرن قبل العجين.\n٢. أضف الملح إلى المرق.\n"
