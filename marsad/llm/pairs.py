@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -210,10 +209,21 @@ ABSTAIN, NO, YES = 0, 1, 2
 
 
 def alike(a: list[str], b: list[str]) -> float:
-    """Similarity of two word lists; above 600 words in all by their bags of words, as matching in order would take too long."""
-    if len(a) + len(b) <= 600:
-        return SequenceMatcher(None, a, b, autojunk=False).ratio()
-    return 2 * (Counter(a) & Counter(b)).total() / (len(a) + len(b))
+    """Similarity of two word lists of any length: the words of their longest common subsequence among all.
+
+    A bit of ``row`` stands for a word of ``a`` and is cleared where the subsequence grows by it, so a
+    word of ``b`` costs a few operations on one long integer.
+    """
+    wanted, at = set(b), {}
+    for i, w in enumerate(a):
+        if w in wanted:
+            at[w] = at.get(w, 0) | 1 << i
+    row = full = (1 << len(a)) - 1
+    for w in b:
+        if w in at:
+            u = row & at[w]
+            row = (row + u | row - u) & full
+    return 2 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
 def shown_text(reply: str | None) -> str:
@@ -278,7 +288,7 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
     fresh = len(new) / len(core) if core else 0.0
     back = len(asked & set(core)) / len(asked) if asked else 0.0
     near = q and core and (fresh <= 0.5)
-    ratio = alike(q, core[: len(q) + 2]) if near else 0.0
+    ratio = alike(q, core) if near else 0.0
     v["echo"] = [
         NO if not q else YES if fresh <= 0.15 or len(core) >= 4 and len(new) <= 1 else NO if fresh > 0.35 else ABSTAIN,
         NO if not q else YES if back >= 0.7 and fresh <= 0.35 else NO if back < 0.5 or fresh > 0.5 else ABSTAIN,

@@ -94,6 +94,26 @@ def test_long_echoes_are_compared_in_reasonable_time():
     assert pairs.votes(words, words, pairs.Frames())["echo"] == [pairs.YES] * 3
 
 
+def test_echoes_are_compared_in_order_and_whole_at_all_lengths():
+    for n in (20, 400):
+        w = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n)]
+        third = lambda reply: pairs.votes(" ".join(w), " ".join(reply), pairs.Frames())["echo"][2]
+        assert third(w[: n // 2] + ["x"] + w[n // 2 + 1 :]) == pairs.YES
+        assert third(w[::-1]) == pairs.NO
+        assert third(w + [f"y{i}" for i in range(n * 9 // 10)]) == pairs.ABSTAIN
+
+
+def test_alike_against_the_plain_table():
+    rng = random.Random(4)
+    for _ in range(100):
+        a, b = (rng.choices("abcd", k=rng.randrange(1, 15)) for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        assert pairs.alike(a, b) == 2 * best[-1][-1] / (len(a) + len(b))
+
+
 def test_near_duplicate_keys_may_be_null(spark):
     from marsad.llm import neardup, unify
 
