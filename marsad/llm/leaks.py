@@ -6,6 +6,10 @@ random walk of Chakraborty, Goldenberg and Koucky: a pointer walks over the wind
 pointer moves on. Windows at a small edit distance come out at a small Hamming distance, so hashing a
 few sampled places of the output lets them collide; this repeats until the target recall is met.
 Every collision is verified by the exact edit distance of the two windows.
+
+Equal windows collapse on both sides before they meet, so a passage that many items and many records
+share is embedded, matched and verified once. Windows with the same owners form one set; records
+meet sets, and sets expand to items at the very end.
 """
 
 from __future__ import annotations
@@ -19,13 +23,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marsad.llm import bits as B
 from marsad.llm import forms
+from marsad.session import cut
 from marsad.tables import load
 
 WINDOW = 12
-#: Items are sought in blocks of so many, so what is sent to the executors never grows with the items.
-ITEM_BLOCK = 5_000
+#: Joins on a passage that a large part of all records or items may share are spread over so many keys.
+SALTS = 16
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+#: By number of edits: how many places are sampled, and the chance that the samples of two windows agree. The means
+#: measured on random edits are 0.48, 0.33 and 0.23; the lower values here make up for windows below the mean.
+SAMPLED = {1: (6, 0.35), 2: (6, 0.18), 3: (6, 0.10)}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,29 +45,27 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Plan:
-    """How often to embed and how many places to sample.
+    """How often to embed and how many places to sample, for windows at up to ``edits`` (0 to 3) word edits.
 
-    A single edit shifts the walk until it meets itself again; the share of places that still agree
-    after ``edits`` edits in a window is at least ``agree``. One sample of ``bits`` places then
-    collides with probability agree ** bits, and ``rounds`` samples reach the recall.
+    One sample of a window and its edited form agrees with the chance in SAMPLED, and
+    ``rounds`` independent samples reach the recall. Equal windows always agree, so no edit takes one
+    round, which samples the whole first part of the walk.
     """
 
     window: int = WINDOW
     edits: int = 1
     recall: float = 0.98
-    bits: int = 6
     seed: int = 17
 
     @property
-    def steps(self) -> int:
-        return 3 * self.window
+    def bits(self) -> int:
+        return 2 * self.window if self.edits == 0 else SAMPLED[self.edits][0]
 
     @property
     def rounds(self) -> int:
         if self.edits == 0:
-            return 1  # equal windows always collide
-        agree = max(0.3, 1 - 0.2 * self.edits)  # measured for random single edits: 0.80 to 0.83
-        return max(1, math.ceil(math.log(1 - self.recall) / math.log(1 - agree**self.bits)))
+            return 1
+        return max(1, math.ceil(math.log(1 - self.recall) / math.log(1 - SAMPLED[self.edits][1])))
 
     def places(self, round_: int) -> list[int]:
         rng = np.random.default_rng([self.seed, round_])
@@ -70,12 +77,12 @@ def bigrams(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * _MIX[2] ^ b)
 
 
-def among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(x), bool)
-    at = np.searchsorted(ordered, x)
-    at[at == len(ordered)] = 0
-    return ordered[at] == x
+def window_ids(windows: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row of word ids."""
+    h = np.zeros(len(windows), np.uint64)
+    for j in range(windows.shape[1]):
+        h = mix((h + _MIX[0]) ^ windows[:, j])
+    return h
 
 
 def signatures(windows: np.ndarray, plan: Plan, round_: int) -> np.ndarray:
@@ -95,121 +102,126 @@ def signatures(windows: np.ndarray, plan: Plan, round_: int) -> np.ndarray:
     return out
 
 
-def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Exact word edit distance, or most + 1 where it is larger."""
-    if np.array_equal(a, b):
-        return 0
-    if most == 0:
-        return 1
-    last = list(range(len(b) + 1))
-    for i, x in enumerate(a.tolist(), 1):
-        row = [i]
-        for j, y in enumerate(b.tolist(), 1):
-            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
-        if min(row) > most:
-            return most + 1
+def edit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact word edit distances of the rows of two (n, window) arrays, by one table for all rows at once."""
+    n, width = a.shape
+    last = np.tile(np.arange(width + 1), (n, 1))
+    for i in range(width):
+        row = np.empty_like(last)
+        row[:, 0] = i + 1
+        for j in range(width):
+            row[:, j + 1] = np.minimum(np.minimum(last[:, j + 1], row[:, j]) + 1, last[:, j] + (a[:, i] != b[:, j]))
         last = row
-    return min(last[-1], most + 1)
-
-
-class Index:
-    """All windows of a block of items, by signature."""
-
-    def __init__(self, items: list[tuple[str, str]], plan: Plan):
-        self.plan = plan
-        ids = forms.Ids(limit=1 << 30)
-        self.item_ids = [i for i, _ in items]
-        wins, owner = [], []
-        for n, (_, text) in enumerate(items):
-            w = ids.of(forms.bare_words(text))
-            if len(w) >= plan.window:
-                v = np.lib.stride_tricks.sliding_window_view(w, plan.window)
-                wins.append(v)
-                owner.append(np.full(len(v), n))
-        self.windows = np.vstack(wins) if wins else np.zeros((0, plan.window), np.uint64)
-        self.owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-        self.vocabulary = np.unique(self.windows)
-        self.bigrams = np.unique(bigrams(self.windows.ravel()[:-1], self.windows.ravel()[1:])) if len(self.windows) else np.zeros(0, np.uint64)
-        self.tables = []
-        for r in range(plan.rounds):
-            s = signatures(self.windows, plan, r)
-            order = np.argsort(s, kind="stable")
-            self.tables.append((s[order], order))
-
-    def matches(self, words: np.ndarray, record: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(record, item, least edits, place) of windows within ``plan.edits`` of an item's window.
-
-        ``record`` numbers the record of each word; no window crosses two records.
-        """
-        p = self.plan
-        w = p.window
-        if len(words) < w or not len(self.windows):
-            return []
-        known = among(words, self.vocabulary)
-        both = np.flatnonzero(known[:-1] & known[1:])
-        good = np.zeros(len(words), np.int32)
-        good[both + 1] = among(bigrams(words[both], words[both + 1]), self.bigrams)
-        sums = np.cumsum(good)
-        # q-gram lemma: a window within so many edits of an item's window shares all but 2 * edits of its bigrams
-        enough = w - 1 - 2 * p.edits
-        place = np.flatnonzero((sums[w - 1 :] - sums[: len(words) - w + 1] >= enough) & (record[w - 1 :] == record[: len(words) - w + 1]))
-        if not len(place):
-            return []
-        wins = np.lib.stride_tricks.sliding_window_view(words, w)[place]
-        best: dict[tuple[int, int], tuple[int, int]] = {}
-        rest = []
-        for r, (sig, order) in enumerate(self.tables):
-            s = signatures(wins, p, r)
-            lo, hi = np.searchsorted(sig, s, "left"), np.searchsorted(sig, s, "right")
-            n = hi - lo
-            mine = np.repeat(np.arange(len(wins)), n)
-            if not len(mine):
+    return last[:, -1]
+
+
+def _cuts(words: np.ndarray, window: int) -> np.ndarray:
+    return np.lib.stride_tricks.sliding_window_view(words, window)
+
+
+def item_windows(items: DataFrame, plan: Plan) -> DataFrame:
+    """(item_id, text) -> (item_id, wid, words): every window of an item; shorter and null texts give none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = forms.Ids()
+        for b in forms.slices(batches):
+            out: list[list] = [[], [], []]
+            for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                w = ids.of(forms.bare_words(x))
+                if len(w) >= plan.window:
+                    v = np.unique(_cuts(w, plan.window), axis=0)
+                    out[0] += [k] * len(v)
+                    out[1] += window_ids(v).view(np.int64).tolist()
+                    out[2] += [r.tobytes() for r in v]
+            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.string(), pa.int64(), pa.binary()))], names=["item_id", "wid", "words"])
+
+    some = items.select("item_id", "text").filter("text is not null and item_id is not null")
+    return some.mapInArrow(run, "item_id string, wid long, words binary").dropDuplicates(["item_id", "wid"])
+
+
+def owner_sets(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(item_id, wid, words) -> distinct (wid, set_id, words), and (set_id, item_id).
+
+    Windows with the same owners share a set, named by hashes that add up without gathering the
+    owners anywhere; the owners of one window of each set stand for it.
+    """
+    x, y = F.bit_xor(F.xxhash64("item_id")), F.bit_xor(F.xxhash64(F.lit(1), "item_id"))
+    distinct = windows.groupBy("wid").agg(F.first("words").alias("words"), x.alias("x"), y.alias("y"), F.count("*").alias("n"))
+    distinct = cut(distinct.select("wid", F.xxhash64("x", "y", "n").alias("set_id"), "words"))
+    one = distinct.groupBy("set_id").agg(F.min("wid").alias("wid"))
+    return distinct, cut(windows.join(one, "wid").select("set_id", "item_id"))
+
+
+def signed(windows: DataFrame, plan: Plan) -> DataFrame:
+    """(wid, words) -> (sig, wid, words): a row a round."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in forms.slices(batches, 10_000):
+            if not b.num_rows:
                 continue
-            theirs = order[np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(len(mine))]
-            same = (wins[mine] == self.windows[theirs]).all(axis=1)
-            keys = np.unique(np.column_stack([record[place[mine[same]]], self.owner[theirs[same]], place[mine[same]]]), axis=0)
-            for a, b, c in keys[::-1].tolist():  # the first place of each record and item stays
-                if best.get((a, b), (1, 0))[0] or best[a, b][1] > c:
-                    best[a, b] = (0, c)
-            if p.edits:
-                rest.append(np.column_stack([mine[~same], theirs[~same]]))
-        if rest:
-            pairs = np.unique(np.vstack(rest), axis=0)
-            done = {a * len(self.item_ids) + b for a, b in best}
-            code = record[place[pairs[:, 0]]] * len(self.item_ids) + self.owner[pairs[:, 1]]
-            pairs = pairs[~np.isin(code, np.fromiter(done, np.int64, len(done)))]
-            for part in np.array_split(pairs, max(1, len(pairs) // 50_000)):
-                a, b = wins[part[:, 0]], self.windows[part[:, 1]]
-                x, y = bigrams(a[:, :-1], a[:, 1:]), bigrams(b[:, :-1], b[:, 1:])
-                shared = (x[:, :, None] == y[:, None, :]).any(axis=2).sum(axis=1)
-                for i in np.flatnonzero(shared >= enough):
-                    key = int(record[place[part[i, 0]]]), int(self.owner[part[i, 1]])
-                    if best.get(key, (p.edits + 1, 0))[0] <= 1:
-                        continue
-                    d = edit_distance(a[i], b[i], p.edits)
-                    if d < best.get(key, (p.edits + 1, 0))[0]:
-                        best[key] = (d, int(place[part[i, 0]]))
-        return [(a, b, d, c) for (a, b), (d, c) in best.items()]
-
-
-def leaks_of_block(texts: DataFrame, items: list[tuple[str, str]], plan: Plan) -> DataFrame:
-    index = texts.sparkSession.sparkContext.broadcast(Index(items, plan))
+            w = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint64).reshape(-1, plan.window)
+            for r in range(plan.rounds):
+                yield pa.RecordBatch.from_arrays([pa.array(signatures(w, plan, r).view(np.int64)), b.column(0), b.column(1)], names=["sig", "wid", "words"])
+
+    return windows.select("wid", "words").mapInArrow(run, "sig long, wid long, words binary")
+
+
+def near_windows(texts: DataFrame, table: np.ndarray, bits: int, plan: Plan) -> DataFrame:
+    """(record_table, record_id, first_word, wid, words) of windows that may be within the edits of an item's window.
+
+    ``table`` holds the bigrams of all items. By the q-gram lemma a window within so many edits of an item's
+    window shares all but 2 * edits of its bigrams, so no window is lost and nearly all others go.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix: Index = index.value
         ids = forms.Ids()
+        w = plan.window
         for b in forms.slices(batches):
-            rows = [(t, k, w) for t, k, x in zip(*(b.column(i).to_pylist() for i in range(3))) if x and len(w := forms.bare_words(x)) >= plan.window]
-            lengths = [len(w) for *_, w in rows]
-            starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-            words = ids.of([y for *_, w in rows for y in w])
-            out: list[list] = [[], [], [], [], []]
-            for n, item, d, place in ix.matches(words, np.repeat(np.arange(len(rows)), lengths)):
-                for o, v in zip(out, (rows[n][0], rows[n][1], ix.item_ids[item], d, place - int(starts[n]))):
-                    o.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int32()))], names=["record_table", "record_id", "item_id", "edits", "first_word"])
+            rows = [(t, k, y) for t, k, x in zip(*(b.column(i).to_pylist() for i in range(3))) if x and len(y := forms.bare_words(x)) >= w]
+            if not rows:
+                continue
+            lengths = np.array([len(y) for *_, y in rows])
+            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+            words = ids.of([x for *_, y in rows for x in y])
+            record = np.repeat(np.arange(len(rows)), lengths)
+            good = np.zeros(len(words), np.int32)
+            good[1:] = B.held(shared.value, bigrams(words[:-1], words[1:]), bits)
+            sums = np.cumsum(good)
+            place = np.flatnonzero((sums[w - 1 :] - sums[: len(words) - w + 1] >= w - 1 - 2 * plan.edits) & (record[w - 1 :] == record[: len(words) - w + 1]))
+            if len(place):
+                v = _cuts(words, w)[place]
+                r = record[place]
+                out = ([rows[i][0] for i in r], [rows[i][1] for i in r], place - starts[r], window_ids(v).view(np.int64), [x.tobytes() for x in v])
+                kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, kinds)], names=["record_table", "record_id", "first_word", "wid", "words"])
+
+    return texts.select("record_table", "record_id", "text").mapInArrow(run, "record_table string, record_id long, first_word int, wid long, words binary")
+
+
+def verified(pairs: DataFrame, plan: Plan) -> DataFrame:
+    """(wid, words, set_id, item_words) -> (wid, set_id, edits) of pairs within the edits, by exact edit distance."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in forms.slices(batches, 20_000):
+            if not b.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64).reshape(-1, plan.window) for i in (1, 3))
+            d = np.where((x == y).all(axis=1), 0, plan.edits + 1)
+            rest = np.flatnonzero(d)
+            if plan.edits and len(rest):
+                d[rest] = edit_distances(x[rest], y[rest])
+            k = pa.array(d <= plan.edits)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(k), b.column(2).filter(k), pa.array(d.astype(np.int32)).filter(k)], names=["wid", "set_id", "edits"])
+
+    return pairs.select("wid", "words", "set_id", "item_words").mapInArrow(run, "wid long, set_id long, edits int")
 
-    return texts.select("record_table", "record_id", "text").mapInArrow(run, "record_table string, record_id long, item_id string, edits int, first_word int")
+
+def spread_join(many: DataFrame, few: DataFrame, on: str, by: list[str]) -> DataFrame:
+    """Join on a key that a large part of ``many`` may share: its rows are salted, those of ``few`` repeated."""
+    left = many.withColumn("_salt", F.pmod(F.hash(*by), F.lit(SALTS)))
+    right = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, [on, "_salt"]).drop("_salt")
 
 
 def leaks(texts: DataFrame, items: DataFrame, plan: Plan = Plan()) -> DataFrame:
@@ -218,25 +230,30 @@ def leaks(texts: DataFrame, items: DataFrame, plan: Plan = Plan()) -> DataFrame:
     One row per record and item where a window of ``plan.window`` words of the record is within
     ``plan.edits`` word edits of one of the item's; ``edits`` is the least distance found. Records and
     items that are null or shorter than a window give no row; repeated records come out once; extra
-    columns are ignored. Items are read in blocks, so only one block at a time is in the driver.
+    columns are ignored. The texts are read once, whatever the number of items; what is broadcast is a
+    table of at most 2 ** 27 bits.
     """
-    out: DataFrame | None = None
-    block: list[tuple[str, str]] = []
-    stream = items.select("item_id", "text").filter("text is not null and item_id is not null").distinct().toLocalIterator(prefetchPartitions=True)
-
-    def add() -> None:
-        nonlocal out, block
-        found = leaks_of_block(texts, block, plan)
-        out = found if out is None else out.unionByName(found)
-        block = []
-
-    for r in stream:
-        block.append((r.item_id, r.text))
-        if len(block) >= ITEM_BLOCK:
-            add()
-    if block or out is None:
-        add()
-    return out.groupBy("record_table", "record_id", "item_id").agg(F.min(F.struct("edits", "first_word")).alias("m")).select("record_table", "record_id", "item_id", "m.edits", "m.first_word")
+    owned = cut(item_windows(items, plan))
+    windows, owners = owner_sets(owned)
+    bits = B.size_for(windows.count() * plan.window)
+
+    def pairs_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in forms.slices(batches, 10_000):
+            if b.num_rows:
+                w = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint64).reshape(-1, plan.window)
+                yield pa.RecordBatch.from_arrays([pa.array(bigrams(w[:, :-1], w[:, 1:]).ravel().view(np.int64))], names=["key"])
+
+    table = B.bit_table(windows.select("words").mapInArrow(pairs_of_words, "key long"), bits)
+    near = cut(near_windows(texts, table, bits, plan))
+    distinct = near.groupBy("wid").agg(F.first("words").alias("words"))
+    theirs = signed(windows, plan).select("sig", F.col("wid").alias("item_wid"), F.col("words").alias("item_words"))
+    met = signed(distinct, plan).join(theirs, "sig").dropDuplicates(["wid", "item_wid"])
+    found = verified(met.join(windows.select(F.col("wid").alias("item_wid"), "set_id"), "item_wid"), plan).groupBy("wid", "set_id").agg(F.min("edits").alias("edits"))
+    of_sets = spread_join(near.select("record_table", "record_id", "first_word", "wid"), found, "wid", ["record_table", "record_id"])
+    least = F.min(F.struct("edits", "first_word")).alias("m")
+    of_sets = of_sets.groupBy("record_table", "record_id", "set_id").agg(least).select("record_table", "record_id", "set_id", "m.*")
+    of_items = spread_join(of_sets, owners, "set_id", ["record_table", "record_id"])
+    return of_items.groupBy("record_table", "record_id", "item_id").agg(least).select("record_table", "record_id", "item_id", "m.edits", "m.first_word")
 
 
 def project_records(spark: SparkSession, directory: str) -> DataFrame:
@@ -252,8 +269,8 @@ def project_items(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, directory: str) -> DataFrame:
-    """Records with twelve consecutive words of an item: the operator's matches at no edit at all."""
-    return leaks(project_records(spark, directory), project_items(spark, directory)).filter("edits = 0").select("record_table", "record_id", "item_id")
+    """Records with twelve consecutive words of an item: the operator at no edit, where one round has full recall."""
+    return leaks(project_records(spark, directory), project_items(spark, directory), Plan(edits=0)).select("record_table", "record_id", "item_id")
 
 
 def p3_items(spark: SparkSession, directory: str) -> DataFrame:

@@ -27,6 +27,16 @@ def make(seed=3):
     return items, records
 
 
+def distance(a, b):
+    last = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        last = row
+    return last[-1]
+
+
 def brute(items, records, edits):
     out = {}
     for t, k, x in records:
@@ -35,7 +45,7 @@ def brute(items, records, edits):
             v = forms.bare_words(y) if y else []
             for p in range(len(w) - 11):
                 for q in range(len(v) - 11):
-                    d = leaks.edit_distance(np.array(w[p : p + 12]), np.array(v[q : q + 12]), edits)
+                    d = distance(w[p : p + 12], v[q : q + 12])
                     if d <= edits:
                         out[t, k, i] = min(d, out.get((t, k, i), 99))
     return out
@@ -63,11 +73,43 @@ def test_edited_windows_reach_the_recall(spark):
     assert all(d == want[k] for k, d in got.items() if want[k] == 0)
 
 
-def test_blocks_give_the_same(spark, monkeypatch):
-    items, records = make()
-    whole = run(spark, items, records, leaks.Plan())
-    monkeypatch.setattr(leaks, "ITEM_BLOCK", 4)
-    assert run(spark, items, records, leaks.Plan()) == whole
+def test_recall_at_one_two_and_three_edits():
+    rng = np.random.default_rng(4)
+    vocabulary = rng.integers(1, 2**62, 500).astype(np.uint64)
+    for edits in (1, 2, 3):
+        plan = leaks.Plan(edits=edits)
+        one, two = [], []
+        while len(one) < 600:
+            w = rng.choice(vocabulary, 16)
+            v = list(w)
+            for _ in range(edits):
+                k, p = rng.integers(3), rng.integers(len(v))
+                if k == 0:
+                    v[p] = rng.choice(vocabulary)
+                elif k == 1:
+                    v.insert(p, rng.choice(vocabulary))
+                else:
+                    del v[p]
+            one.append(w[:12])
+            two.append(v[:12])
+        x, y = np.array(one), np.array(two, np.uint64)
+        d = leaks.edit_distances(x, y)
+        assert d[:50].tolist() == [distance(a, b) for a, b in zip(x[:50].tolist(), y[:50].tolist())]
+        x, y = x[d <= edits], y[d <= edits]
+        met = np.any([leaks.signatures(x, plan, r) == leaks.signatures(y, plan, r) for r in range(plan.rounds)], axis=0)
+        assert met.mean() >= 0.95, (edits, met.mean())
+
+
+def test_a_passage_shared_by_many_items_and_records(spark):
+    shared = "choose the one best answer to each of the questions that follow below and mark it"
+    items = [(f"i{k}", f"{shared} item {k}") for k in range(300)]
+    records = [("t", k, f"note {k} {shared} now") for k in range(300)]
+    for plan in (leaks.Plan(edits=0), leaks.Plan()):
+        got = leaks.leaks(spark.createDataFrame(records, "record_table string, record_id long, text string"), spark.createDataFrame(items, "item_id string, text string"), plan)
+        assert got.count() == 90_000 and got.filter("edits = 0 and first_word = 2").count() == 90_000
+    windows = leaks.item_windows(spark.createDataFrame(items, "item_id string, text string"), leaks.Plan())
+    distinct, owners = leaks.owner_sets(windows)
+    assert distinct.count() == 6 + 300 and owners.count() == 300 + 300  # owners are held once a set, not once a window
 
 
 def test_edge_cases(spark):
