@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marsad.llm.sizes import token_sizes
@@ -73,7 +73,9 @@ def ranked(sized: DataFrame) -> DataFrame:
 
     local = cut(spread.select("doc_id", "source", "n_tokens").mapInArrow(number, "doc_id long, source string, n_tokens long, part int, rank long"))
     counts = local.groupBy("part", "source").agg(F.max("rank").alias("rows"))
-    before = counts.alias("a").join(counts.alias("b"), (F.col("a.source") == F.col("b.source")) & (F.col("b.part") < F.col("a.part")), "left").groupBy("a.part", "a.source").agg(F.coalesce(F.sum("b.rows"), F.lit(0)).alias("before"))
+    # a row a task and source, so the window of a source holds as many rows as its tasks
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("part", "source", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
     return local.join(before, ["part", "source"]).select("doc_id", "source", "n_tokens", (F.col("rank") + F.col("before")).alias("rank"))
 
 

@@ -4,7 +4,7 @@
 2. Equal token sets collapse into one class; classes with the same prefix of their ordered set and
    the same size collapse into one group.
 3. Groups meet on a token of their prefixes; size and position filters drop pairs that cannot reach
-   the threshold. Tokens with long lists meet in a salted join instead.
+   the threshold. The long list of a token is compared in blocks, in order of size.
 4. The classes of the remaining groups are compared by bitmaps, which bound their overlap from above,
    then verified on their whole sets, and members expand.
 
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marsad.llm import bits as B
 from marsad.llm import forms
 from marsad.session import cut
 from marsad.tables import load, role
@@ -33,9 +34,12 @@ EXPAND_PAIRS = 2_500
 PIECE = 1 << 12
 #: 64-bit words of the bitmap of a token set.
 MAP_WORDS = 8
-#: A token with more groups than this is joined in a salted join rather than within one task.
+#: A token with more groups than this is compared in blocks rather than within one task.
 LONG_LIST = 2_000
-SALTS = 32
+#: Long lists are compared in blocks of so many postings.
+BLOCK = 4_000
+#: Steps of the frequency scale to a doubling.
+FINE = 1_024
 
 
 @dataclass(frozen=True)
@@ -94,7 +98,11 @@ def sketch_bits(texts: DataFrame) -> int:
 
 
 def token_levels(coded: DataFrame, specs: list[Spec], bits: int) -> np.ndarray:
-    """log2 of how many texts have a token of each bucket, as one byte a bucket: a table of fixed size."""
+    """How many texts have a token of each bucket, on a fine logarithmic scale: a table of fixed size.
+
+    A step of the scale is 0.07 %, so that even where a bucket holds a million rare tokens, one of some
+    thousand texts raises it visibly above its neighbours and comes late in the order.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = forms.Ids()
@@ -117,13 +125,13 @@ def token_levels(coded: DataFrame, specs: list[Spec], bits: int) -> np.ndarray:
                 kind = {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(data) // PIECE]
                 v = np.frombuffer(data, kind).astype(np.uint64)
                 sums[k] = sums[k] + v if k in sums else v
-        levels = [np.floor(np.log2(v + np.uint64(1))).astype(np.uint8).tobytes() for v in sums.values()]
+        levels = [(np.log2(v + 1.0) * FINE).astype(np.uint16).tobytes() for v in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], names=["piece", "levels"])
 
     pieces = coded.mapInArrow(count, "piece int, counts binary").repartition("piece").mapInArrow(add, "piece int, levels binary")
-    out = np.zeros(1 << bits, np.uint8)
+    out = np.zeros(1 << bits, np.uint16)
     for r in pieces.toLocalIterator():
-        out[r.piece * PIECE : (r.piece + 1) * PIECE] = np.frombuffer(r.levels, np.uint8)
+        out[r.piece * PIECE : (r.piece + 1) * PIECE] = np.frombuffer(r.levels, np.uint16)
     return out
 
 
@@ -200,13 +208,21 @@ def meet(gid: tuple, place: tuple, brief: tuple, thresholds: np.ndarray) -> np.n
     return keep
 
 
-def candidates(posts: DataFrame, rules: list[Spec], long_list: int = LONG_LIST) -> DataFrame:
-    """(gid_a, gid_b), gid_a < gid_b, of groups that share a token of their prefixes and pass the filters."""
+def candidates(posts: DataFrame, rules: list[Spec], long_list: int = LONG_LIST, block: int = BLOCK) -> DataFrame:
+    """(gid_a, gid_b), gid_a < gid_b, of groups that share a token of their prefixes and pass the filters.
+
+    Postings of a group that several tasks sent count once. The list of a token comes in order of size.
+    A list of up to ``long_list`` postings is compared in place; a longer one is cut into blocks as it
+    streams by, and only blocks that can hold similar sizes meet.
+    """
     thresholds = np.array([r.threshold for r in rules])
+    lowest = float(thresholds.min()) if len(rules) else 1.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(token, a, b, place):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), token)), pa.array(a), pa.array(b), pa.array(place)], names=["token", "gid_a", "gid_b", "place"])
+        def rows(token, a, b, sizes=(0, 0), number=0, data=None):
+            n = len(a)
+            columns = [np.full(n, token), a, b, np.full(n, sizes[0]), np.full(n, sizes[1]), np.full(n, number)]
+            return pa.RecordBatch.from_arrays([*(pa.array(c.astype(np.int64)) for c in columns), pa.array([data] * n, pa.binary())], names=["token", "gid_a", "gid_b", "least", "most", "number", "data"])
 
         def pairs(token, gid, place, brief):
             found = [np.zeros((0, 2), np.int64)]
@@ -222,53 +238,73 @@ def candidates(posts: DataFrame, rules: list[Spec], long_list: int = LONG_LIST)
                     found.append(np.sort(np.column_stack([gid[k], gid[k + step]]), axis=1))
                 step += 1
             both = np.unique(np.concatenate(found), axis=0)
-            return rows(0, both[:, 0], both[:, 1], np.zeros(len(both), np.int64))
+            return rows(0, both[:, 0], both[:, 1])
+
+        def cut_off(x, number):
+            """A block as one row: sizes from least to most, and its postings."""
+            n = (x[1] >> 28) & 0xFFFFFFF
+            return rows(int(x[0][0]), np.zeros(1), np.zeros(1), (int(n.min()), int(n.max())), number, np.column_stack([x[2], x[1], x[3]]).tobytes())
 
         held = [np.zeros(0, np.int64)] * 4
-        passing = None
+        passing, number = None, 0
         for b in batches:
             now = [np.concatenate([h, b.column(j).to_numpy(zero_copy_only=False)]) for j, h in enumerate(held)]
             if not len(now[0]):
                 continue
-            if passing is not None:
-                end = int(np.searchsorted(now[0], passing, "right"))
-                if end:
-                    yield rows(passing, now[1][:end], now[3][:end], now[2][:end])
-                now = [x[end:] for x in now]
-                if not len(now[0]):
-                    held = now
-                    continue
-                passing = None
+            # sorted by token, place and group, so repeats are neighbours
+            new = np.concatenate([_TRUE, (now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1]) | (now[2][1:] != now[2][:-1])])
+            now = [x[new] for x in now]
             starts = np.flatnonzero(np.concatenate([_TRUE, now[0][1:] != now[0][:-1]]))
-            lengths = np.diff(np.concatenate([starts, [len(now[0])]]))
-            is_long = np.repeat(lengths > long_list, lengths)
-            last = starts[-1]
-            if is_long[-1]:
-                passing, last = int(now[0][-1]), len(now[0])
-            short = ~is_long
-            short[last:] = False
+            ends = np.concatenate([starts[1:], [len(now[0])]])
+            is_long = (ends - starts > long_list) | (now[0][starts] == passing)
+            short = np.repeat(~is_long, ends - starts)
+            short[starts[-1] :] = False
             if short.any():
-                yield pairs(*(x[short] for x in now))
-            for s, n in zip(starts[lengths > long_list], lengths[lengths > long_list]):
-                yield rows(int(now[0][s]), now[1][s : s + n], now[3][s : s + n], now[2][s : s + n])
-            held = [x[last:] for x in now]
+                yield pairs(*(now[j][short] for j in (0, 2, 1, 3)))
+            rest = len(now[0])
+            for s, e in zip(starts[is_long], ends[is_long]):
+                token = int(now[0][s])
+                passing, number = token, number if passing == token else 0
+                last = e == len(now[0])
+                while e - s >= block or (e > s and not last):
+                    yield cut_off([x[s : min(e, s + block)] for x in now], number)
+                    number, s = number + 1, min(e, s + block)
+                if last:
+                    rest = s
+            if not is_long[-1]:
+                rest = starts[-1]
+            held = [x[rest:] for x in now]
         if len(held[0]):
-            yield pairs(*held)
+            if passing is not None and held[0][0] == passing:
+                yield cut_off(held, number)
+            else:
+                yield pairs(*(held[j] for j in (0, 2, 1, 3)))
+
+    # token 0 marks a finished pair; the others are blocks of long lists
+    kinds = "token long, gid_a long, gid_b long, least long, most long, number long, data binary"
+    spread = posts.withColumn("token", F.when(F.col("token") == 0, 1).otherwise(F.col("token"))).select("token", "place", "gid", "brief").repartition("token")
+    met = cut(spread.sortWithinPartitions("token", "place", "gid").mapInArrow(run, kinds))
+    blocks = met.filter("token <> 0").select("token", "least", "most", "number", "data")
+    x, y = (blocks.select("token", *(F.col(c).alias(f"{c}_{z}") for c in ("least", "most", "number", "data"))) for z in "xy")
 
-    # token 0 marks a finished pair; rows of long lists have the bitmap in the place of the second group
-    met = cut(posts.withColumn("token", F.when(F.col("token") == 0, 1).otherwise(F.col("token"))).repartition("token").sortWithinPartitions("token").mapInArrow(run, "token long, gid_a long, gid_b long, place long"))
-    hot = met.filter("token <> 0").select("token", F.col("gid_a").alias("gid"), "place", F.col("gid_b").alias("brief"))
-    left = hot.select("token", F.pmod("gid", F.lit(SALTS)).alias("salt"), F.col("gid").alias("gid_a"), F.col("place").alias("place_a"), F.col("brief").alias("brief_a"))
-    right = hot.select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), F.col("gid").alias("gid_b"), F.col("place").alias("place_b"), F.col("brief").alias("brief_b"))
-
-    def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = [b.column(j).to_numpy(zero_copy_only=False) for j in range(6)]
-            k = meet((x[0], x[1]), (x[2], x[3]), (x[4], x[5]), thresholds)
-            yield pa.RecordBatch.from_arrays([pa.array(x[0][k]), pa.array(x[1][k])], names=["gid_a", "gid_b"])
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in forms.slices(batches, 16):
+            found = [np.zeros((0, 2), np.int64)]
+            for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                p, q = (np.frombuffer(d, np.int64).reshape(-1, 3) for d in (u, v))
+                for part in np.array_split(p, max(1, len(p) * len(q) // 500_000)):
+                    i, j = (k.ravel() for k in np.indices((len(part), len(q))))
+                    k = meet((part[i, 0], q[j, 0]), (part[i, 1], q[j, 1]), (part[i, 2], q[j, 2]), thresholds)
+                    found.append(np.sort(np.column_stack([part[i[k], 0], q[j[k], 0]]), axis=1))
+            both = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["gid_a", "gid_b"])
 
-    from_hot = left.join(right, ["token", "salt"]).filter("gid_a < gid_b").select("gid_a", "gid_b", "place_a", "place_b", "brief_a", "brief_b").mapInArrow(filtered, "gid_a long, gid_b long")
-    return met.filter("token = 0").select("gid_a", "gid_b").unionByName(from_hot).distinct()
+    # blocks whose sizes are too far apart never meet; the number of tasks is set, as few bytes are much work here
+    near = lambda p, q: F.col(f"most_{p}") >= F.lit(lowest) * F.col(f"least_{q}") - 1e-9
+    may = (F.col("number_x") <= F.col("number_y")) & near("x", "y") & near("y", "x")
+    tasks = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    from_blocks = x.join(y, "token").filter(may).select("data_x", "data_y").repartition(tasks, "data_x", "data_y").mapInArrow(compare, "gid_a long, gid_b long")
+    return met.filter("token = 0").select("gid_a", "gid_b").unionByName(from_blocks).distinct()
 
 
 class Found:
@@ -312,38 +348,11 @@ def similar(texts: DataFrame, specs: dict[str, Spec]) -> Found:
     size = F.col("n_a") + F.col("n_b")
     pairs = pairs.filter((size - apart) / 2 >= t / (1 + t) * size - 1e-9)
     pairs = cut(pairs.select("code", F.least("x", "y").alias("rep_a"), F.greatest("x", "y").alias("rep_b")))
-    return Found(names, classes, members, cut(verified(coded, rules, pairs, min(27, bits + 2))))
+    return Found(names, classes, members, cut(verified(coded, rules, pairs, max(15, min(B.MOST_BITS, bits + 2)))))
 
 
-def key_bits(code: list[int], key: list[int], bits: int) -> np.ndarray:
-    k = np.array(key, np.int64).view(np.uint64) * _ODD + np.array(code, np.uint64) * _ODD2
-    return ((k ^ (k >> np.uint64(31))) * _ODD >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def key_filter(keys: DataFrame, bits: int) -> np.ndarray:
-    """A table of 2 ** bits bits, as bytes, with the bits of all (code, key) set: a filter of fixed size."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.zeros(0, np.int64)]
-        for b in batches:
-            seen.append(np.unique(key_bits(b.column(0).to_pylist(), b.column(1).to_pylist(), bits)))
-            if len(seen) > 50:
-                seen = [np.unique(np.concatenate(seen))]
-        at = np.unique(np.concatenate(seen))
-        pieces = at // (PIECE * 8)
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(pieces)), pa.array([(at[pieces == p] % (PIECE * 8)).astype(np.uint16).tobytes() for p in np.unique(pieces)], pa.binary())], names=["piece", "at"])
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps: dict[int, np.ndarray] = {}
-        for b in batches:
-            for p, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                maps.setdefault(p, np.zeros(PIECE * 8, np.uint8))[np.frombuffer(x, np.uint16)] = 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(maps), pa.int64()), pa.array([np.packbits(m).tobytes() for m in maps.values()], pa.binary())], names=["piece", "map"])
-
-    out = np.zeros(1 << (bits - 3), np.uint8)
-    for r in keys.mapInArrow(mark, "piece long, at binary").repartition("piece").mapInArrow(join, "piece long, map binary").toLocalIterator():
-        out[r.piece * PIECE : (r.piece + 1) * PIECE] = np.frombuffer(r.map, np.uint8)
-    return out
+def key_hash(code: list[int], key: list[int]) -> np.ndarray:
+    return np.array(key, np.int64).view(np.uint64) * _ODD + np.array(code, np.uint64) * _ODD2
 
 
 def verified(coded: DataFrame, rules: list[Spec], pairs: DataFrame, bits: int) -> DataFrame:
@@ -352,7 +361,13 @@ def verified(coded: DataFrame, rules: list[Spec], pairs: DataFrame, bits: int) -
     Texts are read again; a filter of fixed size lets those of candidates through, and hardly any others,
     so no text is shuffled.
     """
-    filter_ = coded.sparkSession.sparkContext.broadcast(key_filter(pairs.select("code", F.explode(F.array("rep_a", "rep_b")).alias("key")), bits))
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(key_hash(b.column(0).to_pylist(), b.column(1).to_pylist()).view(np.int64))], names=["key"])
+
+    wanted = pairs.select("code", F.explode(F.array("rep_a", "rep_b")).alias("key")).mapInArrow(hashes, "key long")
+    filter_ = coded.sparkSession.sparkContext.broadcast(B.bit_table(wanted, bits))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = forms.Ids()
@@ -360,8 +375,7 @@ def verified(coded: DataFrame, rules: list[Spec], pairs: DataFrame, bits: int) -
             if not b.num_rows:
                 continue
             codes, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
-            at = key_bits(codes, keys, bits)
-            keep = (filter_.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            keep = B.held(filter_.value, key_hash(codes, keys), bits)
             texts = [x if k else None for x, k in zip(b.column(2).to_pylist(), keep)]
             rows = [(c, k, t.tobytes()) for c, k, t in zip(codes, keys, tokens_of(texts, codes, rules, ids)) if t is not None]
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.int64(), pa.binary()))], names=["code", "key", "tokens"])

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from marsad.llm import forms, neardup
 from marsad.llm.neardup import Spec
 
@@ -86,12 +88,12 @@ def test_empty_table_and_extra_columns(spark):
     assert neardup.clusters(neardup.similar(df.limit(0), {"a": Spec()})).count() == 0
 
 
-def test_long_lists_take_the_salted_join(spark, monkeypatch):
+def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
     rows = make(6)
     specs = {"a": Spec(1, 0.5), "b": Spec(2, 0.5)}
     texts = spark.createDataFrame(rows, SCHEMA)
     plain = neardup.candidates
-    monkeypatch.setattr(neardup, "candidates", lambda posts, rules: plain(posts, rules, long_list=2))
+    monkeypatch.setattr(neardup, "candidates", lambda posts, rules: plain(posts, rules, long_list=2, block=3))
     got = {tuple(r) for r in neardup.record_pairs(neardup.similar(texts, specs)).collect()}
     want = brute(rows, specs)
     assert want and got == want
@@ -113,3 +115,29 @@ def test_project_groups_follow_the_definition_of_the_pairs(spark, tmp_path):
     together = {(t, a, b) for t, a in of for u, b in of if t == u and a < b and of[t, a].cluster_key == of[t, b].cluster_key}
     assert together == pairs
     assert of["documents", 3].cluster_key == 3 and of["documents", 3].n_links == 0 and of["messages", 1].cluster_key == 1
+
+
+def test_a_hot_token_among_sets_of_many_sizes(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(300):
+        n = rng.choice([6, 9, 14, 22, 35])
+        rows.append(("a", k, " ".join(["hot"] + rng.choices([f"v{i}" for i in range(40)], k=n))))
+    specs = {"a": Spec(1, 0.6)}
+    posts = neardup.postings
+    plain = neardup.candidates
+    try:
+        neardup.candidates = lambda p, r: plain(p, r, long_list=10, block=16)
+        # every posting comes twice, as if two tasks had sent each group
+        neardup.postings = lambda f: posts(f).unionAll(posts(f))
+        got = run(spark, rows, specs)
+    finally:
+        neardup.candidates, neardup.postings = plain, posts
+    assert len(got) == len(set(got)) and set(got) == brute(rows, specs)
+
+
+def test_the_order_sees_hot_tokens_in_crowded_buckets():
+    crowd, hot = 600_000, 5_000
+    level = lambda v: int(np.uint16(np.log2(v + 1.0) * neardup.FINE))
+    assert level(crowd + hot) > level(crowd + 2_500)  # three deviations of a crowded bucket
+    assert level(2.0**60) < 65_536
