@@ -435,13 +435,14 @@ def decode(n: int, functions: int) -> list[int]:
 WIDTHS = {d: len(m) for d, m in MEANING.items()}
 
 
-def cast_votes(pairs: DataFrame, frames: Frames, idf: dict[str, float]) -> DataFrame:
+def cast_votes(pairs: DataFrame, frames: Frames, idf: residue.Idf) -> DataFrame:
     """(record_table, record_key, prompt, reply) -> (record_table, record_key, residue, a vote pattern per defect)."""
     shared = pairs.sparkSession.sparkContext.broadcast(frames)
+    residues = pairs.sparkSession.sparkContext.broadcast(residue.Exemplars(idf))
     blanks = re.compile(residue._BLANKS_WANTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        exemplars = residue.Exemplars(idf)
+        exemplars = residues.value
         for b in forms.slices(batches):
             left: list[bool] = []
             out: dict[str, list[int]] = {d: [] for d in DEFECTS}

@@ -1,4 +1,12 @@
-"""Problem 4: template residue, filler and site notices, found by containment of labelled exemplars."""
+"""Problem 4: template residue, filler and site notices, found by containment of labelled exemplars.
+
+Exemplars are retrieved through an inverted index on word pairs. An exemplar of features (its words, and
+its word pairs, weighted by inverse document frequency) matches where a passage window holds enough of
+its weight. Index and windows are lossless: they find whatever a scan of all exemplars over all windows
+finds. Filler counts alone or within real text; a notice counts where residue words cover the value;
+placeholders are found by their brackets and judged by how much of their content the labelled
+placeholders contain.
+"""
 
 from __future__ import annotations
 
@@ -7,218 +15,37 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marsad.llm import exemplars as E
 from marsad.llm import forms
 from marsad.tables import load, role
 
-# Labelled exemplars. Digits stand for any number, 0x for any code of digits and letters.
-FILLER = """
-lorem ipsum dolor sit amet consectetur adipiscing elit
-sample text sample text sample text
-placeholder text placeholder text
-dummy text dummy text
-test test 123
-testing testing 123
-asdf asdf qwer asdf
-qwerty qwerty qwerty
-blah blah blah blah
-foo bar foo bar baz
-xxx xxx xxx
-content goes here
-your text goes here
-text goes here
-insert text here
-insert content here
-add your text here
-enter your text here
-text to be added soon
-content will be added soon
-description to be added later
-content coming soon
-temporary copy to fill the box
-temporary text to fill the space
-this is a placeholder
-to be filled in later
-نص تجريبي نص تجريبي نص تجريبي
-نص مؤقت نص مؤقت
-تجربة تجربة 123
-اختبار اختبار 123
-بلا بلا بلا بلا
-كلام مؤقت لتعبئة المساحة فقط
-نص مؤقت لملء الفراغ
-سيتم إضافة النص هنا قريباً
-سيتم إضافة المحتوى قريباً
-هنا يوضع المحتوى لاحقاً
-يوضع النص هنا لاحقاً
-أدخل النص هنا
-اكتب النص هنا
-هذا النص هو مثال لنص يمكن أن يستبدل في نفس المساحة
-texte à ajouter bientôt
-le contenu sera ajouté bientôt
-votre texte ici
-texte provisoire texte provisoire
-"""
-NOTICE = """
-error 404 the page you asked for was not found
-error 404 page not found
-the requested page was not found
-the requested url was not found on this server
-404 not found
-403 forbidden
-500 internal server error
-502 bad gateway
-503 service unavailable
-504 gateway timeout
-access denied
-you do not have permission to view this page
-unhandled exception in module view 0x at render page 404
-warning undefined offset 404 in srv app 0x tpl
-failed to load resource 0x
-too many requests slow down 404
-request timed out after 404 ms reload to try again
-oops nothing lives at this address any more
-oops something went wrong
-something broke on our side
-something went wrong please try again later
-incident 0x
-reference 0x
-فشل التحميل 0x
-رقم المرجع 0x
-fatal could not connect to database at line 404
-your session has expired sign in again
-checking that you are not a robot one moment
-checking your browser before accessing
-verify that you are a human
-this content is not offered in your area
-this content is not available in your country
-the site is down for maintenance
-we are down for maintenance back soon
-the link you followed is no longer available
-no results because the database connection was lost
-could not reach the server 404
-could not connect to the database
-you need to enable scripts and cookies to run this app
-you need to enable javascript to run this app
-please enable javascript to view this page
-please enable cookies to continue
-please switch on javascript to view this site
-this page requires a browser with scripting turned on
-this site requires javascript
-your browser does not support javascript
-your browser is out of date please update it
-javascript is disabled turn it on and reload
-javascript is disabled
-turn it on and reload
-loading if nothing shows allow scripts for this site
-if nothing shows allow scripts for this site
-we could not start the page because client code is blocked
-loading please wait
-خطأ 404 الصفحة المطلوبة غير موجودة
-الصفحة غير موجودة
-عذراً تعذر الوصول إلى الخادم 404
-تعذر إكمال العملية مهلة الاتصال انتهت بعد 404 مللي ثانية
-الرابط الذي فتحته لم يعد متاحاً ارجع للصفحة الأولى
-فشل تحميل المحتوى 0x
-لا توجد نتائج لأن الاتصال بقاعدة البيانات انقطع
-حدث خلل داخلي حاول لاحقاً
-حدث خطأ غير متوقع حاول مرة أخرى
-غير مصرح لك بعرض هذا المحتوى رمز 404
-الموقع تحت الصيانة حالياً
-تم تجاوز عدد الطلبات المسموح انتظر قليلاً
-انتهت صلاحية الجلسة سجل الدخول من جديد
-هذا المحتوى غير متاح في منطقتك
-نتحقق من أنك لست روبوت لحظة
-الصفحة تحتاج متصفحاً أحدث مع javascript مفعل
-لعرض هذا المحتوى اسمح بتشغيل الشيفرة في المتصفح
-متصفحك لا يدعم النصوص البرمجية فعلها ثم أعد التحميل
-يرجى تفعيل جافا سكربت في متصفحك لعرض الصفحة
-هذا الموقع لا يعمل بدون تشغيل السكربتات وملفات الارتباط
-يجب تفعيل ملفات الارتباط للمتابعة
-javascript غير مفعل شغله ثم حدث الصفحة
-جاري التحميل إذا لم يظهر شيء اسمح بالسكربتات
-erreur 404 page introuvable
-la page demandée est introuvable
-accès refusé
-une erreur est survenue réessayez plus tard
-veuillez activer javascript pour afficher cette page
-votre navigateur ne prend pas en charge javascript
-ce site nécessite javascript et les cookies
-le site est en maintenance
-votre session a expiré reconnectez vous
-"""
-MENU = """
-home
-contact
-contact us
-about
-about us
-search
-site map
-log in
-menu
-back
-reload
-help
-الرئيسية
-اتصل بنا
-من نحن
-البحث
-خريطة الموقع
-تسجيل الدخول
-accueil
-recherche
-plan du site
-à propos
-"""
-# Words of the usual filler in Latin; a run of them is filler. Cut forms are included.
-LATIN_FILLER = """
-lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua
-enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit
-voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia
-deserunt mollit anim id est laborum consec lectus viverra ultric ultrices ultricies mauris nisl feugiat porta sodal sodales
-fusce orci tellus vitae aenean dapib dapibus vestibulum pellentesque curabitur praesent suspendisse ligula
-"""
-# Bracketed editorial notes and markup names that are no unfilled slots.
-EDITORIAL = {"sic", "edit", "music", "applause", "laughter", "citation needed", "note", "x", "ok"}
-MARKUP = "a abbr article b blockquote body br button center code dd div dl dt em font footer form h1 h2 h3 h4 h5 h6 head header hr html i iframe img input label li link main meta nav ol option p pre script section select small span strong style sub sup svg table tbody td textarea tfoot th thead title tr u ul var video"
+#: Share of an exemplar's weight that a window must hold, and of a value's weight that residue must cover.
+CONTAINED, COVERAGE = 0.75, 0.7
+#: Words that are in no exemplar are counted in so many buckets.
+BUCKETS = 1 << 16
+#: Passages of so many words are held against the Latin filler.
+LATIN_WINDOW = 4
 
 _CODE = re.compile(r"```.*?(?:```|\Z)|`[^`\n]+`", re.S)
-_SLOT = re.compile(
-    r"\{\{[^{}\n]{1,60}\}\}|\{%[^%\n]{1,60}%\}|\{%[^%\n]{1,60}?[}\n]|\$\{[^{}\n]{1,60}\}|\[\[[^\[\]\n]{1,60}\]\]|<<[^<>\n]{1,60}>>"
-    r"|%\([^()\n]{1,60}\)s|@@[^@\n]{1,60}@@|(?<!\w)__[^\W_][^\n_]*(?:_[^\n_]+)*__(?!\w)|(?<![\w#])#[^#\s](?:[^#\n]{0,40}[^#\s])?#(?!\w)"
-    r"|(?<![\\\w])\{[^\W\d][\w .]{0,40}\}|<(?P<angle>[^\W\d][\w .]{0,40})>|(?<![\w\]])\[(?P<square>[^\W\d][\w .]{0,40})\](?!\()"
+# brackets that only templates use, and brackets that stand in real text too
+_STRONG = re.compile(r"\{\{([^{}\n]+)\}\}|\{%([^%\n]+)%\}|\{%([^%\n]+?)[}\n]|%\(([^()\n]+)\)s|@@([^@\n]+)@@")
+_WEAK = re.compile(
+    r"\$\{([^{}\n]+)\}|\[\[([^\[\]\n]+)\]\]|<<([^<>\n]+)>>|(?<!\w)__([^\W_][^\n_]*(?:_[^\n_]+)*)__(?!\w)"
+    r"|(?<![\w#])#([^#\s](?:[^#\n]*[^#\s])?)#(?!\w)|(?<![\\\w])\{([^\W\d][\w .]*)\}|<([^\W\d][\w .]*)>|(?<![\w\]])\[([^\W\d][^\[\]\n]*)\](?!\()"
 )
 _SLOT_SIGN = re.compile(r"[\[{<%#@]|__")
 _HEX = re.compile(r"(?=[0-9a-f]*\d)[0-9a-f]{5,}\Z|(?=\w*\d)(?=\w*[a-z])[a-z0-9]{5,}\Z")
+_LETTER = re.compile(r"[^\W\d_]")
 _BLANKS_WANTED = (
     r"(?i)(نموذج|قالب|استمار|فراغ|اقواس|أقواس|\bblank|\btemplate|\bform\b|placeholder|fill in|brackets|modèle|formulaire|champs? vides?)"
 )
 
 
-def slots(text: str) -> list[str]:
-    """Unfilled placeholders outside code."""
-    if _SLOT_SIGN.search(text) is None:
-        return []
-    out = []
-    for m in _SLOT.finditer(_CODE.sub(" ", text)):
-        inner = m.group("angle") or m.group("square")
-        if inner is not None:
-            low = inner.strip().lower()
-            if m.group("angle") and (inner in _MARKUP_NAMES or low.split()[0] in _MARKUP_NAMES and inner == low):
-                continue
-            if low in EDITORIAL or _HEX.match(low):
-                continue
-        out.append(m.group(0))
-    return out
-
-
-_MARKUP_NAMES = set(MARKUP.split())
-_LATIN = set(LATIN_FILLER.split())
-
-
 def tokens(text: str) -> list[str]:
     """Bare words; numbers become 0, long numbers and codes 0x, so that an exemplar stands for all of them."""
     return masked(forms.bare_words(text))
@@ -228,150 +55,218 @@ def masked(words: list[str]) -> list[str]:
     return [("0x" if len(w) > 4 else "0") if w.isdigit() else "0x" if w[0] in "0123456789abcdef" and _HEX.match(w) else w for w in words]
 
 
-class Exemplars:
-    """An inverted index from words to the labelled exemplars that hold them.
+def phrases(block: str) -> list[tuple[str, ...]]:
+    return list(dict.fromkeys(t for line in E.expand(block) if (t := tuple(tokens(line.replace("0x", "0a0a0a"))))))
 
-    ``idf``: word -> inverse document frequency over the corpus. A bigram weighs as its two words.
-    """
 
-    def __init__(self, idf: dict[str, float] | None = None):
-        self.texts: list[tuple[str, list[str]]] = []
-        for kind, block in (("filler", FILLER), ("notice", NOTICE), ("menu", MENU)):
-            self.texts += [(kind, t) for line in block.strip().splitlines() if (t := tokens(line.replace("0x", "0a0a0a")))]
-        self.vocabulary = {w for _, t in self.texts for w in t}
-        self.idf = {w: (idf or {}).get(w, 1.0) for w in self.vocabulary}
+class Idf:
+    """Inverse document frequency: exact for the words of the exemplars, by buckets for all others; 1 where nothing was counted."""
+
+    def __init__(self, known: dict[str, float] | None = None, buckets: np.ndarray | None = None):
+        self.known, self.buckets, self.ids = known or {}, buckets, forms.Ids()
+
+    def __getitem__(self, word: str) -> float:
+        v = self.known.get(word)
+        if v is not None:
+            return v
+        return 1.0 if self.buckets is None else float(self.buckets[self.ids[word] & (BUCKETS - 1)])
+
+
+class Exemplars:
+    """An inverted index from word pairs to the labelled exemplars that hold them."""
+
+    def __init__(self, idf: Idf | None = None):
+        self.idf = idf or Idf()
+        self.kinds = {"filler": phrases(E.FILLER), "notice": phrases(E.NOTICE), "talk": phrases(E.TALK)}
+        self.menu = {w for t in phrases(E.MENU) for w in t}
+        self.slot_words = {w for t in phrases(E.SLOT) for w in t}
+        self.latin = set(E.LATIN_FILLER.split())
+        self.words = {k: {w for t in ts for w in t} for k, ts in self.kinds.items()}
+        self.vocabulary = set().union(*self.words.values(), self.menu, self.slot_words)
+        self.covering = self.words["notice"] | self.menu
+        self.texts: list[tuple[str, tuple[str, ...]]] = []
         self.features: list[dict] = []
         self.total: list[float] = []
-        self.index: dict[str, list[int]] = defaultdict(list)
-        for i, (kind, t) in enumerate(self.texts):
-            f = self.weigh(t)
-            self.features.append(f)
-            self.total.append(sum(f.values()))
-            anchors = sorted(set(t), key=lambda w: (-self.idf[w], w))[:2]
-            for w in anchors:
-                self.index[w].append(i)
-        self.anchors = set(self.index)
-        self.words = [set(t) for _, t in self.texts]
-        self.enough = [0.7 * sum(self.idf[w] for w in words) for words in self.words]
-
-    def weigh(self, t: list[str]) -> dict:
-        f: dict = {}
-        for w in t:
-            f[w] = self.idf[w]
-        for a, b in zip(t, t[1:]):
-            f[a, b] = self.idf[a] + self.idf[b]
+        self.index: dict[str, dict[tuple[str, str], list[int]]] = {k: defaultdict(list) for k in self.kinds}
+        for kind, ts in self.kinds.items():
+            for t in ts:
+                f = self.weigh(t)
+                i, total = len(self.texts), sum(f.values())
+                self.texts.append((kind, t))
+                self.features.append(f)
+                self.total.append(total)
+                # a window without any of these pairs holds too little of the exemplar
+                lost = 0.0
+                for pair in sorted((x for x in f if isinstance(x, tuple)), key=lambda x: (-f[x], x)):
+                    self.index[kind][pair].append(i)
+                    lost += f[pair]
+                    if lost > (1 - CONTAINED) * total + 1e-9:
+                        break
+                else:
+                    raise ValueError(f"an exemplar needs two words: {t}")
+
+    def weigh(self, t: tuple[str, ...]) -> dict:
+        """Each word weighs its idf, each pair of neighbours as much as its two words."""
+        f: dict = {w: self.idf[w] for w in t}
+        f.update({(a, b): self.idf[a] + self.idf[b] for a, b in zip(t, t[1:])})
         return f
 
-    def matches(self, t: list[str], least: float = 0.75) -> list[tuple[str, int, int, int]]:
-        """(kind, exemplar, first, last) of windows of ``t`` that contain an exemplar's weight by ``least`` or more."""
-        hit = self.anchors.intersection(t)
+    def width(self, i: int) -> int:
+        n = len(self.texts[i][1])
+        return n + n // 4
+
+    def held(self, i: int, window: list[str]) -> float:
+        """The share of an exemplar's weight in a window."""
+        f = self.features[i]
+        return (sum(f[w] for w in set(window) if w in f) + sum(f[p] for p in set(zip(window, window[1:])) if p in f)) / self.total[i]
+
+    def matches(self, t: list[str], kind: str) -> Iterator[tuple[int, int]]:
+        """(exemplar, first word) of windows that contain an exemplar of a kind; the first window of each exemplar."""
+        if len(t) < 2 or self.words[kind].isdisjoint(t):
+            return
+        index = self.index[kind]
+        pairs = list(zip(t, t[1:]))
+        here = set(pairs)
+        hit = [p for p in here if p in index]
         if not hit:
-            return []
-        here = set(t)
-        candidates = sorted({i for w in hit for i in self.index[w]})
-        out = []
-        places: dict[str, list[int]] | None = None
-        for i in candidates:
-            kind, e = self.texts[i]
-            words = self.words[i]
-            if sum(map(self.idf.__getitem__, words & here)) < self.enough[i]:
+            return
+        here.update(t)
+        places: dict[int, list[int]] = defaultdict(list)
+        at = defaultdict(list)
+        for n, p in enumerate(pairs):
+            at[p].append(n)
+        for p in hit:
+            for i in index[p]:
+                places[i] += at[p]
+        for i in sorted(places):
+            f = self.features[i]
+            if sum(v for x, v in f.items() if x in here) < CONTAINED * self.total[i] - 1e-9:
                 continue
-            if places is None:
-                places = defaultdict(list)
-                for p, w in enumerate(t):
-                    places[w].append(p)
-            anchor = max(words & here, key=lambda w: (self.idf[w], w))
-            offsets = [p for p, w in enumerate(e) if w == anchor]
-            best_last = -1
-            for p in places[anchor]:
-                if p <= best_last:
-                    continue
-                for o in offsets:
-                    first = max(0, p - o)
-                    last = min(len(t), first + len(e) + len(e) // 4)
-                    w = t[first:last]
-                    got = {x for x in w if x in words}
-                    weight = sum(self.idf[x] for x in got) + sum(self.features[i][x, y] for x, y in set(zip(w, w[1:])) if (x, y) in self.features[i])
-                    if weight >= least * self.total[i]:
-                        ends = [q for q in range(first, last) if t[q] in words]
-                        out.append((kind, i, first, ends[-1]))
-                        best_last = ends[-1]
+            width, tried = self.width(i), -1
+            for p in sorted(places[i]):
+                found = False
+                for first in range(max(0, p + 2 - width, tried + 1), p + 1):
+                    tried = first
+                    if self.held(i, t[first : first + width]) >= CONTAINED - 1e-9:
+                        yield i, first
+                        found = True
                         break
-        return out
-
+                if found:
+                    break
 
-def latin_run(t: list[str], least: int = 4) -> bool:
-    run = 0
-    for w in t:
-        run = run + 1 if w in _LATIN else 0
-        if run >= least:
-            return True
-    return False
+    def latin_passage(self, t: list[str]) -> bool:
+        """Whether a window of LATIN_WINDOW words is contained in the Latin filler."""
+        run = 0
+        for w in t:
+            run = run + 1 if w in self.latin else 0
+            if run >= LATIN_WINDOW:
+                return True
+        return False
+
+    def share(self, words: list[str], among: set[str]) -> float:
+        """The share of the words' weight that is among some words."""
+        whole = inside = 0.0
+        for w in words:
+            v = self.idf[w]
+            whole += v
+            if w in among:
+                inside += v
+        return inside / whole if whole else 0.0
+
+
+def slots(text: str, exemplars: Exemplars) -> list[str]:
+    """Unfilled placeholders outside code: brackets of templates, and other brackets whose content labelled placeholders contain."""
+    if _SLOT_SIGN.search(text) is None:
+        return []
+    text = _CODE.sub(" ", text) if "`" in text else text
+    out = [m.group(0) for m in _STRONG.finditer(text) if _LETTER.search(m.group(m.lastindex))]
+    for m in _WEAK.finditer(text):
+        inner = masked(forms.bare_words(m.group(m.lastindex)))
+        if inner and exemplars.share(inner, exemplars.slot_words) >= CONTAINED:
+            out.append(m.group(0))
+    return out
 
 
-def judge(text: str, exemplars: Exemplars, coverage: float = 0.7, words: list[str] | None = None) -> tuple[str | None, float]:
+def judge(text: str, exemplars: Exemplars, coverage: float = COVERAGE, words: list[str] | None = None) -> tuple[str | None, float]:
     """(kind, share of the value that residue covers); kind is slot, filler, notice or null for real text.
 
-    Filler counts alone or within real text. A notice counts only where residue and menu words
-    cover ``coverage`` or more of the whole value, so text that talks about errors stays. ``words`` are the
-    bare words of the text without its code, where the caller has them.
+    Filler counts alone or within real text. A notice counts only where an exemplar matches, nothing
+    matches that speaks about notices, and words of notices and menus cover ``coverage`` or more of the
+    whole value. ``words`` are the bare words of the text without its code, where the caller has them.
     """
-    found = slots(text)
-    if found:
+    if slots(text, exemplars):
         return "slot", 1.0
     t = masked(words) if words is not None else tokens(_CODE.sub(" ", text) if "`" in text else text)
     if not t:
         return None, 0.0
-    if not _LATIN.isdisjoint(t) and latin_run(t):
+    if not exemplars.latin.isdisjoint(t) and exemplars.latin_passage(t):
         return "filler", 1.0
-    m = exemplars.matches(t)
-    if not m:
-        return None, 0.0
-    if any(k == "filler" for k, *_ in m):
+    if next(exemplars.matches(t, "filler"), None):
         return "filler", 1.0
-    if not any(k == "notice" for k, *_ in m):
+    by_count = sum(w in exemplars.covering for w in t) / len(t)
+    if by_count < coverage - 0.2:
         return None, 0.0
-    covered = set()
-    for _, i, first, last in m:
-        covered.update(range(first, last + 1))
-    weigh = lambda p: exemplars.idf.get(t[p], 1.0)
-    whole = sum(weigh(p) for p in range(len(t)))
-    share = sum(weigh(p) for p in covered) / whole if whole else 0.0
-    by_count = len(covered) / len(t)
-    return ("notice" if max(share, by_count) >= coverage and by_count >= coverage - 0.15 else None), share
-
-
-def exemplar_idf(texts: DataFrame) -> dict[str, float]:
-    """Inverse document frequency of the exemplars' words over all values; at most one number per exemplar word reaches the driver."""
+    share = exemplars.share(t, exemplars.covering)
+    if max(share, by_count) < coverage or min(share, by_count) < coverage - 0.2:
+        return None, 0.0
+    if next(exemplars.matches(t, "notice"), None) and not next(exemplars.matches(t, "talk"), None):
+        return "notice", share
+    return None, 0.0
+
+
+def exemplar_idf(texts: DataFrame) -> Idf:
+    """Inverse document frequency over all values: a number an exemplar word and a table of fixed size reach the driver."""
     vocabulary = Exemplars().vocabulary
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c: Counter = Counter()
-        n = 0
+        known: Counter = Counter()
+        others, n, ids = np.zeros(BUCKETS, np.uint32), 0, forms.Ids()
         for b in forms.slices(batches):
+            at = [np.zeros(0, np.uint64)]
             for x in b.column(0).to_pylist():
                 if x:
                     n += 1
-                    c.update(vocabulary.intersection(tokens(x)))
-        c[""] = n
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
-
-    rows = texts.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    df = {r.word: r.n for r in rows}
-    total = df.pop("", 0)
-    return {w: 1.0 + math.log((total + 1) / (df.get(w, 0) + 1)) for w in vocabulary}
-
-
-def residue(texts: DataFrame, idf: dict[str, float] | None = None) -> DataFrame:
+                    w = set(tokens(x))
+                    known.update(vocabulary & w)
+                    at.append(np.unique(ids.of(list(w)) & np.uint64(BUCKETS - 1)))
+            others += np.bincount(np.concatenate(at).astype(np.int64), minlength=BUCKETS).astype(np.uint32)
+        rows = [*known.items(), ("", n)]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows] + [None], pa.string()), pa.array([k for _, k in rows] + [0], pa.int64()), pa.array([None] * len(rows) + [others.tobytes()], pa.binary())], names=["word", "n", "others"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: Counter = Counter()
+        others = None
+        for b in batches:
+            for w, k, o in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if o is None:
+                    known[w] += k
+                else:
+                    others = np.frombuffer(o, np.uint32).astype(np.uint64) + (0 if others is None else others)
+        data = [] if others is None else [others.tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([*known, *[None] * len(data)], pa.string()), pa.array([*known.values(), *[0] * len(data)], pa.int64()), pa.array([None] * len(known) + data, pa.binary())], names=["word", "n", "others"])
+
+    kinds = "word string, n long, others binary"
+    counts, others = {}, np.zeros(BUCKETS)
+    for r in texts.select("text").mapInArrow(count, kinds).repartition("word").mapInArrow(add, kinds).toLocalIterator():
+        if r.others is None:
+            counts[r.word] = r.n
+        else:
+            others = np.frombuffer(r.others, np.uint64).astype(float)
+    total = counts.pop("", 0)
+    known = {w: 1.0 + math.log((total + 1) / (counts.get(w, 0) + 1)) for w in vocabulary}
+    return Idf(known, (1.0 + np.log((total + 1) / (others + 1))).astype(np.float32))
+
+
+def residue(texts: DataFrame, idf: Idf | None = None) -> DataFrame:
     """(record_table, record_id, field_name, text) -> (record_table, record_id, field_name, kind, coverage) of residue.
 
     Null and blank values are no residue. Values that repeat under one key come out once. Extra
     columns are ignored. ``idf`` is counted over ``texts`` where it is not given.
     """
-    idf = exemplar_idf(texts) if idf is None else idf
+    shared = texts.sparkSession.sparkContext.broadcast(Exemplars(exemplar_idf(texts) if idf is None else idf))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        exemplars = Exemplars(idf)
+        exemplars: Exemplars = shared.value
         for b in forms.slices(batches):
             out: list[list] = [[], [], [], [], []]
             for j, x in enumerate(b.column(3).to_pylist()):

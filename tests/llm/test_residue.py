@@ -1,8 +1,17 @@
+import os
+import random
+import sys
+
 from marsad.llm import residue
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+
+EXEMPLARS = residue.Exemplars()
+
 
 def kind(text):
-    return residue.judge(text, residue.Exemplars())[0]
+    return residue.judge(text, EXEMPLARS)[0]
 
 
 def test_slots_outside_code():
@@ -40,3 +49,44 @@ def test_forms_that_the_user_asked_for(spark):
         "message_id long, seed_index long, turn int, role string, content string",
     )
     assert [r.message_id for r in residue.asked_for_blanks(m).collect()] == [2]
+
+
+def test_fresh_texts():
+    import fresh_residue
+
+    missed = [t for t in fresh_residue.RESIDUE if kind(t) is None]
+    false = [t for t in fresh_residue.REAL if kind(t) is not None]
+    found = len(fresh_residue.RESIDUE) - len(missed)
+    assert found >= 0.9 * len(fresh_residue.RESIDUE), missed
+    assert found >= 0.9 * (found + len(false)), false
+
+
+def test_index_and_windows_lose_nothing():
+    rng = random.Random(3)
+    idf = residue.Idf({w: rng.uniform(1, 9) for w in EXEMPLARS.vocabulary})
+    e = residue.Exemplars(idf)
+    by_kind = {k: [i for i, (x, _) in enumerate(e.texts) if x == k] for k in e.kinds}
+    hits = 0
+    for round_ in range(60):
+        k = rng.choice(list(e.kinds))
+        t = []
+        for _ in range(3):
+            x = list(e.texts[rng.choice(by_kind[k])][1])
+            for _ in range(rng.randrange(3)):
+                n = rng.randrange(len(x) + 1)
+                if rng.random() < 0.5:
+                    x.insert(n, "other")
+                elif len(x) > 1:
+                    del x[n % len(x)]
+            t += x + ["between"] * rng.randrange(3)
+        got = {i for i, _ in e.matches(t, k)}
+        want = {i for i in by_kind[k] if any(e.held(i, t[a : a + e.width(i)]) >= residue.CONTAINED - 1e-9 for a in range(len(t)))}
+        assert got == want
+        hits += len(want)
+    assert hits > 100
+
+
+def test_long_slots_and_real_brackets():
+    assert kind("Dear [" + "your name and address " * 30 + "], hello") == "slot"
+    for t in ["set {x_1} and {y}", "the array [first draft of a novel by a friend]", "a <custom element> of ours", "see [[Battle of the Bay]]", "run ${HOME}/bin"]:
+        assert kind(t) is None, t
