@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 
 # Compatibility tags of the Unicode Character Database whose mapping shows the same.
-SAME_LOOK_TAGS = {"<wide>", "<narrow>", "<initial>", "<medial>", "<final>", "<isolated>", "<noBreak>", "<compat>"}
+SAME_LOOK_TAGS = {"<wide>", "<narrow>", "<initial>", "<medial>", "<final>", "<isolated>", "<noBreak>", "<compat>", "<font>"}
 
 # Letters of other scripts that show as a Latin letter, written as pairs "look-alike prototype".
 LATIN_LOOK_ALIKES = """
@@ -26,6 +26,9 @@ LATIN_LOOK_ALIKES = """
 АA ВB ЕE КK МM НH ОO РP СC ТT УY ХX ІI ЈJ ЅS ԌG ԚQ ԜW ҮY
 οo αa νv ρp υu ιi κk ϲc ϳj
 ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX ϹC ͿJ
+աw հh յj նu ոn սu օo զq գq ՕO ՍU Տs
+ᎪA ᏴB ᏟC ᎬE ᎻH ᎫJ ᏦK ᏞL ᎷM ᏢP ᎡR ᏚS ᎢT ᏙV ᎳW ᏃZ ᎠD
+ꓐB ꓑP ꓓD ꓔT ꓖG ꓗK ꓙJ ꓚC ꓜZ ꓝF ꓟM ꓠN ꓡL ꓢS ꓣR ꓦV ꓧH ꓪW ꓫX ꓬY ꓮA ꓰE ꓲI ꓳO ꓴU
 """
 
 # Arabic-script letters, digits and marks that show as another one.
@@ -51,6 +54,7 @@ def _invisible(o: int) -> bool:
         or 0x2060 <= o <= 0x206F
         or 0xFE00 <= o <= 0xFE0F
         or 0x180B <= o <= 0x180D
+        or 0x1D173 <= o <= 0x1D17A
     )
 
 
@@ -58,7 +62,7 @@ def _invisible(o: int) -> bool:
 def prototypes() -> dict[int, str]:
     """Code point -> prototype. Built by rule from the character database and the short tables above."""
     table: dict[int, str] = {}
-    for o in range(0x80, 0x10000):
+    for o in range(0x80, 0x20000):
         c = chr(o)
         if _invisible(o):
             table[o] = ""
@@ -108,6 +112,8 @@ def _before_joining() -> dict[int, str]:
 # Words are runs of letters, digits and vowel marks; the underscore is no letter.
 _WORDS = re.compile("[\\ẁ-ͯؐ-ًؚ-ٰٟۖ-ۜ۟-۪ۤۧۨ-ۭ]+")
 _UNMARKED_WORDS = re.compile("\\w+")
+_BARE = re.compile("[_أإآٱ\u0610-\u061a\u0640\u064b-\u065f\u0670\u06d6-\u06dc]")
+_BARE_MAP = {ord("_"): " ", ord("أ"): "ا", ord("إ"): "ا", ord("آ"): "ا", ord("ٱ"): "ا"}
 _MARKS = re.compile("[\u0610-\u061a\u0640\u064b-\u065f\u0670\u06d6-\u06dc]+")
 
 
@@ -117,10 +123,22 @@ def marked_words(text: str) -> list[str]:
     return _WORDS.findall(t.replace("_", " ") if "_" in t else t)
 
 
+def bare(text: str) -> str:
+    """A consistent text in lower case without vowel marks, tatweel, underscores and the hamza or madda on alef."""
+    t = text.lower()
+    if _BARE.search(t) is not None:
+        t = _MARKS.sub("", t.translate(_BARE_MAP))
+    return t
+
+
+def runs(t: str) -> list[str]:
+    """The words of a bare text."""
+    return _UNMARKED_WORDS.findall(t)
+
+
 def bare_words(text: str) -> list[str]:
     """Words of the consistent form without case, vowel marks, tatweel and the hamza or madda on alef."""
-    t = _MARKS.sub("", consistent(text).lower().replace("أ", "ا").replace("إ", "ا").replace("آ", "ا").replace("ٱ", "ا"))
-    return _UNMARKED_WORDS.findall(t.replace("_", " ") if "_" in t else t)
+    return runs(bare(consistent(text)))
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1_000, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:

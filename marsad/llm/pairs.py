@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marsad.llm import forms, residue
+from marsad.llm.pair_labels import labelled
 from marsad.session import cut
 from marsad.tables import load, role
 
@@ -29,32 +33,47 @@ STOP_WORDS = {
     "de": "der die das und ist nicht ein eine zu den mit von auf für im dem sich auch wie oder als bei nach",
     "it": "il lo gli di che è un una per con non sono del della nel alla più come anche ma se",
     "pt": "o os as de que em um uma para com não por mais como mas do da no na ao ser são você",
+    "nl": "de het een en van niet is op te dat voor met zijn aan er maar ook als dan bij of uit moet kan wordt",
+    "sv": "och att det som en är på för av med den till inte om ett har de eller kan när måste här",
+    "pl": "i w na z do nie jest to się że po jak ale przez przed od za co tak już można lub oraz",
+    "id": "yang dan di itu dengan untuk dari ini tidak pada adalah akan ke dalam atau bisa juga lebih jika anda",
+    "ro": "și în de la cu pe nu este că din pentru mai sau dar care sunt fi după când trebuie",
 }
 # Letters that mark a language among those of its script. Look-alikes of Arabic letters are left out.
 MARK_LETTERS = {"fa": "پچژگ", "ur": "ےںٹڈڑھ", "tr": "ğşıİ", "es": "ñ¿¡", "fr": "èêçœàùîôû", "de": "ßä", "pt": "ãõ"}
 
 # How a reply declines, on bare words.
 DECLINES = re.compile(
-    r"\b(?:(?:ما|لا|لن|لم|ماني|مب|مو)(?: راح)? (?:اقدر|استطيع|يمكنني|يمكن|قادر|اتمكن|عندي صلاحيه|املك صلاحيه)|لست قادر|غير قادر|(?:يتعذر|تعذر) علي|كنموذج لغوي|نموذج لغه|خارج نطاق|"
-    r"ما عندي صلاحي\w|افضل عدم|اكتفي بهذا|نغير الموضوع|ما اتعامل|غير متاح\w? لي|له اهله|ارفض|لا اود|"
-    r"(?:can t|cannot|can not|won t|will not|not able to|unable to) (?:help|assist|answer|continue|do|discuss|provide|be able|respond|comply|share|complete)|"
-    r"(?:won t|not) be able|not able to|unable to|have to decline|must decline|decline this|language model|goes beyond|beyond what|rather not|prefer not|no answer is available|better left to|"
-    r"move to another subject|change the subject|isn t something i|not something i|conversation has to stop|against (?:my|the|our) polic|hold no view|"
-    r"je ne peux pas|je ne suis pas en mesure|je dois refuser|je préfère ne pas|modèle de langage|hors de ma portée)"
+    r"\b(?:(?:ما|لا|لن|لم|ماني|مب|مو)(?: راح)? (?:اقدر|استطيع|يمكنني|يمكن|قادر|اتمكن|عندي صلاحيه|املك صلاحيه)|لست قادر|غير قادر|(?:يتعذر|تعذر|يصعب) علي|كنموذج لغوي|نموذج لغه|خارج (?:نطاق|قدرتي|اختصاصي|صلاحياتي|مجالي)|"
+    r"ما عندي صلاحي\w|ليس من صلاحيا\w+|افضل عدم|افضل الا|اكتفي بهذا|نغير الموضوع|ما اتعامل|غير متاح\w? لي|له اهله|ارفض|لا اود|لا ارغب|ما ودي|"
+    r"(?:اعتذر|نعتذر|اعتذاري) عن (?:الاجابه|الإجابة|الاجابة|الرد|المساعدة|المساعده|تقديم|الخوض|الحديث|الكلام|تنفيذ|هذا|هذه)|(?:لن|لا) (?:اجيب|اساعد|ارد|اشارك|اناقش|اتحدث|اخوض|اقدم)|(?:ممنوع|غير مسموح|لا يسمح|لا يحق|ما يحق) (?:علي|لي)|"
+    r"(?:can t|cannot|can not|won t|will not|not able to|unable to|not allowed to|not permitted to|not comfortable|not in a position to|couldn t|could not|must not) (?:\w+ )?"
+    r"(?:help|assist|answer|continu|discuss|provid|respond|comply|shar|complet|giv|offer|advis|comment|speak|talk|support|engag|fulfil|do\b|be able|say\b|go into|get into|take\b)|"
+    r"(?:won t|not) be able|not able to|unable to|have to (?:decline|refuse|pass|say no)|must (?:decline|refuse|pass)|decline (?:this|that|to)|refuse to|language model|goes beyond|beyond what|rather (?:not|skip|pass|leave|avoid|stay)|prefer (?:not|to skip|to pass|to leave|to avoid)|no answer is available|better left to|"
+    r"move to another subject|change the subject|isn t something i|not something i|conversation has to stop|against (?:my|the|our) (?:polic|rule|guideline)|hold no view|no comment on|i ll (?:pass|skip)|will (?:pass|skip) on|"
+    r"(?:outside|beyond|out of) (?:my|our|the) (?:scope|remit|abilit|expertise|limits|reach|competence|capabilit|field)|not (?:my|a) (?:place|field|topic i|subject i)|(?:don t|do not) (?:discuss|answer|cover|handle|respond|engage|deal)|"
+    r"je ne (?:peux pas|suis pas (?:en mesure|autorisé|habilité)|souhaite pas|saurais|répond\w* pas|traite pas)|je (?:dois (?:refuser|décliner)|refuse|préfère (?:ne pas|m abstenir|passer)|préférerais|regrette de ne)|modèle de langage|hors de (?:ma|mes|mon|nos)|pas de mon ressort|impossible (?:pour moi )?de (?:répondre|vous aider|vous répondre))"
 )
-# Pieces of which every way to decline above has one; they are quicker to look for.
-DECLINE_PIECES = (
-    "اقدر", "استطيع", "يمكن", "قادر", "اتمكن", "صلاحي", "تعذر", "لغوي", "لغه", "نطاق", "افضل عدم", "اكتفي", "نغير", "اتعامل", "غير متاح", "له اهله", "ارفض", "لا اود",
-    "can t ", "cannot ", "can not ", "won t ", "will not ", "able to", "decline", "language model", "beyond", "rather not", "prefer not", "no answer", "better left", "subject", "something i", "has to stop", "against", "no view",
-    "ne peux pas", "pas en mesure", "dois refuser", "préfère ne", "modèle de langage", "hors de ma",
-)
+# Words of which every way to decline above has one; they are quicker to look for.
+DECLINE_WORDS = set(forms.bare_words(
+    "اقدر استطيع يمكنني يمكن قادر اتمكن عندي املك لست غير يتعذر تعذر يصعب كنموذج نموذج خارج افضل اكتفي نغير اتعامل اهله ارفض اود ارغب ودي اعتذر نعتذر اعتذاري اجيب اساعد ارد اشارك اناقش اتحدث اخوض اقدم ممنوع مسموح يسمح يحق ليس "
+    "can cannot won will not unable couldn could must decline refuse language beyond goes rather prefer no better move change isn conversation against hold ll outside out don do "
+    "peux suis souhaite saurais réponds répondrai répond traite dois refuse préfère préférerais regrette modèle hors ressort impossible"
+))
 # Courtesy around a refusal or an answer; such clauses neither help nor decline.
 COURTESY = re.compile(
-    r"^(?:عذرا|اسف|معليش|سامحني|للاسف|مع الاسف|الصراحه|اعتذر\w*|افهم طلبك|شكرا على|واتمنى تتفهم|اتمنى تتفهم|انصحك تسال|هل عندك سؤال|اقدر اساعدك في|الله يعطيك|جرب مصدر|حسب السياسه|يعطيك العافيه|تفضل|"
-    r"sorry|apologies|my apologies|unfortunately|regrettably|i m afraid|hmm|thanks for asking|thank you|i understand|please ask|you may try|is there anything|happy to help|have a good|under the current policy|"
-    r"désolé|malheureusement|merci|je comprends)"
+    r"^(?:عذرا|اسف|معليش|سامحني|للاسف|مع الاسف|الصراحه|اعتذر\w*|افهم طلبك|شكرا على|واتمنى تتفهم|اتمنى تتفهم|انصحك تسال|اسال مختص|راجع مختص|استشر|هل عندك سؤال|اقدر اساعدك في|الله يعطيك|جرب مصدر|حسب السياسه|يعطيك العافيه|تفضل|"
+    r"sorry|apologies|my apologies|unfortunately|regrettably|i m afraid|i am afraid|hmm|thanks for asking|thanks for the question|thank you|i understand|please (?:ask|consult|contact|see|speak)|ask (?:an?|your|someone)\b|consult|you may try|is there anything|happy to help|have a good|under the current policy|"
+    r"désolé|je suis désolé|malheureusement|merci|je comprends|adressez vous|demandez à|consultez)"
+)
+# The first words of courtesy.
+COURTESY_WORDS = set(forms.bare_words(
+    "عذرا اسف معليش سامحني للاسف مع الصراحه اعتذر اعتذرلك اعتذاري افهم شكرا واتمنى اتمنى انصحك اسال راجع استشر هل اقدر الله جرب حسب يعطيك تفضل "
+    "sorry apologies my unfortunately regrettably i hmm thanks thank please ask an a your consult you is happy have under désolé je malheureusement merci adressez demandez consultez"
+))
+LEAD_INS = re.compile(
+    r"^(?:سؤالك|تقصد|قصدك|تسال|انت تسال|تريد ان تعرف|تبي تعرف|تبغى تعرف|السؤال هو|السؤال عن|you mean|your question(?: is| was)?|you asked|you are asking|you re asking|so you re asking|you (?:want|would like|wish|need) to know|you re wondering|you wonder|the question (?:is|was)|votre question|vous demandez|vous voulez savoir|tu demandes|tu veux savoir|la question est)\b"
 )
-LEAD_INS = re.compile(r"^(?:سؤالك|تقصد|قصدك|تسال|انت تسال|you mean|your question|you asked|you are asking|the question is|votre question|vous demandez)\b")
 OTHER_LANGUAGE_WANTED = re.compile(
     r"(?i)ترجم|بالإنجليزي|بالانجليزي|للإنجليزي|للانجليزي|الإنجليزية|الانجليزية|بالفرنسي|للفرنسي|الفرنسية|بالعربي|للعربي|بالفارسي|بالتركي|بالأوردو|بالإسباني"
     r"|translat|in (?:english|arabic|french|spanish|turkish|persian|urdu|german)|into (?:english|arabic|french|spanish)|tradui|en (?:anglais|arabe|français|espagnol)"
@@ -70,6 +89,10 @@ _SHOWN = re.compile(r"[^\W_]")
 _STOPS = {k: set(forms.bare_words(v)) for k, v in STOP_WORDS.items()}
 _LETTERS = {k: re.compile("[" + v + "]") for k, v in MARK_LETTERS.items()}
 _ARABIC, _LATIN = re.compile("[ء-يپچژگکیےںہھٹڈڑ]"), re.compile("[A-Za-zÀ-ɏ]")
+# any character beyond Latin, combining marks, Arabic, punctuation and symbols
+_FARTHER = re.compile("[^\x00-\u02ff\u0300-\u036f\u0600-\u06ff\u0750-\u077f\u1e00-\u1eff\u2000-\u2bff\ufb50-\ufdff\ufe00-\ufeff]")
+# Scripts that one language writes together.
+_TOGETHER = {"cjk": "east asian", "hiragana": "east asian", "katakana": "east asian"}
 
 
 _LANGUAGES: dict[str, list[str]] = {}
@@ -79,10 +102,19 @@ for _k, _s in _STOPS.items():
 _ANY_LETTER = re.compile("[" + "".join(MARK_LETTERS.values()) + "]")
 
 
+@lru_cache(maxsize=20_000)
+def script_of(c: str) -> str:
+    """The script of a letter by its name in the Unicode database; none for other characters."""
+    name = unicodedata.name(c, "").partition(" ")[0].lower() if c.isalpha() else ""
+    return _TOGETHER.get(name, name)
+
+
 def script(text: str) -> str:
     """The script of most letters; none below three letters."""
-    a, l = len(_ARABIC.findall(text)), len(_LATIN.findall(text))
-    return "" if a + l < 3 else "arabic" if a >= l else "latin"
+    n = {"arabic": len(_ARABIC.findall(text)), "latin": len(_LATIN.findall(text))}
+    if _FARTHER.search(text) is not None:
+        n = Counter(k for c in text if (k := script_of(c)))
+    return max(n, key=n.get) if sum(n.values()) >= 3 else ""
 
 
 def languages(words: list[str]) -> dict[str, float]:
@@ -111,17 +143,35 @@ def hangs(stripped: str) -> bool:
     return not m.group(2) or any(i.group(2) for i in items)
 
 
-def plain(s: str) -> list[str]:
-    return ["0" if w.isdigit() else w for w in forms.bare_words(s)]
+def closes(stripped: str) -> bool:
+    """Whether a text ends with a bracket that has its opening one."""
+    pair = {")": "(", "]": "[", "}": "{", "»": "«", "”": "“"}.get(stripped[-1])
+    return pair is not None and stripped.count(pair) == stripped.count(stripped[-1])
+
+
+class Ids(forms.Ids):
+    """Word -> 64-bit id, where all numbers of up to four digits share one, and all codes another."""
+
+    def __missing__(self, word: str) -> int:
+        shared = residue.masked([word])[0]
+        if shared is word or shared == word:
+            return super().__missing__(word)
+        v = self[word] = self[shared]
+        return v
+
 
+_FIRST, _SKIP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+_ALL = (1 << 64) - 1
 
-def openings(w: list[str]) -> list[str]:
-    """The first two words, and the first and third, for sentences with a name in between."""
-    return [w[0] + " " + w[1], w[0] + " _ " + w[2]] if len(w) > 2 else [w[0] + " " + w[1]] if len(w) > 1 else []
+
+def openings(w: list[int]) -> list[int]:
+    """Ids of the first two words, and of the first and third, for sentences with a name in between."""
+    out = [(w[0] * _FIRST ^ w[1]) & _ALL] if len(w) > 1 else []
+    return out + [(w[0] * _SKIP ^ w[2]) & _ALL] if len(w) > 2 else out
 
 
 class Frames:
-    """What complete sentences of the corpus look like.
+    """What complete sentences of the corpus look like; words and openings are ids.
 
     ``needed``: opening -> words that nearly all complete sentences with it have.
     ``last``: opening -> its frequent last words; ``closed``: openings nearly all of whose sentences end in those.
@@ -131,7 +181,7 @@ class Frames:
     def __init__(self, needed: dict | None = None, last: dict | None = None, closed: set | None = None, inner: set | None = None, enders: set | None = None):
         self.needed, self.last, self.closed, self.inner, self.enders = needed or {}, last or {}, closed or set(), inner or set(), enders or set()
 
-    def cut_off(self, opening: str, words: list[str]) -> bool:
+    def cut_off(self, opening: int, words: list[int]) -> bool:
         """Whether words with a known opening lack what complete sentences with it have."""
         needed, last = self.needed[opening], self.last.get(opening, ())
         if words[-1] in last:
@@ -139,70 +189,121 @@ class Frames:
         return len(words) < 3 or opening in self.closed and words[-1] not in self.enders or words[-1] in needed or not set(needed) <= set(words)
 
 
-#: Openings and words below this share of all sentences or words are not learnt, which bounds the tables.
+#: Openings and words below this share of all sentences or words are not learnt. As shares add up to one, the tables
+#: have at most 2 / LEAST_SHARE openings and 1 / LEAST_SHARE words at any size of the corpus; LEAST_COUNT only says
+#: from how many sentences on a share can be told.
 LEAST_SHARE, LEAST_COUNT = 2e-5, 20
+_KINDS = ("frame", "last", "has", "word", "end", "known", "bucket", "replies")
+
 
+def learn(replies: DataFrame) -> tuple[Frames, residue.Idf]:
+    """Count sentence frames and document frequencies over all replies, in one pass.
 
-def learn_frames(replies: DataFrame) -> Frames:
-    """Count sentence frames over all replies; only frames above a fixed share of all sentences reach the driver."""
+    Only frames and words above a fixed share of all sentences reach the driver, and counts of the
+    exemplars' words and of a fixed number of buckets.
+    """
+    vocabulary = {w: forms.digest(w) for w in residue.Exemplars().vocabulary}
+    wanted = np.sort(np.array(list(vocabulary.values()), np.int64).view(np.uint64))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = Ids()
+        none = np.zeros(0, np.uint64)
+        held: dict[int, list] = defaultdict(list)
+
         def flush() -> pa.RecordBatch:
-            rows = [("word", "", w, n) for w, n in words.items()] + [("end", "", w, n) for w, n in ends.items()]
-            for o, (n, last, has) in frames.items():
-                rows.append(("frame", o, "", n))
-                rows += [("last", o, w, k) for w, k in last.items()]
-                rows += [("has", o, w, k) for w, k in has.items()]
-            return pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in rows], pa.string()) for i in range(3)), pa.array([r[3] for r in rows], pa.int64())], names=["kind", "opening", "word", "n"])
-
-        frames: dict[str, list] = {}
-        words, ends, held = Counter(), Counter(), 0
+            out = [np.zeros(0, np.int8)], [none], [none], [np.zeros(0, np.int64)]
+            for kind, parts in held.items():
+                o, w = (np.concatenate([p[i] for p in parts]) for i in range(2))
+                _, at, n = np.unique(o * np.uint64(_FIRST) ^ w, return_index=True, return_counts=True)
+                for x, v in zip(out, (np.full(len(at), kind, np.int8), o[at], w[at], n)):
+                    x.append(v)
+            held.clear()
+            kinds, o, w, n = (np.concatenate(x) for x in out)
+            return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(o.view(np.int64)), pa.array(w.view(np.int64)), pa.array(n)], names=["kind", "opening", "word", "n"])
+
+        def add(kind: str, o: np.ndarray | None, w: np.ndarray) -> None:
+            held[_KINDS.index(kind)].append((np.zeros(len(w), np.uint64) if o is None else o, w))
+
+        size = 0
         for b in forms.slices(batches):
+            words, lengths, complete, reply, n = [], [], [], [], 0
             for x in b.column(0).to_pylist():
                 if not x:
                     continue
-                s = sentences(x)
+                s = sentences(forms.bare(forms.consistent(x)))
                 for i, y in enumerate(s):
-                    if i == len(s) - 1 and y[-1] not in _STOP:
-                        continue
-                    w = plain(y)
-                    if len(w) < 3:
-                        continue
-                    ends[w[-1]] += 1
-                    words.update(w)
-                    rest = set(w[2:])
-                    for o in openings(w):
-                        e = frames.get(o)
-                        if e is None:
-                            e = frames[o] = [0, Counter(), Counter()]
-                        e[0] += 1
-                        e[1][w[-1]] += 1
-                        e[2].update(rest)
-                        held += 2
-            if held > 200_000:
+                    w = forms.runs(y)
+                    if w:
+                        words += w
+                        lengths.append(len(w))
+                        complete.append(len(w) >= 3 and (i < len(s) - 1 or y[-1] in _STOP))
+                        reply.append(n)
+                n += 1
+            add("replies", None, np.zeros(n, np.uint64))
+            if not words:
+                continue
+            h, lengths, complete = ids.of(words), np.array(lengths), np.array(complete)
+            of_reply = np.repeat(np.array(reply, np.uint64), lengths)
+            _, at = np.unique(of_reply * np.uint64(_SKIP) ^ h, return_index=True)  # the distinct words of each reply
+            seen = h[at]
+            place = np.minimum(np.searchsorted(wanted, seen), len(wanted) - 1)
+            add("known", None, seen[wanted[place] == seen])
+            add("bucket", None, np.unique(of_reply[at] << np.uint64(32) | seen & np.uint64(residue.BUCKETS - 1)) & np.uint64(residue.BUCKETS - 1))
+            starts = (np.cumsum(lengths) - lengths)[complete]
+            lengths = lengths[complete]
+            if not len(starts):
+                continue
+            of = np.repeat(np.arange(len(starts)), lengths)
+            place = np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            h = h[np.repeat(starts, lengths) + place]
+            first = np.cumsum(lengths) - lengths
+            last = h[first + lengths - 1]
+            opened = [h[first] * np.uint64(_FIRST) ^ h[first + 1], h[first] * np.uint64(_SKIP) ^ h[first + 2]]
+            add("word", None, h)
+            add("end", None, last)
+            later = np.flatnonzero(place >= 2)
+            _, at = np.unique(of[later].astype(np.uint64) * np.uint64(_SKIP) ^ h[later], return_index=True)
+            later = later[at]
+            for o in opened:
+                add("frame", o, np.zeros(len(o), np.uint64))
+                add("last", o, last)
+                add("has", o[of[later]], h[later])
+            size += 5 * len(h)
+            if size > 3_000_000:
                 yield flush()
-                frames, words, ends, held = {}, Counter(), Counter(), 0
+                size = 0
         yield flush()
 
-    sums = replies.select("reply").mapInArrow(count, "kind string, opening string, word string, n long").groupBy("kind", "opening", "word").agg(F.sum("n").alias("n"))
-    sums = cut(sums.filter("n >= 3 or kind not in ('has', 'last')"))
-    total = sums.filter("kind = 'frame'").agg(F.sum("n")).first()[0] or 0
+    counts = replies.select("reply").mapInArrow(count, "kind byte, opening long, word long, n long").groupBy("kind", "opening", "word").agg(F.sum("n").alias("n"))
+    of = {k: i for i, k in enumerate(_KINDS)}
+    sums = cut(counts.filter(~(F.col("kind").isin(of["has"], of["last"]) & (F.col("n") < 3))))
+
+    def kind(name: str) -> DataFrame:
+        return sums.filter(F.col("kind") == of[name]).select("opening", "word", "n")
+
+    total = kind("frame").agg(F.sum("n")).first()[0] or 0
     least = max(LEAST_COUNT, total * LEAST_SHARE)
-    frames = sums.filter("kind = 'frame'").filter(F.col("n") >= least).select("opening", F.col("n").alias("whole"))
-    per = sums.filter("kind in ('has', 'last')").join(frames, "opening")
-    needed, last = defaultdict(list), defaultdict(dict)
-    for r in per.filter(((F.col("kind") == "has") & (F.col("n") >= 0.96 * F.col("whole"))) | ((F.col("kind") == "last") & (F.col("n") >= 0.002 * F.col("whole")))).toLocalIterator():
-        if r.kind == "has":
-            needed[r.opening].append(r.word)
-        else:
-            last[r.opening][r.word] = r.n / r.whole
+    frames = kind("frame").filter(F.col("n") >= least).select("opening", F.col("n").alias("whole"))
+    unsigned = lambda v: v & _ALL
+    needed, last = {unsigned(r.opening): set() for r in frames.toLocalIterator()}, defaultdict(dict)
+    for r in kind("has").join(frames, "opening").filter(F.col("n") >= 0.96 * F.col("whole")).toLocalIterator():
+        needed[unsigned(r.opening)].add(unsigned(r.word))
+    for r in kind("last").join(frames, "opening").filter(F.col("n") >= 0.002 * F.col("whole")).toLocalIterator():
+        last[unsigned(r.opening)][unsigned(r.word)] = r.n / r.whole
     closed = {o for o, w in last.items() if sum(w.values()) >= 0.9}
-    words = sums.filter("kind = 'word'").filter(F.col("n") >= max(50, total * 12 * LEAST_SHARE)).select("word", F.col("n").alias("whole"))
-    ends = sums.filter("kind = 'end'").select("word", "n")
-    seen = sums.filter("kind = 'word'").filter(F.col("n") >= max(5, total * LEAST_SHARE / 10)).select("word", F.col("n").alias("whole"))
-    enders = {r.word for r in seen.join(ends, "word").filter(F.col("n") >= 0.05 * F.col("whole")).toLocalIterator()}
-    inner = {r.word for r in words.join(ends, "word", "left").filter(F.coalesce("n", F.lit(0)) < 0.002 * F.col("whole")).toLocalIterator()}
-    return Frames({r.opening: needed.get(r.opening, []) for r in frames.toLocalIterator()}, {o: set(w) for o, w in last.items()}, closed, inner, enders)
+    ends = kind("end").select("word", "n")
+    words = kind("word").select("word", F.col("n").alias("whole"))
+    often = words.filter(F.col("whole") >= max(50, total * 12 * LEAST_SHARE))
+    seen = words.filter(F.col("whole") >= max(5, total * LEAST_SHARE / 10))
+    enders = {unsigned(r.word) for r in seen.join(ends, "word").filter(F.col("n") >= 0.05 * F.col("whole")).toLocalIterator()}
+    inner = {unsigned(r.word) for r in often.join(ends, "word", "left").filter(F.coalesce("n", F.lit(0)) < 0.002 * F.col("whole")).toLocalIterator()}
+    documents = kind("replies").agg(F.sum("n")).first()[0] or 0
+    known = {r.word: r.n for r in kind("known").toLocalIterator()}
+    others = np.zeros(residue.BUCKETS)
+    for r in kind("bucket").toLocalIterator():
+        others[r.word] = r.n
+    idf = residue.Idf({w: 1.0 + math.log((documents + 1) / (known.get(i, 0) + 1)) for w, i in vocabulary.items()}, (1.0 + np.log((documents + 1) / (others + 1))).astype(np.float32))
+    return Frames(needed, {o: set(w) for o, w in last.items()}, closed, inner, enders), idf
 
 
 ABSTAIN, NO, YES = 0, 1, 2
@@ -226,32 +327,43 @@ def alike(a: list[str], b: list[str]) -> float:
     return 2 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
-def shown_text(reply: str | None) -> str:
-    """The consistent form of a reply without its code."""
-    text = forms.consistent(reply or "")
-    return (_FENCE.sub(" ", text) if "`" in text else "") or text
+def without_code(text: str) -> str:
+    """A text without its code, or as it is where it has nothing else."""
+    return (_FENCE.sub(" ", text) if "`" in text else text) or text
+
+
+_PREFIXES = re.compile("^(?:وال|بال|كال|فال|لل|ال|و(?=...)|ب(?=...)|ل(?=...))")
+_SUFFIXES = re.compile("(?:ing|ed|es|s|e|ly)$")
+_ANY_STOP = {w for s in _STOPS.values() for w in s} | set(forms.bare_words("i me my your do does did so please tell know want brief steps"))
 
 
-def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str] | None = None) -> dict[str, list[int]]:
+def stem(w: str) -> str:
+    """A word without the usual prefixes of Arabic and suffixes of English."""
+    if "ء" <= w[0] <= "ي":
+        return _PREFIXES.sub("", w)
+    return _SUFFIXES.sub("", w) if len(w) > 4 else w
+
+
+def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str] | None = None, ids: Ids | None = None) -> dict[str, list[int]]:
     """The labelling functions' votes for each defect; every list has a fixed length.
 
-    ``words`` are the bare words of the reply's shown text, where the caller has them.
+    ``words`` are the bare words of the reply's consistent form without code, where the caller has them.
     """
-    text, shown = forms.consistent(reply or ""), shown_text(reply)
+    ids = Ids() if ids is None else ids
+    text = forms.consistent(reply or "")
     blank = _SHOWN.search(text) is None
-    v = {"empty": [YES if blank else NO, YES if not text.strip(" \t\n.…-*#؟?‏​—") else ABSTAIN]}
+    v = {"empty": [YES, YES if not any(unicodedata.category(c) == "So" for c in text) else ABSTAIN] if blank else [NO, ABSTAIN]}
     if blank:
-        return v | {d: [NO] * n for d, n in (("refusal", 3), ("wrong_language", 3), ("echo", 3), ("truncated", 4))}
-    bare_q, bare_a = forms.bare_words(prompt or ""), forms.bare_words(shown) if words is None else words
+        return v | {d: [NO] * n for d, n in (("refusal", 3), ("wrong_language", 3), ("echo", 4), ("truncated", 4))}
+    shown = without_code(text)
+    bare_q, bare_a = forms.bare_words(prompt or ""), forms.runs(forms.bare(shown)) if words is None else words
     q, a = ["0" if w.isdigit() else w for w in bare_q], ["0" if w.isdigit() else w for w in bare_a]
-    asked = set(q)
-
-    # refusal
-    # clauses matter where something declines, or where the reply is short or begins with courtesy
-    whole = " ".join(a)
-    if len(a) < 40 or any(x in whole for x in DECLINE_PIECES) and DECLINES.search(whole):
-        clauses = [" ".join(w) for c in _CLAUSE.split(shown) if (w := plain(c))]
-        might = any(x in whole for x in DECLINE_PIECES)
+    asked, said = set(q), set(a)
+
+    # refusal: without a word of a declining or courteous phrase all clauses are neither
+    might = not DECLINE_WORDS.isdisjoint(said) and DECLINES.search(" ".join(a)) is not None
+    if might or not COURTESY_WORDS.isdisjoint(said):
+        clauses = [" ".join(w) for c in _CLAUSE.split(forms.bare(shown)) if (w := ["0" if x.isdigit() else x for x in forms.runs(c)])]
         kinds = ["declines" if might and DECLINES.search(c) else "courtesy" if COURTESY.search(c) else "other" for c in clauses]
         other = [w for c, k in zip(clauses, kinds) if k == "other" for w in c.split() if w not in asked]
     else:
@@ -264,10 +376,11 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
     ]
 
     # wrong language
-    if not prompt or OTHER_LANGUAGE_WANTED.search(prompt) or len(a) < 3:
+    sa = script(shown)
+    if not prompt or OTHER_LANGUAGE_WANTED.search(prompt) or len(a) < 3 and sa in ("arabic", "latin", ""):
         v["wrong_language"] = [NO, ABSTAIN, ABSTAIN]
     else:
-        sq, lq, sa, la = script(prompt), languages(bare_q), script(shown), languages(bare_a)
+        sq, lq, la = script(prompt), languages(bare_q), languages(bare_a)
         best_q, best_a = max(lq, key=lq.get, default=""), max(la, key=la.get, default="")
         mine = la.get(best_q, 0.0)
         sure = bool(best_a) and la[best_a] >= 0.12
@@ -282,17 +395,25 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
         ]
 
     # echo
-    led = LEAD_INS.search(" ".join(a))
+    led = LEAD_INS.search(" ".join(a[:8]))
     core = a[len(led.group(0).split()) :] if led else a
     new = [w for w in core if w not in asked]
     fresh = len(new) / len(core) if core else 0.0
     back = len(asked & set(core)) / len(asked) if asked else 0.0
     near = q and core and (fresh <= 0.5)
     ratio = alike(q, core) if near else 0.0
+    reworded = NO
+    if q and core and fresh <= 0.7:
+        stems = {stem(w) for w in q}
+        content = [w for w in core if w not in _ANY_STOP]
+        unseen = sum(stem(w) not in stems for w in content)
+        if len(content) >= 2 and unseen <= 0.6 * len(content):
+            reworded = YES if unseen <= 0.2 * len(content) and (led or len(core) <= 1.5 * len(q) + 3) else ABSTAIN
     v["echo"] = [
         NO if not q else YES if fresh <= 0.15 or len(core) >= 4 and len(new) <= 1 else NO if fresh > 0.35 else ABSTAIN,
         NO if not q else YES if back >= 0.7 and fresh <= 0.35 else NO if back < 0.5 or fresh > 0.5 else ABSTAIN,
         NO if not near else YES if ratio >= 0.75 else NO if ratio < 0.5 else ABSTAIN,
+        reworded,
     ]
 
     # truncated
@@ -300,8 +421,6 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
     open_fence = text.count("```") % 2 == 1
     hanging = not open_fence and hangs(stripped)
     stop = not hanging and (stripped[-1] in _STOP or stripped.endswith("```"))
-    s = sentences(text)
-    tail = plain(s[-1]) if s else []
     votes_frame = ABSTAIN
     cutword = ABSTAIN
     if open_fence:
@@ -310,109 +429,90 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
         votes_frame = YES  # an item of which nothing is there; the one before may well be complete
     elif stop:
         votes_frame, cutword = NO, NO
-    elif tail:
-        candidates = [tail]
-        if ":" in s[-1]:
-            candidates.append(plain(s[-1].rsplit(":", 1)[1]))
-        for t in candidates:
-            known = [o for o in openings(t) if o in frames.needed]
-            if known:
-                votes_frame = YES if all(frames.cut_off(o, t) for o in known) else NO
-        if tail[-1] in frames.inner:
-            votes_frame, cutword = (votes_frame if votes_frame == YES else ABSTAIN), YES
-        else:
-            cutword = YES if len(tail) < 3 and len(s) > 1 else NO if votes_frame == NO else ABSTAIN
+    else:
+        s = sentences(forms.bare(text))
+        tail = list(map(ids.__getitem__, forms.runs(s[-1]))) if s else []
+        if tail:
+            candidates = [tail]
+            if ":" in s[-1]:
+                candidates.append(list(map(ids.__getitem__, forms.runs(s[-1].rsplit(":", 1)[1]))))
+            for t in candidates:
+                known = [o for o in openings(t) if o in frames.needed]
+                if known:
+                    votes_frame = YES if all(frames.cut_off(o, t) for o in known) else NO
+            if tail[-1] in frames.inner:
+                votes_frame, cutword = (votes_frame if votes_frame == YES else ABSTAIN), YES
+            else:
+                cutword = YES if len(tail) < 3 and len(s) > 1 else NO if votes_frame == NO else ABSTAIN
     v["truncated"] = [
         YES if open_fence else ABSTAIN if "```" not in text else NO,
         votes_frame,
         cutword,
-        YES if open_fence or hanging or stripped[-1] in ",،:;؛(-/" else NO if stop else ABSTAIN,
+        YES if open_fence or hanging or stripped[-1] in ",،:;؛(-/" else NO if stop or closes(stripped) else ABSTAIN,
     ]
     return v
 
 
-# What each labelling function is taken to mean before any data: the chances of (no vote, no, yes)
-# for a sound pair, then for a defective one. Functions are in the order of votes().
+# What each labelling function is taken to mean before any data: the chance that it says yes where it
+# votes, for a sound pair, for a defective one, and for a sound one that looks defective at first sight (declines and
+# then helps, repeats the question and then answers, ends without a stop). Functions are in the order of votes().
 MEANING = {
-    "empty": [((0.01, 0.98, 0.01), (0.01, 0.01, 0.98)), ((0.97, 0.02, 0.01), (0.09, 0.01, 0.90))],
-    "refusal": [((0.01, 0.95, 0.04), (0.01, 0.09, 0.90)), ((0.20, 0.79, 0.01), (0.08, 0.02, 0.90)), ((0.24, 0.75, 0.01), (0.40, 0.10, 0.50))],
-    "wrong_language": [((0.05, 0.949, 0.001), (0.05, 0.45, 0.50)), ((0.30, 0.695, 0.005), (0.18, 0.02, 0.80)), ((0.02, 0.97, 0.01), (0.10, 0.30, 0.60))],
-    "echo": [((0.10, 0.89, 0.01), (0.06, 0.02, 0.92)), ((0.20, 0.795, 0.005), (0.08, 0.02, 0.90)), ((0.10, 0.89, 0.01), (0.10, 0.05, 0.85))],
-    "truncated": [((0.969, 0.03, 0.001), (0.85, 0.05, 0.10)), ((0.35, 0.648, 0.002), (0.22, 0.03, 0.75)), ((0.35, 0.648, 0.002), (0.67, 0.03, 0.30)), ((0.35, 0.648, 0.002), (0.75, 0.05, 0.20))],
+    "empty": [(0.01, 0.98, 0.05), (0.33, 0.98, 0.50)],
+    "refusal": [(0.04, 0.90, 0.74), (0.012, 0.98, 0.022), (0.013, 0.83, 0.04)],
+    "wrong_language": [(0.001, 0.53, 0.01), (0.007, 0.975, 0.05), (0.01, 0.67, 0.14)],
+    "echo": [(0.011, 0.98, 0.03), (0.006, 0.98, 0.05), (0.011, 0.94, 0.04), (0.011, 0.91, 0.03)],
+    "truncated": [(0.03, 0.67, 0.10), (0.003, 0.96, 0.05), (0.003, 0.91, 0.05), (0.003, 0.80, 0.40)],
 }
 
 
 class LabelModel:
-    """One latent yes or no per defect; labelling functions vote independently given it.
+    """A hidden kind of each pair (sound, defective, sound but alike) per defect; functions vote independently given it.
 
-    Works on counts of vote patterns, which hold all that EM needs to know of any number of rows. Each
-    function starts from its stated meaning, held by ``strength`` pseudo-votes against ``mass`` votes of
-    data, so that EM can adjust how reliable a function is but not turn it into another one.
+    Works on counts of vote patterns, which hold all that EM needs to know of any number of rows. A
+    function that does not vote says nothing about the kind. Each starts from its stated meaning, which then
+    weighs no more than ``strength`` votes a kind against all votes of the data: what is learnt is the data's
+    as soon as a kind has some hundred pairs. The third kind takes in the look-alikes that would otherwise
+    pull the defective kind away.
     """
 
-    def __init__(self, meaning: list, share: float = 0.02, strength: float = 2_000.0, mass: float = 5_000.0):
-        self.votes = np.array(meaning)
-        self.prior = self.votes * strength
-        self.share, self.mass = share, mass
+    def __init__(self, meaning: list, shares: tuple = (0.96, 0.02, 0.02), strength: float = 20.0):
+        self.yes = np.array(meaning)
+        self.prior, self.strength = self.yes.copy(), strength
+        self.shares = np.array(shares)
+
+    @property
+    def share(self) -> float:
+        """How many pairs are defective."""
+        return float(self.shares[1])
+
+    def kinds(self, patterns: np.ndarray) -> np.ndarray:
+        votes = patterns[:, :, None]
+        logs = np.log(self.shares) + np.where(votes == YES, np.log(self.yes), np.where(votes == NO, np.log(1 - self.yes), 0.0)).sum(axis=1)
+        p = np.exp(logs - logs.max(axis=1, keepdims=True))
+        return p / p.sum(axis=1, keepdims=True)
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
-        j = np.arange(patterns.shape[1])
-        no = np.log(1 - self.share) + np.log(self.votes[j, 0, patterns]).sum(axis=1)
-        yes = np.log(self.share) + np.log(self.votes[j, 1, patterns]).sum(axis=1)
-        return 1 / (1 + np.exp(np.clip(no - yes, -500, 500)))
+        return self.kinds(patterns)[:, 1]
 
-    def fit(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 40) -> LabelModel:
+    def fit(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, still: float = 1e-6) -> LabelModel:
+        """EM until no chance changes by more than ``still``, or for ``rounds`` rounds."""
         if not len(counts):
             return self
-        w = counts * min(1.0, self.mass / counts.sum())
         for _ in range(rounds):
-            p = self.posterior(patterns)
-            self.share = float(((p * w).sum() + 1) / (w.sum() + 50))
-            table = self.prior.copy()
-            for j in range(patterns.shape[1]):
-                for vote in range(3):
-                    at = patterns[:, j] == vote
-                    table[j, 0, vote] += ((1 - p) * w)[at].sum()
-                    table[j, 1, vote] += (p * w)[at].sum()
-            self.votes = table / table.sum(axis=2, keepdims=True)
+            w = self.kinds(patterns) * counts[:, None]
+            shares = w.sum(axis=0) + 1.0
+            yes, voted = ((x[:, :, None] * w[:, None, :]).sum(axis=0) for x in (patterns == YES, patterns != ABSTAIN))
+            new = (yes + self.strength * self.prior) / (voted + self.strength)
+            moved = np.abs(new - self.yes).max()
+            self.shares, self.yes = shares / shares.sum(), np.clip(new, 1e-6, 1 - 1e-6)
+            if moved < still:
+                break
         return self
 
 
-# Labelled pairs that validate the cutoffs: (prompt, reply, defects).
-VALIDATION = [
-    ("كيف أجهز القهوة في البيت؟", "اغل الماء أولاً ثم أضف القهوة واتركها خمس دقائق على نار هادئة.", ()),
-    ("كيف أجهز القهوة في البيت؟", "كيف أجهز القهوة في البيت", ("echo",)),
-    ("كيف أجهز القهوة في البيت؟", "سؤالك: كيف أجهز القهوة في البيت؟", ("echo",)),
-    ("كيف أجهز القهوة في البيت؟", "عذراً، ما أقدر أجاوب على هذا السؤال.", ("refusal",)),
-    ("كيف أجهز القهوة في البيت؟", "للأسف لا يمكنني المساعدة في هذا الطلب، وأتمنى تتفهم ذلك.", ("refusal",)),
-    ("كيف أجهز القهوة في البيت؟", "آسف على التأخير، الجواب هو: اغل الماء أولاً ثم أضف القهوة واتركها قليلاً.", ()),
-    ("كيف أجهز القهوة في البيت؟", "ما أقدر أختار عنك، لكن هذي المقارنة: القهوة العربية أخف من التركية وتحتاج وقت أقل.", ()),
-    ("كيف أجهز القهوة في البيت؟", "Boil the water first and then add the coffee to the pot for five minutes.", ("wrong_language",)),
-    ("كيف أجهز القهوة في البيت؟", "برای تهیه قهوه بهتر است آب را جوش بیاورید و بعد آن را دم کنید.", ("wrong_language",)),
-    ("كيف أجهز القهوة في البيت؟", "آپ پانی ابال کر اس میں قہوہ ڈالیں اور پھر پانچ منٹ کے لیے رکھ دیں۔", ("wrong_language",)),
-    ("كيف أجهز القهوة في البيت؟", "أضف القهوة إلى الماء، ويسمونها بالإنجليزي cold brew عند التبريد.", ()),
-    ("ترجم لي للإنجليزي: القهوة لذيذة في الصباح", "The coffee is tasty in the morning.", ()),
-    ("كيف أجهز القهوة في البيت؟", "...", ("empty",)),
-    ("كيف أجهز القهوة في البيت؟", "", ("empty",)),
-    ("كيف أجهز القهوة في البيت؟", "- اغل الماء\n- أضف القهوة واتركها على نار هادئة\n- قدمها ساخنة مع التمر", ()),
-    ("How do I brew coffee at home?", "Boil the water, add the coffee and wait for five minutes before you pour it.", ()),
-    ("How do I brew coffee at home?", "You mean how do I brew coffee at home.", ("echo",)),
-    ("How do I brew coffee at home?", "How do I brew coffee at home: boil the water, then add the ground beans and stir them slowly.", ()),
-    ("How do I brew coffee at home?", "I'm afraid I am not able to answer this. You may try another source.", ("refusal",)),
-    ("How do I brew coffee at home?", "As a language model I hold no view on it.", ("refusal",)),
-    ("How do I brew coffee at home?", "Bence en iyi yol suyu kaynatmak ve sonra kahveyi eklemektir.", ("wrong_language",)),
-    ("How do I brew coffee at home?", "Para preparar el café conviene hervir el agua y luego esperar un poco.", ("wrong_language",)),
-    ("How do I brew coffee at home?", "Pour faire le café, il vaut mieux chauffer l'eau avant de verser la poudre dans la tasse.", ("wrong_language",)),
-    ("How do I brew coffee at home?", "Run this:\n```python\nfor cup in cups:\n    total =", ("truncated",)),
-    ("How do I brew coffee at home?", "Run this:\n```python\nbrew(cups)\n```", ()),
-    ("How do I brew coffee at home?", "Boil the water and then add the,", ("truncated",)),
-    ("How do I brew coffee at home?", "Sorry for the wait, here it is: boil water and pour it over the ground coffee in a filter.", ()),
-]
-
-
 def cutoffs(models: dict[str, LabelModel], frames: Frames) -> dict[str, float]:
-    """The cutoff of each defect's posterior with the best F1 on the validation pairs; of equal ones the middle."""
-    cast = [(votes(p, r, frames), d) for p, r, d in VALIDATION]
+    """The cutoff of each defect's posterior with the best F1 on the labelled pairs for it; of equal ones the middle."""
+    cast = [(votes(p, r, frames), d) for p, r, d in labelled(held_out=False)]
     out = {}
     for name, m in models.items():
         p = m.posterior(np.array([v[name] for v, _ in cast]))
@@ -442,15 +542,15 @@ def cast_votes(pairs: DataFrame, frames: Frames, idf: residue.Idf) -> DataFrame:
     blanks = re.compile(residue._BLANKS_WANTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        exemplars = residues.value
+        exemplars, ids = residues.value, Ids()
         for b in forms.slices(batches):
             left: list[bool] = []
             out: dict[str, list[int]] = {d: [] for d in DEFECTS}
             for p, r in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                words = forms.bare_words(shown_text(r)) if r else []
+                words = forms.runs(forms.bare(without_code(forms.consistent(r)))) if r else []
                 kind = residue.judge(r, exemplars, words=words if "`" not in r else None)[0] if r else None
                 left.append(kind is not None and not (kind == "slot" and p is not None and blanks.search(p) is not None))
-                for d, x in votes(p, r, shared.value, words).items():
+                for d, x in votes(p, r, shared.value, words, ids).items():
                     out[d].append(code(x))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(left, pa.bool_()), *(pa.array(out[d], pa.int32()) for d in DEFECTS)], names=["record_table", "record_key", "residue", *DEFECTS])
 
@@ -465,8 +565,7 @@ def label(pairs: DataFrame) -> DataFrame:
     unknown prompt, a null reply an empty one. Pairs whose reply is template residue are marked. A key
     that repeats counts once. Extra columns are ignored.
     """
-    frames = learn_frames(pairs)
-    idf = residue.exemplar_idf(pairs.select(F.col("reply").alias("text")))
+    frames, idf = learn(pairs)
     cast = cut(cast_votes(pairs, frames, idf))
     models = {}
     for d in DEFECTS:

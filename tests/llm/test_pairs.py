@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from marsad.llm import pairs
+from marsad.llm.pair_labels import labelled
 
 
 def label(spark, rows, **kw):
@@ -23,12 +24,19 @@ def corpus(n=400, seed=2):
     return rows
 
 
-def test_validation_pairs_come_out_as_labelled(spark):
-    rows = corpus() + [(p, r) for p, r, _ in pairs.VALIDATION]
+def test_held_out_pairs_come_out_as_labelled(spark):
+    held = labelled(held_out=True)
+    assert not {(p, r) for p, r, _ in held} & {(p, r) for p, r, _ in labelled(held_out=False)}
+    assert len(held) + len(labelled(held_out=False)) >= 300
+    rows = corpus() + [(p, r) for p, r, _ in held]
     got = label(spark, rows)
-    want = {(str(400 + i), d) for i, (_, _, ds) in enumerate(pairs.VALIDATION) for d in ds}
-    assert want <= got
-    assert len(got - want) <= 4  # of 400 sound pairs
+    for d in pairs.DEFECTS:
+        want = {str(400 + i) for i, (_, _, ds) in enumerate(held) if d in ds}
+        mine = {k for k, x in got if x == d and int(k) >= 400}
+        f1 = 2 * len(want & mine) / (len(want) + len(mine))
+        # words that hardly ever end a sentence are learnt from the corpus, and this one is small
+        assert f1 >= (0.8 if d == "truncated" else 0.95), (d, f1)
+    assert sum(int(k) < 400 for k, _ in got) <= 8  # of 400 sound pairs
 
 
 def test_truncation_is_learnt_from_complete_sentences(spark):
@@ -47,9 +55,11 @@ def test_truncation_is_learnt_from_complete_sentences(spark):
 
 def test_rare_sentence_ends_count(spark):
     replies = ["The amber lamp stands there."] * 60 + ["Nobody wants that amber."] * 2 + ["The wide brass door shuts."] * 60 + ["A dim shed by day."] * 18 + ["We like that shed."] * 2
-    frames = pairs.learn_frames(spark.createDataFrame([(r,) for r in replies], "reply string"))
-    assert "brass" in frames.inner and "amber" not in frames.inner  # amber is last in 3 %
-    assert "shed" in frames.enders and "amber" not in frames.enders  # shed is last in 10 %
+    frames, idf = pairs.learn(spark.createDataFrame([(r,) for r in replies], "reply string"))
+    amber, brass, shed = (pairs.Ids()[w] for w in ("amber", "brass", "shed"))
+    assert brass in frames.inner and amber not in frames.inner  # amber is last in 3 %
+    assert shed in frames.enders and amber not in frames.enders  # shed is last in 10 %
+    assert abs(idf["the"] - (1 + np.log(143 / 121))) < 0.02 and abs(idf["amber"] - (1 + np.log(143 / 63))) < 0.02
 
 
 def test_replies_that_stop_at_a_list_marker_are_truncated(spark):
@@ -62,16 +72,29 @@ def test_replies_that_stop_at_a_list_marker_are_truncated(spark):
     assert [(str(400 + i), "truncated") in got for i in range(len(cut + whole))] == [True] * len(cut) + [False] * len(whole)
 
 
-def test_label_model_finds_the_hidden_classes():
+def test_label_model_recovers_wrongly_stated_reliabilities():
     rng = np.random.default_rng(0)
-    y = rng.random(20_000) < 0.05
-    meaning = pairs.MEANING["echo"]
-    patterns = np.array([[rng.choice(3, p=np.array(m[int(t)]) / sum(m[int(t)])) for m in meaning] for t in y])
+    n = 300_000
+    kind = rng.choice(3, n, p=[0.95, 0.03, 0.02])
+    true = np.array(pairs.MEANING["echo"])
+    true[0, 1], true[3, 1] = 0.30, 0.60  # stated 0.98 and 0.91
+    patterns = np.where(rng.random((n, 4)) < true[:, kind].T, pairs.YES, pairs.NO)
+    patterns[rng.random((n, 4)) < 0.2] = pairs.ABSTAIN
     kinds, counts = np.unique(patterns, axis=0, return_counts=True)
-    m = pairs.LabelModel(meaning).fit(kinds, counts.astype(float))
-    assert abs(m.share - 0.05) < 0.01
-    p = m.posterior(patterns) > 0.5
-    assert (p == y).mean() > 0.99
+    m = pairs.LabelModel(pairs.MEANING["echo"]).fit(kinds, counts.astype(float))
+    assert abs(m.share - 0.03) < 0.003
+    assert np.abs(m.yes[:, 1] - true[:, 1]).max() < 0.03
+    assert ((m.posterior(patterns) > 0.5) == (kind == 1)).mean() > 0.985
+
+
+def test_other_scripts_and_fresh_replies():
+    q = "How do I brew coffee at home?"
+    for r in ("お湯を沸かしてからコーヒーを入れて五分待ちます。", "Вскипятите воду и добавьте кофе.", "물을 끓인 다음 커피를 넣으세요.", "उबलते पानी में कॉफी डालें।"):
+        assert pairs.votes(q, r, pairs.Frames())["wrong_language"][0] == pairs.YES, r
+    for r in ("You want to know how coffee can be brewed at home.", "The question is how to brew coffee at home."):
+        assert pairs.votes(q, r, pairs.Frames())["echo"][3] == pairs.YES, r
+    for r in ("I'd rather skip this one. Ask an expert instead.", "That falls outside my expertise.", "I won't be discussing that, please consult a professional."):
+        assert pairs.votes(q, r, pairs.Frames())["refusal"][1] == pairs.YES, r
 
 
 def test_votes_keep_their_widths():
@@ -91,7 +114,7 @@ def test_one_defect_a_pair_and_dirty_rows(spark):
 
 def test_long_echoes_are_compared_in_reasonable_time():
     words = " ".join(f"w{i % 50} x" for i in range(20_000))
-    assert pairs.votes(words, words, pairs.Frames())["echo"] == [pairs.YES] * 3
+    assert pairs.votes(words, words, pairs.Frames())["echo"] == [pairs.YES] * 4
 
 
 def test_echoes_are_compared_in_order_and_whole_at_all_lengths():
