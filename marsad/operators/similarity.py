@@ -1,4 +1,4 @@
-"""Set-similarity joins as DataFrame programs: exact, with a prefix filter on the rarest tokens."""
+"""Set-similarity joins as DataFrame programs, with a prefix filter on the rarest tokens."""
 
 from __future__ import annotations
 
@@ -8,23 +8,50 @@ from pyspark.sql import functions as F
 from marsad.session import cut
 
 
-def jaccard_pairs(df: DataFrame, threshold: float) -> DataFrame:
-    """(id, tokens array<string> of distinct tokens) -> (a, b, similarity), a < b, at or above a threshold > 0.
+class Close:
+    """Similar sets: ``members`` (id, rep), rep being the smallest id with an equal set, and ``links`` (a, b, similarity), a < b, of reps.
 
-    Tokens are ordered by how many rows have them; two similar sets share one of their rarest
-    n - ceil(t * n) + 1 tokens, so only those meet, and survivors are compared on their whole sets. Null
-    and empty sets meet nothing. Ids must be unique.
+    Copies of one set are held by their rep, so rows grow with the documents however many copies there are.
     """
-    base = df.select("id", "tokens")
-    # tokens meet by their 64-bit hashes; a collision only adds a candidate, as whole sets decide
-    exploded = base.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("token")).select("id", "n", F.xxhash64("token").alias("token"))
+
+    def __init__(self, members: DataFrame, links: DataFrame):
+        self.members, self.links = members, links
+
+    def both_ways(self) -> DataFrame:
+        """(rep, other) of each link in both directions, and of each rep with itself."""
+        l = self.links
+        own = self.members.select("rep").distinct().select("rep", F.col("rep").alias("other"))
+        return l.select(F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(l.select(F.col("b").alias("rep"), F.col("a").alias("other"))).unionByName(own)
+
+    def pairs(self) -> DataFrame:
+        """(a, b), a < b: the links of reps, and each other member with its rep."""
+        star = self.members.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+        return self.links.select("a", "b").unionByName(star)
+
+
+def jaccard_classes(df: DataFrame, threshold: float) -> Close:
+    """(id, tokens array<string> of distinct tokens) -> sets at or above a threshold > 0.
+
+    Sets are held as sorted 64-bit hashes, cut and stored once; equal sets collapse first. Tokens are
+    ordered by how many sets have them; two similar sets share one of their rarest n - ceil(t * n) + 1
+    tokens, so only those meet, and survivors are compared on their whole sets. Null and empty sets
+    meet nothing and are no members. Ids must be unique.
+    """
+    hashed = F.array_sort(F.transform("tokens", lambda t: F.xxhash64(t)))
+    base = df.filter(F.size("tokens") > 0).select("id", hashed.alias("tokens")).withColumn("n", F.size("tokens"))
+    base = cut(base.withColumn("h", F.xxhash64("tokens")).withColumn("g", F.xxhash64(F.lit(1), "tokens")))
+    key = ["n", "h", "g"]
+    reps = base.groupBy(*key).agg(F.min("id").alias("rep"))
+    members = cut(base.select("id", *key).join(reps, key).select("id", "rep"))
+    sets = base.join(reps.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "tokens")
+    exploded = sets.select("id", "n", F.explode("tokens").alias("token"))
     counts = exploded.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    # tokens of a single row stand first in any order and meet nothing: only their number matters
+    # tokens of a single set stand first in any order and meet nothing: only their number matters
     shared = exploded.join(counts, "token")
     place = F.row_number().over(Window.partitionBy("id").orderBy("df", "token"))
     total = F.count("*").over(Window.partitionBy("id"))
     ranked = shared.select("id", "n", "token", (place + F.col("n") - total).alias("pos"))
-    prefix = ranked.filter(F.col("pos") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1)
+    prefix = cut(ranked.filter(F.col("pos") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1))
     x = prefix.select("token", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("p_a"))
     y = prefix.select("token", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"))
     needed = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("n_a") + F.col("n_b")) - 1e-9)
@@ -36,10 +63,10 @@ def jaccard_pairs(df: DataFrame, threshold: float) -> DataFrame:
         .select("a", "b")
         .distinct()
     )
-    one, two = base.select(F.col("id").alias("a"), F.col("tokens").alias("s")), base.select(F.col("id").alias("b"), F.col("tokens").alias("t"))
+    one, two = sets.select(F.col("id").alias("a"), F.col("tokens").alias("s")), sets.select(F.col("id").alias("b"), F.col("tokens").alias("t"))
     both = F.size(F.array_intersect("s", "t"))
     scored = met.join(one, "a").join(two, "b").select("a", "b", (both / (F.size("s") + F.size("t") - both)).alias("similarity"))
-    return scored.filter(F.col("similarity") >= threshold - 1e-12)
+    return Close(members, cut(scored.filter(F.col("similarity") >= threshold - 1e-12)))
 
 
 def equal_pairs(df: DataFrame) -> DataFrame:

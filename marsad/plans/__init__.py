@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("similar", "planning", "explorer", "scoring", "screening", "records", "streams", "items")
+MODULES = ("similar", "planning", "explorer", "scoring", "screening", "records", "streams", "items", "checks", "training", "reviews")
 
 
 def _load():

@@ -21,7 +21,7 @@ def conversation_rows(messages: DataFrame) -> DataFrame:
 
     Repeated deliveries count once; a chat without a user has an empty request, one without answers 0 words.
     """
-    m = messages.select("message_id", "seed_index", "turn", role().alias("role"), "content", "domain").distinct().filter("seed_index is not null")
+    m = messages.select("message_id", "seed_index", "turn", role().alias("role"), "content", "domain").dropDuplicates(["message_id"]).filter("seed_index is not null")
     n, answer = T.word_count(F.col("content")), F.col("role") == "assistant"
     return m.groupBy("seed_index").agg(
         F.coalesce(F.min_by("content", F.when((F.col("role") == "user") & F.col("content").isNotNull(), F.col("turn"))), F.lit("")).alias("request"),
@@ -77,7 +77,7 @@ def domain_counts(spark, sf):
 @query("reply_length_describe", f"SELECT role, count(*) AS n, median({T.word_count_sql('content')}) AS median, round_even(avg({T.word_count_sql('content')}), 1) AS mean, min({T.word_count_sql('content')}) AS min, max({T.word_count_sql('content')}) AS max FROM {MSG} WHERE content IS NOT NULL GROUP BY role")
 def reply_length_describe(spark, sf):
     """Number, median, mean, least and most words by role; the median is exact."""
-    m = load(spark, sf, "messages").filter("content is not null").select("message_id", role().alias("role"), T.word_count(F.col("content")).alias("w")).distinct()
+    m = load(spark, sf, "messages").filter("content is not null").select("message_id", role().alias("role"), T.word_count(F.col("content")).alias("w")).dropDuplicates(["message_id"])
     # the exact median works on counts of lengths, which are few however many rows a role has
     counts = m.groupBy("role", "w").agg(F.count("*").alias("f"))
     return counts.groupBy("role").agg(F.sum("f").alias("n"), F.percentile("w", 0.5, F.col("f")).alias("median"), F.bround(F.sum(F.col("w") * F.col("f")) / F.sum("f"), 1).alias("mean"), F.min("w").alias("min"), F.max("w").alias("max"))

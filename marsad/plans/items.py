@@ -120,7 +120,7 @@ def annotation_validation(spark, sf):
 @query("output_contracts", f"WITH t AS (SELECT seed_index, count(*) AS n, bool_and(role IN ('user', 'assistant')) AS roles, bool_and(trim(coalesce(content, '')) <> '') AS filled FROM {MSG} WHERE role <> 'system' GROUP BY seed_index) SELECT n = 2 * max_exchanges AS right_length, roles, filled, count(*) AS chats FROM {CONV} JOIN t USING (seed_index) GROUP BY ALL")
 def output_contracts(spark, sf):
     """Chats by the three rules of an output: twice the exchanges long, known roles, no blank."""
-    m = load(spark, sf, "messages").select("message_id", "seed_index", role().alias("role"), "content").distinct().filter("role <> 'system'")
+    m = load(spark, sf, "messages").select("message_id", "seed_index", role().alias("role"), "content").dropDuplicates(["message_id"]).filter("role <> 'system'")
     t = m.groupBy("seed_index").agg(F.count("*").alias("n"), F.every(F.col("role").isin("user", "assistant")).alias("roles"), F.every(F.trim(F.coalesce("content", F.lit(""))) != "").alias("filled"))
     c = latest(load(spark, sf, "conversations"), "seed_index").join(t, "seed_index")
     return c.groupBy((F.col("n") == 2 * F.col("max_exchanges")).alias("right_length"), "roles", "filled").agg(F.count("*").alias("chats"))
@@ -149,7 +149,7 @@ def batch_labels(spark, sf):
 @query("cited_positions", f"SELECT message_id, list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(content, '\\d+'), lambda x: try_cast(x AS int)), lambda n: n IS NOT NULL AND n > 1 AND n <= 9 AND n % 2 = 1))) AS positions FROM {MSG} WHERE role = 'user' AND regexp_matches(content, '\\d')")
 def cited_positions(spark, sf):
     """Odd positions from 3 to 9 that a text names, in order and once each."""
-    m = load(spark, sf, "messages").select("message_id", role().alias("role"), "content").distinct().filter((F.col("role") == "user") & F.col("content").rlike(r"\d"))
+    m = load(spark, sf, "messages").select("message_id", role().alias("role"), "content").dropDuplicates(["message_id"]).filter((F.col("role") == "user") & F.col("content").rlike(r"\d"))
     n = F.transform(F.regexp_extract_all("content", F.lit(r"\d+"), F.lit(0)), lambda x: x.try_cast("int"))
     return m.select("message_id", F.array_sort(F.array_distinct(F.filter(n, lambda x: x.isNotNull() & (x > 1) & (x <= 9) & (x % 2 == 1)))).alias("positions"))
 

@@ -91,7 +91,7 @@ def family_split_rank(spark, sf):
 )
 def split_leakage(spark, sf):
     """Sizes of both parts of a family split and the families that fall into both, which must be none."""
-    m = load(spark, sf, "messages").select("message_id", "family_id").distinct()
+    m = load(spark, sf, "messages").select("message_id", "family_id").dropDuplicates(["message_id"])
     s = family_split(m, "family_id", 0.05, 42)
     held, train = s.filter("split = 'validation'"), s.filter("split = 'train'")
     both = held.join(train, "family", "left_semi").agg(F.count("*").alias("families_in_both"))

@@ -37,7 +37,7 @@ def distinct_pages(spark, sf):
 )
 def foreign_links(spark, sf):
     """Links of answers that are not among the sources of their chat."""
-    m = load(spark, sf, "messages").select("message_id", "seed_index", role().alias("role"), "content").distinct().filter("role = 'assistant'")
+    m = load(spark, sf, "messages").select("message_id", "seed_index", role().alias("role"), "content").dropDuplicates(["message_id"]).filter("role = 'assistant'")
     l = m.select("message_id", "seed_index", F.explode(T.links(F.col("content"))).alias("link")).withColumn("link", T.canonical_url(F.col("link")))
     s = latest(load(spark, sf, "conversations"), "seed_index").select("seed_index", F.explode(F.from_json("sources", "array<struct<url:string>>")).alias("s")).select("seed_index", T.canonical_url(F.col("s.url")).alias("link"))
     return l.join(s, ["seed_index", "link"], "left_anti").select("message_id", "link")
@@ -142,15 +142,6 @@ def checkpoint_selection(spark, sf):
     return e.withColumn("place", place).filter("place % 5 = 0 and place <= 15").select("user_id", "event_id", F.concat(F.lit("step-"), F.substring("sampler", 1, 12)).alias("checkpoint_id"))
 
 
-@query("pending_checkpoints", "SELECT event_id, left(sha256(concat(event_type, chr(0), user_id::varchar)), 16) AS command_hash FROM events e WHERE event_type = 'view' AND NOT EXISTS (SELECT 1 FROM events d WHERE d.event_type = 'purchase' AND d.user_id = e.user_id)")
-def pending_checkpoints(spark, sf):
-    """Entries without a completed run of the same key."""
-    e = load(spark, sf, "events")
-    done = e.filter("event_type = 'purchase'").select("user_id").distinct()
-    h = F.substring(T.digest(F.concat("event_type", F.lit("\x00"), F.col("user_id").cast("string"))), 1, 16)
-    return e.filter("event_type = 'view'").join(done, "user_id", "left_anti").select("event_id", h.alias("command_hash"))
-
-
 @query("transcript_roles", "WITH d AS (SELECT doc_id, text FROM documents WHERE regexp_matches(text, '(?m)^(User|Assistant|المستخدم|المساعد):')) SELECT doc_id, len(regexp_extract_all(text, '(?m)^(User|المستخدم):')) AS n_user, len(regexp_extract_all(text, '(?m)^(Assistant|المساعد):')) AS n_assistant FROM d")
 def transcript_roles(spark, sf):
     """Turns by role of documents that are labelled transcripts."""
@@ -169,7 +160,7 @@ def run_entry_parse(spark, sf):
 @query("training_messages", f"SELECT seed_index, count(*) AS n_messages, sum(length(coalesce(content, '')))::bigint AS chars, bool_and(role IN ('user', 'assistant', 'system') AND trim(coalesce(content, '')) <> '') AS valid FROM {MSG} WHERE seed_index IS NOT NULL GROUP BY seed_index")
 def training_messages(spark, sf):
     """Size and validity of each chat as a training example."""
-    m = load(spark, sf, "messages").select("message_id", "seed_index", "turn", role().alias("role"), "content").distinct().filter("seed_index is not null")
+    m = load(spark, sf, "messages").select("message_id", "seed_index", "turn", role().alias("role"), "content").dropDuplicates(["message_id"]).filter("seed_index is not null")
     ok = F.col("role").isin("user", "assistant", "system") & (F.trim(F.coalesce("content", F.lit(""))) != "")
     return m.groupBy("seed_index").agg(F.count("*").alias("n_messages"), F.sum(F.length(F.coalesce("content", F.lit("")))).alias("chars"), F.every(ok).alias("valid"))
 

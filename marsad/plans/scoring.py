@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marsad.functions import scoring as S
 from marsad.functions import text as T
+from marsad.operators.ordering import numbered
 from marsad.plans.catalog import query
 from marsad.plans.explorer import MSG
 from marsad.tables import load, role
@@ -13,11 +14,12 @@ from marsad.tables import load, role
 LET = "['أ', 'ب', 'ج', 'د', 'هـ']"
 
 
-@query("mcq_prompts", f"SELECT item_no, input_text || chr(10) || array_to_string(list_transform(range(1, least(len(choices), 5) + 1), lambda i: {LET}[i] || '. ' || choices[i]), chr(10)) || chr(10) || 'Answer:' AS prompt FROM mcq_items WHERE input_text IS NOT NULL AND choices IS NOT NULL")
+@query("mcq_prompts", f"SELECT item_no, input_text || chr(10) || array_to_string(list_transform(range(1, len(choices) + 1), lambda i: coalesce({LET}[i], i::varchar) || '. ' || choices[i]), chr(10)) || chr(10) || 'Answer:' AS prompt FROM mcq_items WHERE input_text IS NOT NULL AND choices IS NOT NULL")
 def mcq_prompts(spark, sf):
     """Question, lettered options and an answer line."""
     letters = F.array(*(F.lit(x) for x in S.LETTERS))
-    lines = F.array_join(F.transform(F.slice("choices", 1, 5), lambda x, i: F.concat(F.element_at(letters, i + 1), F.lit(". "), x)), "\n")
+    # options past the fifth letter are numbered
+    lines = F.array_join(F.transform("choices", lambda x, i: F.concat(F.coalesce(F.get(letters, i), (i + 1).cast("string")), F.lit(". "), x)), "\n")
     return load(spark, sf, "mcq_items").filter("input_text is not null and choices is not null").select("item_no", F.concat("input_text", F.lit("\n"), lines, F.lit("\nAnswer:")).alias("prompt"))
 
 
@@ -30,81 +32,105 @@ def items_by_subset(spark, sf):
     return i.groupBy(F.split_part("subset", F.lit(":"), F.lit(1)).alias("family"), F.coalesce(args["subject"], F.lit("")).alias("subject")).agg(F.count("*").alias("n"), F.count_if(bad).alias("bad_gold"))
 
 
-REPLY = f"'خيار ' || {LET}[1 + (item_no % 5)]"
+# replies of a model stand in the answers of the chats: the n-th item is answered by the n-th reference text
+ANSWERS = f"""a AS (SELECT subset, i.item_no, i.choices, i.gold_index, r.assistant AS reply FROM mcq_items i JOIN (SELECT assistant, row_number() OVER (ORDER BY id) - 1 AS n FROM hybrid_references) r ON r.n = i.item_no % (SELECT count(*) FROM hybrid_references))"""
+
+
+def item_answers(spark, sf):
+    """Items with texts that stand for a model's replies: free text, in which an option letter may stand or not."""
+    r = numbered(load(spark, sf, "hybrid_references").select("id", F.col("assistant").alias("reply")), ["id"], "n")
+    # one row
+    size = load(spark, sf, "hybrid_references").agg(F.count("*").alias("size"))
+    i = load(spark, sf, "mcq_items").join(F.broadcast(size)).withColumn("n", F.col("item_no") % F.col("size"))
+    return i.join(r.select("n", "reply"), "n")
 
 
 @query(
     "choice_accuracy",
-    f"""WITH a AS (SELECT subset, item_no, choices, gold_index, {REPLY} AS reply FROM mcq_items),
-    l AS (SELECT *, list_position({LET}, regexp_extract(trim(reply), '(أ|ب|ج|د|هـ)', 1)) AS k FROM a),
-    s AS (SELECT subset, coalesce(trim(choices[k]) = trim(CASE WHEN gold_index >= 0 AND gold_index < len(choices) THEN choices[gold_index + 1] END), false) AS ok FROM l)
-    SELECT subset, count(*) AS n, avg(ok::int) AS accuracy FROM s GROUP BY subset""",
+    f"""WITH {ANSWERS}, l AS (SELECT *, list_position({LET}, nullif(regexp_extract(trim(reply), '(أ|ب|ج|د|هـ)', 1), '')) AS k FROM a),
+    s AS (SELECT subset, k IS NOT NULL AS said, coalesce(trim(choices[k]) = trim(CASE WHEN gold_index >= 0 AND gold_index < len(choices) THEN choices[gold_index + 1] END), false) AS ok FROM l)
+    SELECT subset, count(*) AS n, count(*) FILTER (said) AS with_letter, avg(ok::int) AS accuracy FROM s GROUP BY subset""",
 )
 def choice_accuracy(spark, sf):
-    """Accuracy by subset of replies that name an option letter."""
-    letters = F.array(*(F.lit(x) for x in S.LETTERS))
-    reply = F.concat(F.lit("خيار "), F.element_at(letters, (F.col("item_no") % 5 + 1).cast("int")))
-    ok = S.is_correct(reply, F.col("choices"), F.col("gold_index"))
-    return load(spark, sf, "mcq_items").groupBy("subset").agg(F.count("*").alias("n"), F.avg(ok.cast("int")).alias("accuracy"))
+    """Accuracy by subset of free-text replies, by the first option letter in each."""
+    ok = S.is_correct(F.col("reply"), F.col("choices"), F.col("gold_index"))
+    said = S.extract_choice(F.col("reply")).isNotNull()
+    return item_answers(spark, sf).groupBy("subset").agg(F.count("*").alias("n"), F.count_if(said).alias("with_letter"), F.avg(ok.cast("int")).alias("accuracy"))
 
 
 @query(
     "macro_mean_score",
-    f"""WITH s AS (SELECT split_part(subset, ':', 1) AS suite, subset, avg((gold_index = item_no % 5)::int) AS score FROM mcq_items WHERE gold_index IS NOT NULL GROUP BY ALL)
+    f"""WITH {ANSWERS}, l AS (SELECT *, list_position({LET}, nullif(regexp_extract(trim(reply), '(أ|ب|ج|د|هـ)', 1), '')) AS k FROM a),
+    s AS (SELECT split_part(subset, ':', 1) AS suite, subset, avg(coalesce(trim(choices[k]) = trim(CASE WHEN gold_index >= 0 AND gold_index < len(choices) THEN choices[gold_index + 1] END), false)::int) AS score FROM l GROUP BY ALL)
     SELECT suite, count(*) AS tasks, avg(score) AS mean_score FROM s GROUP BY suite""",
 )
 def macro_mean_score(spark, sf):
-    """Unweighted mean over the tasks of a suite."""
-    s = load(spark, sf, "mcq_items").filter("gold_index is not null").groupBy(F.split_part("subset", F.lit(":"), F.lit(1)).alias("suite"), "subset").agg(F.avg((F.col("gold_index") == F.col("item_no") % 5).cast("int")).alias("score"))
-    return s.groupBy("suite").agg(F.count("*").alias("tasks"), F.avg("score").alias("mean_score"))
+    """Unweighted mean over the tasks of a suite, however many items each has."""
+    s = choice_accuracy(spark, sf).select(F.split_part("subset", F.lit(":"), F.lit(1)).alias("suite"), "accuracy")
+    return s.groupBy("suite").agg(F.count("*").alias("tasks"), F.avg("accuracy").alias("mean_score"))
 
 
 @query(
     "judge_score_parse",
-    """SELECT event_id, coalesce(least(1.0, greatest(0.0, list_filter(string_split_regex(trim('score ' || round(value, 2)::varchar || ' of 10'), '\\s+'), lambda w: regexp_matches(w, '^(\\d+\\.?\\d*|\\.\\d+)$'))[1]::double / 10)), 0.0) AS score FROM events WHERE value < 100000""",
+    f"""SELECT message_id, coalesce(least(1.0, greatest(0.0, list_filter(string_split_regex(trim(content), '\\s+'), lambda w: regexp_full_match(w, '\\d+\\.?\\d*|\\.\\d+'))[1]::double / 10)), 0.0) AS score FROM {MSG} WHERE role = 'assistant' AND content IS NOT NULL""",
 )
 def judge_score_parse(spark, sf):
-    said = F.concat(F.lit("score "), F.round("value", 2).cast("string"), F.lit(" of 10"))
-    return load(spark, sf, "events").filter("value < 100000").select("event_id", S.judge_score(said).alias("score"))
+    """The first number that stands alone in a text, as a score of ten; texts without one score 0."""
+    m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull()).select("message_id", "content").dropDuplicates(["message_id"])
+    return m.select("message_id", S.judge_score(F.col("content")).alias("score"))
 
 
 def answer_pairs(spark, sf):
     """Each answer beside the style reference of the same domain with the smallest id."""
-    m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull()).select("message_id", "content", "domain").distinct()
+    m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull()).select("message_id", "content", "domain").dropDuplicates(["message_id"])
     r = load(spark, sf, "hybrid_references").filter("assistant is not null and assistant <> '' and domain is not null").groupBy("domain").agg(F.min_by("assistant", "id").alias("reference"))
     return m.join(r, "domain")
 
 
-PAIRS = f"""p AS (SELECT m.message_id, string_split_regex(trim({T.fold_sql('m.content')}), '\\s+') AS a, string_split_regex(trim({T.fold_sql('r.reference')}), '\\s+') AS b FROM {MSG} m
+SPLIT = "list_filter(string_split_regex({}, '\\s+'), lambda w: w <> '')"
+PAIRS = f"""p AS (SELECT m.message_id, {SPLIT.format('m.content')} AS a, {SPLIT.format('r.reference')} AS b FROM {MSG} m
 JOIN (SELECT domain, arg_min(assistant, id) AS reference FROM hybrid_references WHERE assistant <> '' AND domain IS NOT NULL GROUP BY domain) r USING (domain) WHERE m.role = 'assistant' AND m.content IS NOT NULL)"""
 
 
+def runs_sql(n: int) -> str:
+    """Counts of runs of n words of both sides, and the shared ones."""
+    runs = lambda c: f"unnest([array_to_string({c}[i:i + {n - 1}], ' ') for i in range(1, len({c}) - {n - 2})])"
+    return f"""x{n} AS (SELECT message_id, w, count(*) AS n FROM (SELECT message_id, {runs('a')} AS w FROM p) GROUP BY ALL), y{n} AS (SELECT message_id, w, count(*) AS n FROM (SELECT message_id, {runs('b')} AS w FROM p) GROUP BY ALL),
+    h{n} AS (SELECT message_id, sum(least(x{n}.n, y{n}.n)) AS hit FROM x{n} JOIN y{n} USING (message_id, w) GROUP BY message_id)"""
+
+
 @query(
     "rouge1_reply",
-    f"""WITH {PAIRS}, x AS (SELECT message_id, w, count(*) AS n FROM (SELECT message_id, unnest(a) AS w FROM p) WHERE w <> '' GROUP BY ALL), y AS (SELECT message_id, w, count(*) AS n FROM (SELECT message_id, unnest(b) AS w FROM p) WHERE w <> '' GROUP BY ALL),
-    h AS (SELECT message_id, sum(least(x.n, y.n)) AS hit FROM x JOIN y USING (message_id, w) GROUP BY message_id)
-    SELECT message_id, round(2 * hit / (len(a) + len(b)), 6) AS rouge1 FROM p JOIN h USING (message_id)""",
+    f"WITH {PAIRS}, {runs_sql(1)} SELECT message_id, round(2 * hit / (len(a) + len(b)), 6) AS rouge1 FROM p JOIN h1 USING (message_id)",
 )
 def rouge1_reply(spark, sf):
-    """Word overlap of answers with a reference, where there is any, by joins alone."""
-    p = answer_pairs(spark, sf).select("message_id", F.split(F.trim(T.fold(F.col("content"))), r"\s+").alias("a"), F.split(F.trim(T.fold(F.col("reference"))), r"\s+").alias("b"))
-
-    def counts(side: str):
-        return p.select("message_id", F.explode(side).alias("w")).filter("w <> ''").groupBy("message_id", "w").agg(F.count("*").alias(side))
-
-    hit = counts("a").join(counts("b"), ["message_id", "w"]).groupBy("message_id").agg(F.sum(F.least("a", "b")).alias("hit"))
-    return p.join(hit, "message_id").select("message_id", F.round(2 * F.col("hit") / (F.size("a") + F.size("b")), 6).alias("rouge1"))
+    """Word overlap of answers with a reference, where there is any."""
+    p = answer_pairs(spark, sf)
+    score = S.overlap_f1(S.split_words(F.col("content")), S.split_words(F.col("reference")), 1)
+    return p.select("message_id", F.round(score, 6).alias("rouge1")).filter("rouge1 > 0")
 
 
-@query("bleu_rouge_reply")
+@query(
+    "bleu_rouge_reply",
+    f"""WITH {PAIRS}, {', '.join(runs_sql(n) for n in (1, 2, 3, 4))},
+    s AS (SELECT p.message_id, len(a) AS m, len(b) AS r, {', '.join(f'coalesce(h{n}.hit, 0) AS s{n}' for n in (1, 2, 3, 4))} FROM p {' '.join(f'LEFT JOIN h{n} ON h{n}.message_id = p.message_id' for n in (1, 2, 3, 4))})
+    SELECT message_id, round(CASE WHEN m > 0 AND r > 0 THEN exp({' + '.join(f'ln((s{n} + 1.0) / (greatest(m - {n - 1}, 0) + 1.0)) / 4' for n in (1, 2, 3, 4))}) * CASE WHEN m >= r THEN 1 ELSE exp(1 - r / m) END ELSE 0 END, 6) AS bleu,
+    round(CASE WHEN m > 0 AND r > 0 THEN 2 * s1 / (m + r) ELSE 0 END, 6) AS rouge1, round(CASE WHEN m > 1 AND r > 1 THEN 2 * s2 / (m + r - 2) ELSE 0 END, 6) AS rouge2 FROM s""",
+)
 def bleu_rouge_reply(spark, sf):
-    p = answer_pairs(spark, sf)
     refs = F.array("reference")
-    return p.select("message_id", S.bleu(F.col("content"), refs).alias("bleu"), S.rouge(F.col("content"), refs).alias("r")).select("message_id", "bleu", "r.*")
+    one, two = S.rouge12(F.col("content"), refs)
+    return answer_pairs(spark, sf).select("message_id", F.round(S.bleu(F.col("content"), refs), 6).alias("bleu"), F.round(one, 6).alias("rouge1"), F.round(two, 6).alias("rouge2"))
+
+
+@query("rouge_l_reply")
+def rouge_l_reply(spark, sf):
+    """Longest common subsequence of answers with a reference; tested on hand-worked values."""
+    return answer_pairs(spark, sf).select("message_id", S.rouge_l(F.col("content"), F.array("reference")).alias("rouge_l"))
 
 
 @query("fuzzy_reply")
 def fuzzy_reply(spark, sf):
-    """Fuzzy match of the gold choice within a question's own text."""
-    i = load(spark, sf, "mcq_items").filter("gold_index >= 0 and gold_index < size(choices)")
-    return i.select("item_no", S.fuzzy(F.col("input_text"), F.array(F.element_at("choices", F.col("gold_index") + 1))).alias("accuracy"))
+    """Whether a reply has the gold choice, fuzzily; tested on hand-worked values."""
+    i = item_answers(spark, sf).filter("gold_index >= 0 and gold_index < size(choices)")
+    return i.select("item_no", S.fuzzy(F.col("reply"), F.array(F.element_at("choices", F.col("gold_index") + 1))).alias("accuracy"))

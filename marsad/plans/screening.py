@@ -11,7 +11,7 @@ from marsad.tables import latest, load, role
 
 
 def turns(spark, sf):
-    return load(spark, sf, "messages").select("message_id", "seed_index", "turn", role().alias("role"), "content", "domain").distinct()
+    return load(spark, sf, "messages").select("message_id", "seed_index", "turn", role().alias("role"), "content", "domain").dropDuplicates(["message_id"])
 
 
 URLS = r"https?://[^\s)\]>]+"
@@ -112,15 +112,6 @@ def pending_context_screen(spark, sf):
     return c.join(r, "domain", "left").select("seed_index", (F.coalesce("screening_passed", F.lit(True)) & ~F.col("review_status").eqNullSafe("rejected")).alias("keep"))
 
 
-@query("repair_contract", f"WITH m AS (SELECT seed_index, turn, role, content FROM {MSG}), r AS (SELECT seed_index, turn, role, CASE WHEN role = 'assistant' THEN trim(content) ELSE content END AS content FROM m) SELECT m.seed_index, count(*) AS n, count(*) FILTER (m.role = 'user' AND m.content IS DISTINCT FROM r.content) AS protected_changes, count(*) FILTER (m.content IS DISTINCT FROM r.content) AS changes FROM m JOIN r USING (seed_index, turn, role) GROUP BY m.seed_index")
-def repair_contract(spark, sf):
-    """A repaired copy may change answers only: what was compared, changed, and changed against the rule."""
-    m = turns(spark, sf).select("seed_index", "turn", "role", "content")
-    r = m.select("seed_index", "turn", "role", F.when(F.col("role") == "assistant", F.trim("content")).otherwise(F.col("content")).alias("repaired"))
-    changed = ~F.col("content").eqNullSafe(F.col("repaired"))
-    return m.join(r, ["seed_index", "turn", "role"]).groupBy("seed_index").agg(F.count("*").alias("n"), F.count_if(changed & (F.col("role") == "user")).alias("protected_changes"), F.count_if(changed).alias("changes"))
-
-
 @query("record_fingerprints", f"SELECT seed_index, count(*) AS n, sum(('0x' || substr(sha256(coalesce(turn::varchar, '') || chr(31) || role || chr(31) || coalesce(content, '')), 1, 12))::bigint)::bigint AS fingerprint FROM {MSG} WHERE seed_index IS NOT NULL GROUP BY seed_index")
 def record_fingerprints(spark, sf):
     """A fingerprint of each chat: the sum of 48 bits of the hash of every turn, so no chat is gathered in one place."""

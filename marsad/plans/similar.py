@@ -5,83 +5,95 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marsad.functions import text as T
-from marsad.operators.similarity import equal_pairs, greedy_novel, jaccard_pairs
+from marsad.operators.ordering import numbered
+from marsad.operators.similarity import equal_pairs, greedy_novel, jaccard_classes
 from marsad.plans.catalog import query
 from marsad.tables import latest, load, role
 
 THRESHOLD = 0.72
-DOCS = f"""d AS (SELECT doc_id AS id, text, source, created_at, {T.words_sql('text')} AS w, {T.normalized_sql('text')} AS norm FROM documents WHERE text IS NOT NULL),
-g AS (SELECT id, {T.shingles_sql('w', 5)} AS s FROM d),
-n AS (SELECT id, len(s) AS n FROM g),
-e AS (SELECT id, unnest(s) AS gram FROM g),
-i AS (SELECT x.id AS a, y.id AS b, count(*) AS hits FROM e x JOIN e y ON x.gram = y.gram AND x.id < y.id GROUP BY ALL),
-j AS (SELECT a, b, hits / (p.n + q.n - hits) AS similarity FROM i JOIN n p ON p.id = a JOIN n q ON q.id = b),
-f AS (SELECT norm, min(id) AS a FROM d GROUP BY norm),
-pairs AS (SELECT a, b FROM j WHERE similarity >= {THRESHOLD} UNION SELECT f.a, d.id FROM d JOIN f USING (norm) WHERE d.id > f.a)"""
+
+
+def close_sql(rows: str, words: str, n: int = 5, threshold: float = THRESHOLD, within: str = "") -> str:
+    """The sets of ``rows`` (id, ...), their classes ``k`` (id, rep, copies) and all similar pairs ``j`` (a, b) of reps."""
+    both = f"AND x.{within} = y.{within}" if within else ""
+    keep = f", {within}" if within else ""
+    return f"""d AS ({rows}), g AS (SELECT id{keep}, list_sort({T.shingles_sql('w', n)}) AS s FROM (SELECT *, {words} AS w FROM d)),
+k AS MATERIALIZED (SELECT id, min(id) OVER (PARTITION BY s{keep}) AS rep, count(*) OVER (PARTITION BY s{keep}) AS copies, s{keep} FROM g WHERE len(s) > 0),
+q AS (SELECT * FROM k WHERE id = rep), e AS (SELECT id{keep}, unnest(s) AS gram FROM q),
+i AS (SELECT x.id AS a, y.id AS b, count(*) AS hits FROM e x JOIN e y ON x.gram = y.gram AND x.id < y.id {both} GROUP BY ALL),
+j AS MATERIALIZED (SELECT a, b FROM i JOIN q u ON u.id = a JOIN q v ON v.id = b WHERE hits / (len(u.s) + len(v.s) - hits) >= {threshold}),
+z AS (SELECT a AS rep, b AS other FROM j UNION ALL SELECT b, a FROM j UNION ALL SELECT rep, rep FROM q)"""
+
+
+DOCS = "WITH " + close_sql("SELECT doc_id AS id, text, created_at FROM documents WHERE text IS NOT NULL", T.words_sql("text"))
 
 
 def documents(spark, sf):
     return load(spark, sf, "documents").filter("text is not null").select(F.col("doc_id").alias("id"), "text", "source", "created_at")
 
 
-def clone_pairs_of(df):
-    """Pairs by Jaccard of five-word runs; equal normalized texts meet their first copy."""
-    d = T.with_shingles(df, F.col("text"), 5, "tokens")
-    close = jaccard_pairs(d, THRESHOLD).select("a", "b")
-    return close.unionByName(equal_pairs(d.select("id", T.normalized(F.col("text")).alias("value")))).distinct()
+def close_documents(spark, sf):
+    return jaccard_classes(T.with_shingles(documents(spark, sf), F.col("text"), 5, "tokens"), THRESHOLD)
 
 
-@query("clone_pairs", f"WITH {DOCS} SELECT a AS doc_a, b AS doc_b FROM pairs")
+@query(
+    "clone_pairs",
+    DOCS + f""", f AS (SELECT {T.normalized_sql('text')} AS norm, min(id) AS a FROM d GROUP BY norm)
+    SELECT a AS doc_a, b AS doc_b FROM j UNION SELECT rep, id FROM k WHERE id <> rep UNION SELECT f.a, d.id FROM d JOIN f ON f.norm = {T.normalized_sql('d.text')} WHERE d.id > f.a""",
+)
 def clone_pairs(spark, sf):
-    return clone_pairs_of(documents(spark, sf)).select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"))
+    """Pairs by Jaccard of five-word runs between the first documents of equal sets, each copy with its first one; equal normalized texts meet their first copy."""
+    equal = equal_pairs(documents(spark, sf).select("id", T.normalized(F.col("text")).alias("value")))
+    return close_documents(spark, sf).pairs().unionByName(equal).distinct().select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"))
 
 
-@query("clone_flags", f"WITH {DOCS} SELECT id AS doc_id, count(*) AS n_pairs FROM (SELECT a AS id FROM pairs UNION ALL SELECT b FROM pairs) GROUP BY id")
+@query("clone_flags", DOCS + " SELECT k.id AS doc_id, sum(o.copies)::bigint - 1 AS n_similar FROM k JOIN z ON z.rep = k.rep JOIN (SELECT DISTINCT rep, copies FROM k) o ON o.rep = z.other GROUP BY k.id HAVING sum(o.copies) > 1")
 def clone_flags(spark, sf):
-    p = clone_pairs_of(documents(spark, sf))
-    return p.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("n_pairs"))
+    """How many other documents are similar to each document, counted over classes without forming their pairs."""
+    c = close_documents(spark, sf)
+    sizes = c.members.groupBy("rep").agg(F.count("*").alias("copies"))
+    similar = c.both_ways().join(sizes.toDF("other", "copies"), "other").groupBy("rep").agg((F.sum("copies") - 1).alias("n_similar")).filter("n_similar > 0")
+    return c.members.join(similar, "rep").select(F.col("id").alias("doc_id"), "n_similar")
 
 
-CLOSE = f"""WITH d AS (SELECT doc_id AS id, created_at, {T.words_sql("regexp_replace(text, '" + T.MARKDOWN_LINK + "', '\\1', 'g')")} AS w FROM documents WHERE text IS NOT NULL AND {T.word_count_sql('text')} >= 40),
-g AS (SELECT id, {T.shingles_sql('w', 5)} AS s FROM d), n AS (SELECT id, len(s) AS n FROM g), e AS (SELECT id, unnest(s) AS gram FROM g),
-i AS (SELECT x.id AS a, y.id AS b, count(*) AS hits FROM e x JOIN e y ON x.gram = y.gram AND x.id < y.id GROUP BY ALL),
-j AS (SELECT a, b FROM i JOIN n p ON p.id = a JOIN n q ON q.id = b WHERE hits / (p.n + q.n - hits) >= {THRESHOLD})"""
+CLOSE = "WITH " + close_sql(f"SELECT doc_id AS id, created_at, text FROM documents WHERE text IS NOT NULL AND {T.word_count_sql('text')} >= 40", T.words_sql("regexp_replace(text, '" + T.MARKDOWN_LINK + "', '\\1', 'g')"))
 
 
 def long_close(spark, sf):
     d = documents(spark, sf).filter(T.word_count(F.col("text")) >= 40)
-    return d, jaccard_pairs(T.with_shingles(d, T.without_links(F.col("text")), 5, "tokens"), THRESHOLD).select("a", "b")
+    return d, jaccard_classes(T.with_shingles(d, T.without_links(F.col("text")), 5, "tokens"), THRESHOLD)
 
 
-@query("repetition_first_wins", CLOSE + " SELECT b AS doc_id, min(a) AS first_doc, count(*) AS n_earlier FROM j GROUP BY b")
+@query("repetition_first_wins", CLOSE + " SELECT k.id AS doc_id, min(z.other) AS first_doc FROM k JOIN z USING (rep) GROUP BY k.id HAVING min(z.other) < k.id")
 def repetition_first_wins(spark, sf):
     """Long texts that repeat an earlier one; the earlier one stays."""
-    _, p = long_close(spark, sf)
-    return p.groupBy(F.col("b").alias("doc_id")).agg(F.min("a").alias("first_doc"), F.count("*").alias("n_earlier"))
+    _, c = long_close(spark, sf)
+    first = c.both_ways().groupBy("rep").agg(F.min("other").alias("first_doc"))
+    return c.members.join(first, "rep").filter("first_doc < id").select(F.col("id").alias("doc_id"), "first_doc")
 
 
-@query("cross_batch_rejects", CLOSE + " SELECT DISTINCT z.id AS doc_id FROM j, d x, d y, d z WHERE x.id = j.a AND y.id = j.b AND x.created_at::date <> y.created_at::date AND z.id = CASE WHEN x.created_at > y.created_at THEN j.a ELSE j.b END")
+@query("cross_batch_rejects", CLOSE + ", t AS (SELECT rep, min(created_at::date) AS day FROM k JOIN d USING (id) GROUP BY rep), e2 AS (SELECT z.rep, min(t.day) AS day FROM z JOIN t ON t.rep = z.other GROUP BY z.rep) SELECT k.id AS doc_id FROM k JOIN d USING (id) JOIN e2 ON e2.rep = k.rep WHERE d.created_at::date > e2.day")
 def cross_batch_rejects(spark, sf):
-    """Of a close pair from two days, the later row is rejected."""
-    d, p = long_close(spark, sf)
-    when = d.select("id", "created_at")
-    x, y = when.toDF("a", "at_a"), when.toDF("b", "at_b")
-    both = p.join(x, "a").join(y, "b").filter(F.to_date("at_a") != F.to_date("at_b"))
-    return both.select(F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b")).alias("doc_id")).distinct()
+    """Of similar rows from different days, all after the first day are rejected."""
+    d, c = long_close(spark, sf)
+    dated = c.members.join(d.select("id", F.to_date("created_at").alias("day")), "id")
+    first = dated.groupBy("rep").agg(F.min("day").alias("day"))
+    earliest = c.both_ways().join(first.toDF("other", "first_day"), "other").groupBy("rep").agg(F.min("first_day").alias("first_day"))
+    return dated.join(earliest, "rep").filter("day > first_day").select(F.col("id").alias("doc_id"))
 
 
 @query("exact_duplicates", "SELECT doc_id, sha256(text) AS sha, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) - 1 AS earlier FROM documents WHERE text <> '' QUALIFY earlier > 0")
 def exact_duplicates(spark, sf):
     """Rows whose text was seen under a smaller id, with how many came before.
 
-    Rows of a text meet by its hash; hashes that occur once never enter the ranking.
+    Hashes that occur once stay out; the others are numbered over all tasks in order of (hash, id), and
+    a row's number less its hash's first number is its place, so no hash is ranked in one task.
     """
-    from pyspark.sql import Window
-
     d = load(spark, sf, "documents").filter("text <> ''").select("doc_id", T.digest(F.col("text")).alias("sha"))
     repeated = d.groupBy("sha").count().filter("count > 1").select("sha")
-    w = Window.partitionBy("sha").orderBy("doc_id")
-    return d.join(repeated, "sha").select("doc_id", "sha", (F.row_number().over(w) - 1).cast("long").alias("earlier")).filter("earlier > 0")
+    n = numbered(d.join(repeated, "sha"), ["sha", "doc_id"], "n")
+    first = n.groupBy("sha").agg(F.min("n").alias("first"))
+    return n.join(first, "sha").select("doc_id", "sha", (F.col("n") - F.col("first")).alias("earlier")).filter("earlier > 0")
 
 
 SEEDS = "(SELECT * FROM seed_pool QUALIFY row_number() OVER (PARTITION BY seed_index ORDER BY ingested_at DESC) = 1)"
@@ -102,36 +114,46 @@ def normalized_duplicates(spark, sf):
 )
 def reference_overlap_12gram(spark, sf):
     """Answers that share a run of twelve words with a style reference."""
-    m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull()).select("message_id", "content").distinct()
+    m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull()).select("message_id", "content").dropDuplicates(["message_id"])
     a = T.with_shingles(m, F.col("content"), 12, "grams").select("message_id", F.explode("grams").alias("gram"))
     r = T.with_shingles(load(spark, sf, "hybrid_references").filter("assistant is not null"), F.col("assistant"), 12, "grams").select(F.col("id").alias("reference_id"), F.explode("grams").alias("gram")).distinct()
     return a.join(r, "gram").groupBy("message_id", "reference_id").agg(F.count("*").alias("n_shared"))
 
 
-@query("novel_seeds")
+NOVEL = f"""WITH RECURSIVE n AS (SELECT min(seed_index) AS id, value FROM (SELECT seed_index, {T.normalized_sql('question')} AS value FROM {SEEDS} WHERE question IS NOT NULL) WHERE value <> '' GROUP BY value),
+s AS (SELECT id, list_distinct(string_split(value, ' ')) AS s FROM n), e AS (SELECT id, unnest(s) AS w FROM s),
+i AS (SELECT x.id AS a, y.id AS b, count(*) AS hits FROM e x JOIN e y ON x.w = y.w AND x.id < y.id GROUP BY ALL),
+j AS MATERIALIZED (SELECT a, b FROM i JOIN s p ON p.id = a JOIN s q ON q.id = b WHERE hits / (len(p.s) + len(q.s) - hits) >= 0.8),
+o AS MATERIALIZED (SELECT id, row_number() OVER (ORDER BY id) AS k FROM (SELECT a AS id FROM j UNION SELECT b FROM j)),
+r AS (SELECT 0::bigint AS k, []::bigint[] AS kept UNION ALL
+  SELECT r.k + 1, CASE WHEN EXISTS (SELECT 1 FROM j WHERE j.b = o.id AND list_contains(r.kept, j.a)) THEN r.kept ELSE list_append(r.kept, o.id) END FROM r JOIN o ON o.k = r.k + 1),
+kept AS (SELECT unnest(kept) AS id FROM r ORDER BY k DESC LIMIT 1)
+SELECT id AS seed_index FROM n WHERE id NOT IN (SELECT id FROM o) UNION ALL SELECT unnest(kept) FROM (SELECT kept FROM r ORDER BY k DESC LIMIT 1)"""
+
+
+@query("novel_seeds", NOVEL)
 def novel_seeds(spark, sf):
     """Questions in order that are neither equal to nor 0.8 alike in words with an accepted earlier one."""
-    s = latest(load(spark, sf, "seed_pool"), "seed_index").filter("question is not null").select(F.col("seed_index").alias("id"), T.normalized(F.col("question")).alias("value"))
+    s = latest(load(spark, sf, "seed_pool").select("seed_index", "question", "ingested_at"), "seed_index").filter("question is not null").select(F.col("seed_index").alias("id"), T.normalized(F.col("question")).alias("value"))
     s = s.filter("value <> ''")
     # equal questions collapse to the first one, so the pairs of a hot question never form
     first = s.groupBy("value").agg(F.min("id").alias("id"))
-    close = jaccard_pairs(first.select("id", F.array_distinct(F.split("value", " ")).alias("tokens")), 0.8)
-    return greedy_novel(first.select("id"), close).select(F.col("id").alias("seed_index"))
+    c = jaccard_classes(first.select("id", F.array_distinct(F.split("value", " ")).alias("tokens")), 0.8)
+    # all members of a class share one fate but for the first: whatever rejects it rejects them, and else it does
+    return greedy_novel(c.members.select(F.col("rep").alias("id")).distinct(), c.links).select(F.col("id").alias("seed_index"))
 
 
 @query(
     "near_dup_earlier_answer",
-    f"""WITH m AS (SELECT DISTINCT message_id, seed_index, turn, content FROM messages WHERE lower(trim(role)) = 'assistant' AND content IS NOT NULL),
-    w AS (SELECT *, list_distinct({T.words_sql('content')}) AS s FROM m)
-    SELECT y.message_id, count(*) AS n_earlier FROM w x JOIN w y ON x.seed_index = y.seed_index AND x.turn < y.turn
-    WHERE len(x.s) + len(y.s) > 0 AND len(list_intersect(x.s, y.s)) / (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s))) >= 0.72 GROUP BY y.message_id""",
+    "WITH " + close_sql("SELECT message_id AS id, any_value(family_id) AS family_id, any_value(content) AS content FROM messages WHERE lower(trim(role)) = 'assistant' AND content IS NOT NULL AND family_id IS NOT NULL GROUP BY message_id", T.words_sql("content"), 5, THRESHOLD, "family_id")
+    + " SELECT k.id AS message_id, min(z.other) AS first_message FROM k JOIN z USING (rep) GROUP BY k.id HAVING min(z.other) < k.id",
 )
 def near_dup_earlier_answer(spark, sf):
-    """Answers that repeat an earlier answer of their own chat."""
-    m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull()).select(F.col("message_id").alias("id"), "seed_index", "turn", "content").distinct()
-    # the chat is part of the token, so a chat of any length is joined on its rarest words like a corpus
-    chat = F.coalesce(F.col("seed_index").cast("string"), F.lit(""))
-    p = jaccard_pairs(m.select("id", F.transform(F.array_distinct(T.words(F.col("content"))), lambda w: F.concat(chat, F.lit(" "), w)).alias("tokens")), 0.72)
-    x, y = m.select(F.col("id").alias("a"), F.col("turn").alias("turn_a")), m.select(F.col("id").alias("b"), F.col("turn").alias("turn_b"))
-    later = p.join(x, "a").join(y, "b").filter("turn_a <> turn_b").select(F.when(F.col("turn_a") > F.col("turn_b"), F.col("a")).otherwise(F.col("b")).alias("message_id"))
-    return later.groupBy("message_id").agg(F.count("*").alias("n_earlier"))
+    """Answers whose runs of five words repeat an earlier answer of their own family of chats."""
+    m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull() & F.col("family_id").isNotNull())
+    m = m.select(F.col("message_id").alias("id"), "family_id", "content").dropDuplicates(["id"])
+    # the family is part of the token, so a family of any size is joined on its rarest runs like a corpus
+    grams = T.with_shingles(m, F.col("content"), 5, "grams")
+    c = jaccard_classes(grams.select("id", F.transform("grams", lambda w: F.concat("family_id", F.lit(" "), w)).alias("tokens")), THRESHOLD)
+    first = c.both_ways().groupBy("rep").agg(F.min("other").alias("first_message"))
+    return c.members.join(first, "rep").filter("first_message < id").select(F.col("id").alias("message_id"), "first_message")

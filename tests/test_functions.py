@@ -2,6 +2,8 @@ import hashlib
 import re
 import unicodedata
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,14 +76,19 @@ def test_judge_score(spark):
 
 
 def test_text_scores(spark):
-    assert S.bleu_of("a b c d e", ["a b c d e"]) == pytest.approx(1.0)
-    assert S.bleu_of("", ["a"]) == 0 and S.bleu_of("a", []) == 0
-    assert S.bleu_of("a b", ["a b c d"]) < S.bleu_of("a b c d", ["a b c d"])
-    assert S.rouge_of("a b c", ["a c b"]) == (1.0, 0.0, pytest.approx(2 / 3))
     assert S.fuzzy_of("well, the red Cat sat", ["red cat"]) == 1.0
-    assert S.fuzzy_of("abc", ["xyz"]) < 0.5
-    df = spark.createDataFrame([("a b c", ["a b c"], "bleu"), (None, None, "rouge")], "t string, r array<string>, m string")
-    out = df.select(S.bleu(F.col("t"), F.col("r")).alias("b"), S.rouge(F.col("t"), F.col("r")).alias("r"), S.fuzzy(F.col("t"), F.col("r")).alias("f")).collect()
-    assert out[0].b == pytest.approx(1.0) and out[0].r.rougeL == 1.0 and out[1].b == 0 and out[1].f == 0
+    assert S.fuzzy_of("abc", ["xyz"]) == 0.0 and S.fuzzy_of("", ["a"]) == 0.0 and S.fuzzy_of("a", []) == 0.0
+    # 9 of 10 letters in place, 2 * 9 / 20 = 0.9; 7 of 10 give 0.7, which counts nothing
+    assert S.fuzzy_of("say abcdeXghij now", ["abcdefghij"]) == 1.0 and S.fuzzy_of("say abcXeXgXij now", ["abcdefghij"]) == 0.0
+    assert S.rouge_l_of("a b c", ["a c b"]) == pytest.approx(2 / 3) and S.rouge_l_of("A b", ["a c"]) == 0.0
+    rows = [("a b c d e", ["a b c d e"], "bleu"), (None, None, "rouge"), ("a b", ["a b c d"], "bleu"), ("a c b", ["x", "a b c"], "bleu"), ("", ["a"], "bleu"), ("PARIS", ["paris", None], "bleu")]
+    df = spark.createDataFrame(rows, "t string, r array<string>, m string")
+    one, two = S.rouge12(F.col("t"), F.col("r"))
+    out = df.select(S.bleu(F.col("t"), F.col("r")).alias("b"), one.alias("r1"), two.alias("r2"), S.rouge_l(F.col("t"), F.col("r")).alias("rl"), S.fuzzy(F.col("t"), F.col("r")).alias("f")).collect()
+    assert [(r.b, r.r1, r.r2, r.f) for r in out[:2]] == [(1.0, 1.0, 1.0, 1.0), (0.0, 0.0, 0.0, 0.0)] and out[0].rl == 1.0
+    assert out[2].b == pytest.approx(math.exp(1 - 4 / 2))  # all runs are there, but two words stand against four
+    assert (out[3].r1, out[3].r2, out[3].rl) == (1.0, 0.0, pytest.approx(2 / 3))
+    assert out[3].b == pytest.approx((4 / 4 * 1 / 3 * 1 / 2 * 1) ** 0.25)
+    assert out[4].b == 0 and out[5].r1 == 0 and out[5].f == 1.0  # case counts for words, not for the fuzzy match
     with pytest.raises(Exception, match="unknown metric"):
         df.select(S.primary(F.lit("other"), F.lit(1.0), F.lit(1.0), F.lit(1.0))).collect()

@@ -14,10 +14,23 @@ def test_jaccard_pairs_against_brute_force(spark):
         sets += [base, (base - {next(iter(base))}) | {rng.choice(words)}]
     rows = [(i, sorted(s)) for i, s in enumerate(sets)] + [(900, []), (901, None), (902, ["only"]), (903, ["only"])]
     df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    full = [(i, set(s)) for i, s in rows if s]
+    reps = {i: min(j for j, u in full if u == s) for i, s in full}
     for t in (0.5, 0.72, 1.0):
-        got = {(r.a, r.b) for r in jaccard_pairs(df, t).collect()}
-        full = [(i, set(s)) for i, s in rows if s]
-        assert got == {(i, j) for i, s in full for j, u in full if i < j and len(s & u) >= t * len(s | u) - 1e-12}
+        c = jaccard_classes(df, t)
+        assert {(r.id, r.rep) for r in c.members.collect()} == set(reps.items())
+        assert {(r.a, r.b) for r in c.links.collect()} == {(i, j) for i, s in full for j, u in full if i < j and i == reps[i] and j == reps[j] and len(s & u) >= t * len(s | u) - 1e-12}
+        assert (902, 903) in {(r.a, r.b) for r in c.pairs().collect()}
+
+
+def test_many_copies_of_one_set_give_linear_rows(spark):
+    from pyspark.sql import functions as F
+
+    near = [f"w{i}" for i in range(20)]
+    copies = spark.range(50_000).select("id", F.array(*(F.lit(w) for w in near)).alias("tokens"))
+    others = spark.createDataFrame([(60_000, near[:-1]), (60_001, near[:-1]), (60_002, ["far"])], "id long, tokens array<string>")
+    c = jaccard_classes(copies.unionByName(others), 0.72)
+    assert c.links.count() == 1 and c.pairs().count() == 49_999 + 1 + 1 and c.members.count() == 50_003
 
 
 def test_equal_pairs_link_copies_to_the_first(spark):
