@@ -113,7 +113,6 @@ def _before_joining() -> dict[int, str]:
 _WORDS = re.compile("[\\ẁ-ͯؐ-ًؚ-ٰٟۖ-ۜ۟-۪ۤۧۨ-ۭ]+")
 _UNMARKED_WORDS = re.compile("\\w+")
 _BARE = re.compile("[_أإآٱ\u0610-\u061a\u0640\u064b-\u065f\u0670\u06d6-\u06dc]")
-_BARE_MAP = {ord("_"): " ", ord("أ"): "ا", ord("إ"): "ا", ord("آ"): "ا", ord("ٱ"): "ا"}
 _MARKS = re.compile("[\u0610-\u061a\u0640\u064b-\u065f\u0670\u06d6-\u06dc]+")
 
 
@@ -127,7 +126,7 @@ def bare(text: str) -> str:
     """A consistent text in lower case without vowel marks, tatweel, underscores and the hamza or madda on alef."""
     t = text.lower()
     if _BARE.search(t) is not None:
-        t = _MARKS.sub("", t.translate(_BARE_MAP))
+        t = _MARKS.sub("", t.replace("أ", "ا").replace("إ", "ا").replace("آ", "ا").replace("ٱ", "ا").replace("_", " "))
     return t
 
 

@@ -84,11 +84,12 @@ _STOP = ".!?؟。۔．…"
 _SENTENCE = re.compile(r"(?<=[.!?؟。۔．…])[\s‎‏]+|\n+")
 _BULLET = re.compile(r"^\s*(?:[-*•#>]+|\d+[.)-])\s*")
 _MARKER = re.compile(r"[-*•]|\(?(?:(\d{1,3})[.)-]|([^\W\d_])[.)])")
-_SHOWN = re.compile(r"[^\W_]")
+_SHOWN, _DIGIT = re.compile(r"[^\W_]"), re.compile(r"\d")
 
 _STOPS = {k: set(forms.bare_words(v)) for k, v in STOP_WORDS.items()}
 _LETTERS = {k: re.compile("[" + v + "]") for k, v in MARK_LETTERS.items()}
 _ARABIC, _LATIN = re.compile("[ء-يپچژگکیےںہھٹڈڑ]"), re.compile("[A-Za-zÀ-ɏ]")
+_THREE_ARABIC, _THREE_LATIN = (re.compile(f"(?:[{c}][^{c}]*){{3}}") for c in (_ARABIC.pattern[1:-1], _LATIN.pattern[1:-1]))
 # any character beyond Latin, combining marks, Arabic, punctuation and symbols
 _FARTHER = re.compile("[^\x00-\u02ff\u0300-\u036f\u0600-\u06ff\u0750-\u077f\u1e00-\u1eff\u2000-\u2bff\ufb50-\ufdff\ufe00-\ufeff]")
 # Scripts that one language writes together.
@@ -111,8 +112,14 @@ def script_of(c: str) -> str:
 
 def script(text: str) -> str:
     """The script of most letters; none below three letters."""
-    n = {"arabic": len(_ARABIC.findall(text)), "latin": len(_LATIN.findall(text))}
-    if _FARTHER.search(text) is not None:
+    if _FARTHER.search(text) is None:
+        # a text with letters of one script only needs no more than its first three
+        if _LATIN.search(text) is None:
+            return "arabic" if _THREE_ARABIC.search(text) else ""
+        if _ARABIC.search(text) is None:
+            return "latin" if _THREE_LATIN.search(text) else ""
+        n = {"arabic": len(_ARABIC.findall(text)), "latin": len(_LATIN.findall(text))}
+    else:
         n = Counter(k for c in text if (k := script_of(c)))
     return max(n, key=n.get) if sum(n.values()) >= 3 else ""
 
@@ -344,6 +351,10 @@ def stem(w: str) -> str:
     return _SUFFIXES.sub("", w) if len(w) > 4 else w
 
 
+def numbers_alike(words: list[str], text: str) -> list[str]:
+    return words if _DIGIT.search(text) is None else ["0" if w.isdigit() else w for w in words]
+
+
 def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str] | None = None, ids: Ids | None = None) -> dict[str, list[int]]:
     """The labelling functions' votes for each defect; every list has a fixed length.
 
@@ -357,7 +368,7 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
         return v | {d: [NO] * n for d, n in (("refusal", 3), ("wrong_language", 3), ("echo", 4), ("truncated", 4))}
     shown = without_code(text)
     bare_q, bare_a = forms.bare_words(prompt or ""), forms.runs(forms.bare(shown)) if words is None else words
-    q, a = ["0" if w.isdigit() else w for w in bare_q], ["0" if w.isdigit() else w for w in bare_a]
+    q, a = numbers_alike(bare_q, prompt or ""), numbers_alike(bare_a, shown)
     asked, said = set(q), set(a)
 
     # refusal: without a word of a declining or courteous phrase all clauses are neither

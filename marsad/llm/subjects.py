@@ -24,7 +24,8 @@ from marsad.tables import load
 BUCKETS = 1 << 16
 #: At most so many labelled documents are learnt from, chosen by a hash of their id.
 MAX_LABELLED = 200_000
-EM_ROUNDS = 2
+#: EM goes on until no word weight moves by more than this on average, for so many rounds at most.
+EM_STILL, EM_ROUNDS = 0.02, 4
 #: A sentence is clear from this posterior on.
 CLEAR = 0.6
 CUTOFF = 0.5
@@ -59,7 +60,12 @@ def label_masks(labels: DataFrame, subjects: list[str], most: int = MAX_LABELLED
     bit = F.array_position(F.array(*(F.lit(s) for s in subjects)), F.lower(F.trim("subject"))) - 1
     one = labels.filter("doc_id is not null and subject is not null").select("doc_id", bit.cast("int").alias("c")).filter("c >= 0")
     masks = one.groupBy("doc_id").agg(F.bit_or(F.expr("shiftleft(1L, c)")).alias("mask"))
-    return masks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    n = masks.count()
+    if n <= most:
+        return masks
+    # hashes are spread evenly: those below a bit more than the wanted share hold the first ones, so few are sorted
+    below = int(-(2**63) + 2**64 * min(1.0, 1.05 * most / n + 1e-6))
+    return masks.filter(F.xxhash64("doc_id") < F.lit(below)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
 class Batch:
@@ -215,14 +221,20 @@ class Model:
         return 1 / (1 + np.exp(-self.curves[:, 0] * (share - self.curves[:, 1])))
 
 
-def train(rows: DataFrame, subjects: list[str], rounds: int = EM_ROUNDS) -> Model:
-    """rows: (doc_id, words, lengths, mask); mask is null or 0 for unlabelled documents."""
+def train(rows: DataFrame, subjects: list[str], rounds: int = EM_ROUNDS) -> Model | None:
+    """rows: (doc_id, words, lengths, mask); mask is null or 0 for unlabelled documents. Without a labelled word there is no model."""
     k, sc = len(subjects), rows.sparkSession.sparkContext
     labelled = rows.filter("mask <> 0")
     counts = counted(labelled, k, from_labels(k))
     weights = complement_weights(counts)
+    if not counts.any():
+        return None
     for _ in range(rounds):
-        weights = complement_weights(counted(rows, k, from_spread(sc.broadcast(weights), k)))
+        new = complement_weights(counted(rows, k, from_spread(sc.broadcast(weights), k)))
+        moved = float(np.abs(new - weights)[new.any(axis=1)].mean())
+        weights = new
+        if moved < EM_STILL:
+            break
     shared = sc.broadcast(weights)
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,15 +288,17 @@ def classify(rows: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame
 def assign(documents: DataFrame, labels: DataFrame, subjects: list[str]) -> DataFrame:
     """Subject areas of every non-blank document.
 
-    Without labels every document gets the first subject; without subjects there is no row. A doc_id that
-    repeats, null too, counts once per subject. Extra columns are ignored.
+    Without subjects, or without a label of a document that is there, nothing can be learnt and there is
+    no row. A doc_id that repeats, null too, counts once per subject. Extra columns are ignored.
     """
+    none = documents.sparkSession.createDataFrame([], "doc_id long, subject string, share double, posterior double")
     if not subjects:
-        return documents.sparkSession.createDataFrame([], "doc_id long, subject string, share double, posterior double")
+        return none
     masks = cut(label_masks(labels, subjects))
     # at most MAX_LABELLED rows of two numbers: a proven bound
     rows = cut(sentence_words(documents).join(F.broadcast(masks), "doc_id", "left"))
-    return classify(rows, train(rows, subjects))
+    model = train(rows, subjects)
+    return none if model is None else classify(rows, model)
 
 
 def subject_list(spark: SparkSession, directory: str) -> list[str]:

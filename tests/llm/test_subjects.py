@@ -57,7 +57,7 @@ def test_every_text_gets_a_subject(spark):
 
 def test_no_labels_and_no_documents(spark):
     docs, _ = make(5)
-    assert {r.doc_id for r in run(spark, docs, []).collect()} == set(range(5))
+    assert run(spark, docs, []).count() == 0 and run(spark, docs, [(999, "law")]).count() == 0
     assert run(spark, [], [(1, "law")]).count() == 0
     d = spark.createDataFrame(docs, "doc_id long, text string")
     assert subjects.assign(d, spark.createDataFrame([], "doc_id long, subject string"), []).count() == 0
