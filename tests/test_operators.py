@@ -1,11 +1,11 @@
 import random
 
 from marsad.operators.ordering import apportion, family_split, numbered
-from marsad.operators.similarity import equal_pairs, greedy_novel, jaccard_pairs
+from marsad.operators.similarity import equal_pairs, greedy_novel, jaccard_classes
 from marsad.tables import latest
 
 
-def test_jaccard_pairs_against_brute_force(spark):
+def test_jaccard_classes_against_brute_force(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(60)]
     sets = []
