@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marsad.functions import text as T
-from marsad.operators.ordering import numbered
+from marsad.operators.ordering import placed
 from marsad.operators.similarity import jaccard_classes
 from marsad.plans.catalog import query
 from marsad.plans.explorer import CONV, MSG
-from marsad.plans.similar import close_sql
+from marsad.plans.similar import COPIED, close_sql
 from marsad.session import cut
 from marsad.tables import latest, load, role
 
@@ -24,9 +24,7 @@ def placed_messages(messages: DataFrame) -> DataFrame:
     All messages are numbered over all tasks and a chat's first number is taken off, so no chat is ranked in one task.
     """
     m = messages.select("message_id", "seed_index", "turn", role().alias("role"), "content").filter("seed_index is not null").dropDuplicates(["message_id"]).filter("role <> 'system'")
-    n = numbered(m, ["seed_index", "turn", "message_id"], "n")
-    first = n.groupBy("seed_index").agg(F.min("n").alias("first"))
-    return n.join(first, "seed_index").select("message_id", "seed_index", "role", "content", (F.col("n") - F.col("first")).alias("place"))
+    return placed(m, ["seed_index"], ["turn", "message_id"]).drop("turn")
 
 
 PLACED = f"p AS MATERIALIZED (SELECT message_id, seed_index, role, content, row_number() OVER (PARTITION BY seed_index ORDER BY turn, message_id) - 1 AS place FROM {MSG} WHERE role <> 'system' AND seed_index IS NOT NULL)"
@@ -35,8 +33,8 @@ ok AS (SELECT *, CASE WHEN place % 2 = 0 THEN 'user' ELSE 'assistant' END = role
 u AS (SELECT * FROM ok WHERE fine AND role = 'user'), a AS (SELECT ok.*, c.quality_policy.max_answer_words AS most, c.quality_policy.closing_offer_turn AS offer, c.grounding_mode, c.domain FROM ok JOIN c USING (seed_index) WHERE fine AND role = 'assistant'),
 link AS (SELECT message_id, seed_index, place, unnest(regexp_extract_all(content, '{URL}')) AS url FROM a),
 src AS (SELECT seed_index, unnest(from_json(sources, '[{{"url":"VARCHAR"}}]')).url AS url FROM c WHERE json_valid(sources)),
-refs AS (SELECT DISTINCT unnest({T.shingles_sql('w', 12)}) AS gram FROM (SELECT {T.words_sql('assistant')} AS w FROM hybrid_references WHERE assistant IS NOT NULL)),
-own AS (SELECT seed_index, place, unnest({T.shingles_sql('w', 12)}) AS gram FROM (SELECT seed_index, place, {T.words_sql('content')} AS w FROM a)),
+refs AS (SELECT DISTINCT unnest({T.shingles_sql('w', COPIED)}) AS gram FROM (SELECT {T.words_sql('assistant')} AS w FROM hybrid_references WHERE assistant IS NOT NULL)),
+own AS (SELECT seed_index, place, unnest({T.shingles_sql('w', COPIED)}) AS gram FROM (SELECT seed_index, place, {T.words_sql('content')} AS w FROM a)),
 {close_sql("SELECT message_id AS id, seed_index, content FROM ok WHERE fine AND role = 'assistant'", T.words_sql("content"), 5, 0.72, "seed_index")},
 issues AS (SELECT seed_index, place, 'wrong role or blank' AS issue FROM ok WHERE NOT fine
 UNION SELECT seed_index, place, 'first question changed' FROM u JOIN c USING (seed_index) WHERE place = 0 AND content IS DISTINCT FROM first_question
@@ -72,7 +70,7 @@ def message_issues_of(messages: DataFrame, conversations: DataFrame, references:
     first = norm.groupBy("seed_index", "norm").agg(F.min("place").alias("first"))
     links = a.select("seed_index", "place", F.explode(F.regexp_extract_all("content", F.lit(URL), F.lit(0))).alias("url"))
     sources = c.select("seed_index", F.explode(F.from_json("sources", "array<struct<url:string>>")).alias("s")).select("seed_index", F.col("s.url").alias("url"))
-    grams = lambda df, col: T.with_shingles(df, F.col(col), 12, "grams").withColumn("gram", F.explode("grams"))
+    grams = lambda df, col: T.with_shingles(df, F.col(col), COPIED, "grams").withColumn("gram", F.explode("grams"))
     theirs = grams(references.filter("assistant is not null"), "assistant").select("gram").distinct()
     own = T.with_shingles(answers.select(F.col("message_id").alias("id"), "seed_index", "place", "content"), F.col("content"), 5, "grams")
     close = jaccard_classes(own.select("id", F.transform("grams", lambda g: F.concat(F.col("seed_index").cast("string"), F.lit(" "), g)).alias("tokens")), 0.72)

@@ -32,12 +32,18 @@ def conversation_rows(messages: DataFrame) -> DataFrame:
     )
 
 
-def page(rows: DataFrame, search: str = "", domain: str = "all", order: str = "dataset", number: int = 0, size: int = 100) -> DataFrame:
-    """Filter, sort and cut one page; ``filtered`` is the number of rows that pass the filter."""
-    hay = F.lower(F.concat_ws(" ", "request", "domain"))
+def page(rows: DataFrame, search: str = "", domain: str = "all", status: str = "all", order: str = "dataset", number: int = 0, size: int = 100) -> DataFrame:
+    """Filter, sort and cut one page; ``filtered`` is the number of rows that pass the filter.
+
+    The search is for a part of request, scenario and domain, without case; status is pass, flagged or
+    all, a missing verdict being neither.
+    """
+    hay = F.lower(F.concat_ws(" ", "request", "scenario", "domain"))
     keep: Column = hay.contains(search.lower())
     if domain != "all":
         keep = keep & (F.col("domain") == domain)
+    if status != "all":
+        keep = keep & F.col("screening_passed").eqNullSafe(status == "pass")
     found = rows.filter(keep)
     total = found.agg(F.count("*").alias("filtered"))
     sort = {"dataset": [F.col("seed_index")], "longest": [F.desc("max_reply_words"), F.col("seed_index")], "shortest": [F.asc("max_reply_words"), F.col("seed_index")]}[order]
@@ -49,9 +55,16 @@ def conversation_index(spark, sf):
     return conversation_rows(load(spark, sf, "messages"))
 
 
-@query("explorer_page", f"WITH r AS ({ROWS}), f AS (SELECT * FROM r WHERE contains(lower(concat_ws(' ', request, domain)), 'the') AND domain = 'science') SELECT *, (SELECT count(*) FROM f) AS filtered FROM f ORDER BY max_reply_words DESC, seed_index LIMIT 100 OFFSET 0")
+@query(
+    "explorer_page",
+    f"""WITH r AS (SELECT r.*, s.scenario, c.screening_passed FROM ({ROWS}) r LEFT JOIN (SELECT seed_index, scenario FROM seed_pool QUALIFY row_number() OVER (PARTITION BY seed_index ORDER BY ingested_at DESC) = 1) s USING (seed_index) LEFT JOIN {CONV} c USING (seed_index)),
+    f AS (SELECT * FROM r WHERE contains(lower(concat_ws(' ', request, scenario, domain)), 'the') AND screening_passed) SELECT *, (SELECT count(*) FROM f) AS filtered FROM f ORDER BY max_reply_words DESC, seed_index LIMIT 100 OFFSET 0""",
+)
 def explorer_page(spark, sf):
-    return page(conversation_rows(load(spark, sf, "messages")), "the", "science", "longest", -1)
+    s = latest(load(spark, sf, "seed_pool").select("seed_index", "scenario", "ingested_at"), "seed_index").drop("ingested_at")
+    c = latest(load(spark, sf, "conversations").select("seed_index", "screening_passed", "ingested_at"), "seed_index").drop("ingested_at")
+    rows = conversation_rows(load(spark, sf, "messages")).join(s, "seed_index", "left").join(c, "seed_index", "left")
+    return page(rows, "the", status="pass", order="longest", number=-1)
 
 
 @query(

@@ -56,11 +56,12 @@ def wide_options(spark, sf):
     return w.filter(F.col("answer_key").rlike("^[A-D]$")).select("item_no", F.size(options).alias("n_options"), answer_index(F.col("answer_key")).alias("gold"))
 
 
-@query("stripped_options", r"SELECT item_no, regexp_replace('b) ' || choices[1], '^\s*[a-z]\)\s*', '') = choices[1] AS same, replace(replace(choices[1], 'أ', 'ا'), 'إ', 'ا') AS unified FROM mcq_items WHERE len(choices) > 0")
+@query("stripped_options", r"SELECT item_no, i - 1 AS place, trim(regexp_replace(c, '^\s*[A-Za-zأ-ي]\s*[).]\s+', '')) AS option, replace(replace(trim(regexp_replace(c, '^\s*[A-Za-zأ-ي]\s*[).]\s+', '')), 'أ', 'ا'), 'إ', 'ا') AS unified FROM (SELECT item_no, unnest(choices) AS c, generate_subscripts(choices, 1) AS i FROM mcq_items) WHERE c IS NOT NULL")
 def stripped_options(spark, sf):
-    """An option without its marker, and with one form of alef."""
-    c = F.col("choices")[0]
-    return load(spark, sf, "mcq_items").filter(F.size("choices") > 0).select("item_no", (F.regexp_replace(F.concat(F.lit("b) "), c), r"^\s*[a-z]\)\s*", "") == c).alias("same"), F.translate(c, "أإ", "اا").alias("unified"))
+    """All options without the marker that some of them have, and with one form of alef."""
+    option = F.trim(F.regexp_replace("c", r"^\s*[A-Za-zأ-ي]\s*[).]\s+", ""))
+    i = load(spark, sf, "mcq_items").select("item_no", F.posexplode("choices").alias("place", "c")).filter("c is not null")
+    return i.select("item_no", "place", option.alias("option"), F.translate(option, "أإ", "اا").alias("unified"))
 
 
 @query(

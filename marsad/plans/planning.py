@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marsad.functions import text as T
-from marsad.operators.ordering import apportion, family_split, numbered, sample_key
+from marsad.operators.ordering import apportion, family_split, numbered, placed, sample_key
 from marsad.plans.catalog import query
 from marsad.plans.similar import SEEDS
 from marsad.tables import latest, load
@@ -157,7 +157,7 @@ def theta_reference_match(spark, sf):
 )
 def baseline_left_join(spark, sf):
     """Every seed with the last conversation of the same normalized question, if any."""
-    s = latest(load(spark, sf, "seed_pool"), "seed_index").select("seed_index", T.normalized(F.col("question")).alias("norm"))
+    s = latest(load(spark, sf, "seed_pool").select("seed_index", "question", "ingested_at"), "seed_index").select("seed_index", T.normalized(F.col("question")).alias("norm"))
     b = load(spark, sf, "conversations").filter("first_question is not null").groupBy(T.normalized(F.col("first_question")).alias("norm")).agg(F.max("seed_index").alias("baseline"))
     return s.join(b, "norm", "left").select("seed_index", "baseline")
 
@@ -174,7 +174,8 @@ def seed_plan(spark, sf):
     """Quota-planned seeds: seats by domain, a seeded choice within it, depths in turn."""
     w = load(spark, sf, "topics").filter("domain is not null").groupBy(F.col("domain").alias("key")).agg(F.count("*").cast("double").alias("weight"))
     quota = apportion(w, 300).select(F.col("key").alias("domain"), "quota")
-    s = latest(load(spark, sf, "seed_pool"), "seed_index").select("domain", "seed_index")
-    r = F.row_number().over(Window.partitionBy("domain").orderBy(sample_key(3, F.col("seed_index"))))
+    s = latest(load(spark, sf, "seed_pool").select("domain", "seed_index", "ingested_at"), "seed_index").filter("domain is not null")
+    # all seeds are numbered over all tasks, so no domain is ranked in one
+    r = placed(s.select("domain", "seed_index", sample_key(3, F.col("seed_index")).alias("key")), ["domain"], ["key"])
     depths = F.array(*(F.lit(x) for x in ("short", "long", "mixed")))
-    return s.withColumn("r", r).join(quota, "domain").filter("r <= quota").select("domain", "seed_index", (F.col("r") - 1).cast("long").alias("ordinal"), F.element_at(depths, ((F.col("r") - 1) % 3 + 1).cast("int")).alias("depth"))
+    return r.join(F.broadcast(quota), "domain").filter("place < quota").select("domain", "seed_index", F.col("place").alias("ordinal"), F.element_at(depths, (F.col("place") % 3 + 1).cast("int")).alias("depth"))

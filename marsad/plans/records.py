@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marsad.functions import text as T
+from marsad.operators.ordering import placed
 from marsad.plans.catalog import query
 from marsad.plans.explorer import CONV, MSG
 from marsad.sources import readers as R
@@ -31,16 +31,16 @@ def distinct_pages(spark, sf):
 
 @query(
     "foreign_links",
-    f"""WITH l AS (SELECT message_id, seed_index, unnest(regexp_extract_all(content, 'https?://[^\\s)\\]>]+')) AS link FROM {MSG} WHERE role = 'assistant' AND content IS NOT NULL),
-    s AS (SELECT seed_index, unnest(from_json(sources, '[{{"url":"VARCHAR"}}]')).url AS url FROM {CONV} WHERE json_valid(sources))
-    SELECT message_id, rtrim(link, '/') AS link FROM l WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.seed_index = l.seed_index AND rtrim(s.url, '/') = rtrim(l.link, '/'))""",
+    f"""WITH s AS (SELECT seed_index, unnest(from_json(sources, '[{{"url":"VARCHAR"}}]')).url AS url FROM {CONV} WHERE json_valid(sources)), a AS (SELECT DISTINCT rtrim(url, '/') AS url FROM evidence_pages)
+    SELECT seed_index, rtrim(url, '/') AS link, {HOST} AS host, {HOST} IN (SELECT {HOST} FROM evidence_pages WHERE url IS NOT NULL) AS known_host FROM s WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.url = rtrim(s.url, '/'))""",
 )
 def foreign_links(spark, sf):
-    """Links of answers that are not among the sources of their chat."""
-    m = load(spark, sf, "messages").select("message_id", "seed_index", role().alias("role"), "content").dropDuplicates(["message_id"]).filter("role = 'assistant'")
-    l = m.select("message_id", "seed_index", F.explode(T.links(F.col("content"))).alias("link")).withColumn("link", T.canonical_url(F.col("link")))
-    s = latest(load(spark, sf, "conversations"), "seed_index").select("seed_index", F.explode(F.from_json("sources", "array<struct<url:string>>")).alias("s")).select("seed_index", T.canonical_url(F.col("s.url")).alias("link"))
-    return l.join(s, ["seed_index", "link"], "left_anti").select("message_id", "link")
+    """Sources of a chat that are no page of the evidence, in canonical form, and whether their host is known there."""
+    s = latest(load(spark, sf, "conversations").select("seed_index", "sources", "ingested_at"), "seed_index").select("seed_index", F.explode(F.from_json("sources", "array<struct<url:string>>")).alias("s"))
+    l = s.filter("s.url is not null").select("seed_index", T.canonical_url(F.col("s.url")).alias("link"))
+    p = load(spark, sf, "evidence_pages").filter("url is not null").select(T.canonical_url(F.col("url")).alias("link")).distinct()
+    hosts = p.select(T.host(F.col("link")).alias("host"), F.lit(True).alias("known")).distinct()
+    return l.join(p, "link", "left_anti").withColumn("host", T.host(F.col("link"))).join(hosts, "host", "left").select("seed_index", "link", "host", F.coalesce("known", F.lit(False)).alias("known_host"))
 
 
 @query("evidence_supported", f"SELECT page_id, {T.word_count_sql('content')} >= 5 AND contains(regexp_replace({T.fold_sql('page_text')}, '\\s+', ' ', 'g'), regexp_replace({T.fold_sql('content')}, '\\s+', ' ', 'g')) AS supported FROM {PAGES} WHERE content IS NOT NULL AND page_text IS NOT NULL")
@@ -134,12 +134,13 @@ def json_props(spark, sf):
 LOG = "SELECT user_id, event_id, event_type = 'purchase' AS final, sha256(user_id::varchar || ':' || event_id::varchar) AS sampler, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM events"
 
 
-@query("checkpoint_selection", f"WITH l AS ({LOG}), k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY place) AS taken FROM l WHERE place % 5 = 0) SELECT user_id, event_id, 'step-' || left(sampler, 12) AS checkpoint_id FROM k WHERE taken <= 3")
+@query("checkpoint_selection", f"WITH l AS ({LOG}) SELECT user_id, event_id, 'step-' || left(sampler, 12) AS checkpoint_id FROM l WHERE (place % 5 = 0 AND place <= 15) OR final")
 def checkpoint_selection(spark, sf):
-    """Every fifth entry of each log, at most three."""
-    e = load(spark, sf, "events").select("user_id", "event_id", "ts", F.sha2(F.concat_ws(":", "user_id", "event_id"), 256).alias("sampler"))
-    place = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return e.withColumn("place", place).filter("place % 5 = 0 and place <= 15").select("user_id", "event_id", F.concat(F.lit("step-"), F.substring("sampler", 1, 12)).alias("checkpoint_id"))
+    """Every fifth entry of each log, at most three, and every final one; entries are numbered over all tasks."""
+    e = load(spark, sf, "events").select("user_id", "event_id", "ts", (F.col("event_type") == "purchase").alias("final"))
+    n = placed(e, ["user_id"], ["ts", "event_id"]).withColumn("n", F.col("place") + 1)
+    sampler = F.sha2(F.concat_ws(":", "user_id", "event_id"), 256)
+    return n.filter("(n % 5 = 0 and n <= 15) or final").select("user_id", "event_id", F.concat(F.lit("step-"), F.substring(sampler, 1, 12)).alias("checkpoint_id"))
 
 
 @query("transcript_roles", "WITH d AS (SELECT doc_id, text FROM documents WHERE regexp_matches(text, '(?m)^(User|Assistant|المستخدم|المساعد):')) SELECT doc_id, len(regexp_extract_all(text, '(?m)^(User|المستخدم):')) AS n_user, len(regexp_extract_all(text, '(?m)^(Assistant|المساعد):')) AS n_assistant FROM d")

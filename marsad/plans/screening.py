@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marsad.functions import text as T
+from marsad.operators.ordering import placed
 from marsad.plans.catalog import query
 from marsad.plans.explorer import CONV, MSG
 from marsad.tables import latest, load, role
@@ -61,20 +62,19 @@ def issue_counts(spark, sf):
 
 @query(
     "alternation_violations",
-    f"""WITH m AS (SELECT seed_index, turn, role FROM {MSG} WHERE role <> 'system'), p AS (SELECT seed_index, turn, role, lag(role) OVER (PARTITION BY seed_index ORDER BY turn) AS before FROM m)
-    SELECT seed_index, count(*) AS n FROM p WHERE role = before OR (before IS NULL AND role <> 'user') GROUP BY seed_index""",
+    f"""WITH m AS (SELECT seed_index, turn, role FROM {MSG} WHERE role <> 'system' AND trim(coalesce(content, '')) <> ''), p AS (SELECT seed_index, turn, role, lag(role) OVER (PARTITION BY seed_index ORDER BY turn) AS before FROM m)
+    SELECT seed_index, count(*) AS n FROM p WHERE seed_index IS NOT NULL AND (role = before OR (before IS NULL AND role <> 'user')) GROUP BY seed_index""",
 )
 def alternation_violations(spark, sf):
-    """Chats in which a role follows itself, or which an assistant begins.
+    """Chats in which, among messages with text, a role follows itself, or which an assistant begins.
 
-    Neighbours meet in an equi-join on the turn before, so no window runs over a long chat.
+    Messages are numbered over all tasks, and neighbours meet in an equi-join on the number before, so no window runs over a long chat.
     """
-    m = turns(spark, sf).filter("role <> 'system'").select("seed_index", "turn", "role")
-    before = m.select("seed_index", (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"))
-    first = m.groupBy("seed_index").agg(F.min("turn").alias("first"))
-    p = m.join(before, ["seed_index", "turn"], "left").join(first, "seed_index")
-    bad = (F.col("role") == F.col("before")) | ((F.col("turn") == F.col("first")) & (F.col("role") != "user"))
-    return p.filter(bad).groupBy("seed_index").agg(F.count("*").alias("n"))
+    m = turns(spark, sf).filter("role <> 'system' and seed_index is not null").filter(F.trim(F.coalesce("content", F.lit(""))) != "")
+    p = placed(m.select("seed_index", "turn", "role"), ["seed_index"], ["turn"])
+    before = p.select("seed_index", (F.col("place") + 1).alias("place"), F.col("role").alias("before"))
+    bad = (F.col("role") == F.col("before")) | (F.col("before").isNull() & (F.col("role") != "user"))
+    return p.join(before, ["seed_index", "place"], "left").filter(bad).groupBy("seed_index").agg(F.count("*").alias("n"))
 
 
 @query("duplicate_user_turns", f"SELECT message_id FROM (SELECT message_id, row_number() OVER (PARTITION BY seed_index, {T.normalized_sql('content')} ORDER BY turn, message_id) AS r FROM {MSG} WHERE role = 'user' AND content IS NOT NULL) WHERE r > 1")

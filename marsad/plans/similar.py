@@ -101,22 +101,26 @@ SEEDS = "(SELECT * FROM seed_pool QUALIFY row_number() OVER (PARTITION BY seed_i
 
 @query("normalized_duplicates", f"SELECT norm, count(*) AS n_seeds, min(seed_index) AS first_seed FROM (SELECT seed_index, {T.normalized_sql('question')} AS norm FROM {SEEDS} WHERE question IS NOT NULL) GROUP BY norm HAVING count(*) > 1")
 def normalized_duplicates(spark, sf):
-    s = latest(load(spark, sf, "seed_pool"), "seed_index").filter("question is not null")
+    s = latest(load(spark, sf, "seed_pool").select("seed_index", "question", "ingested_at"), "seed_index").filter("question is not null")
     return s.groupBy(T.normalized(F.col("question")).alias("norm")).agg(F.count("*").alias("n_seeds"), F.min("seed_index").alias("first_seed")).filter("n_seeds > 1")
 
 
+#: Runs of so many words count as copied. The given tables share runs of eight words with references, and none of twelve.
+COPIED = 8
+
+
 @query(
-    "reference_overlap_12gram",
+    "reference_overlap",
     f"""WITH m AS (SELECT DISTINCT message_id, content FROM messages WHERE lower(trim(role)) = 'assistant' AND content IS NOT NULL),
-    a AS (SELECT message_id, unnest({T.shingles_sql('w', 12)}) AS gram FROM (SELECT message_id, {T.words_sql('content')} AS w FROM m)),
-    r AS (SELECT DISTINCT id, unnest({T.shingles_sql('w', 12)}) AS gram FROM (SELECT id, {T.words_sql('assistant')} AS w FROM hybrid_references WHERE assistant IS NOT NULL))
+    a AS (SELECT message_id, unnest({T.shingles_sql('w', COPIED)}) AS gram FROM (SELECT message_id, {T.words_sql('content')} AS w FROM m)),
+    r AS (SELECT DISTINCT id, unnest({T.shingles_sql('w', COPIED)}) AS gram FROM (SELECT id, {T.words_sql('assistant')} AS w FROM hybrid_references WHERE assistant IS NOT NULL))
     SELECT message_id, r.id AS reference_id, count(*) AS n_shared FROM a JOIN r USING (gram) GROUP BY ALL""",
 )
-def reference_overlap_12gram(spark, sf):
-    """Answers that share a run of twelve words with a style reference."""
+def reference_overlap(spark, sf):
+    """Answers that share a run of words with a style reference."""
     m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull()).select("message_id", "content").dropDuplicates(["message_id"])
-    a = T.with_shingles(m, F.col("content"), 12, "grams").select("message_id", F.explode("grams").alias("gram"))
-    r = T.with_shingles(load(spark, sf, "hybrid_references").filter("assistant is not null"), F.col("assistant"), 12, "grams").select(F.col("id").alias("reference_id"), F.explode("grams").alias("gram")).distinct()
+    a = T.with_shingles(m, F.col("content"), COPIED, "grams").select("message_id", F.explode("grams").alias("gram"))
+    r = T.with_shingles(load(spark, sf, "hybrid_references").filter("assistant is not null"), F.col("assistant"), COPIED, "grams").select(F.col("id").alias("reference_id"), F.explode("grams").alias("gram")).distinct()
     return a.join(r, "gram").groupBy("message_id", "reference_id").agg(F.count("*").alias("n_shared"))
 
 
@@ -145,15 +149,15 @@ def novel_seeds(spark, sf):
 
 @query(
     "near_dup_earlier_answer",
-    "WITH " + close_sql("SELECT message_id AS id, any_value(family_id) AS family_id, any_value(content) AS content FROM messages WHERE lower(trim(role)) = 'assistant' AND content IS NOT NULL AND family_id IS NOT NULL GROUP BY message_id", T.words_sql("content"), 5, THRESHOLD, "family_id")
+    "WITH " + close_sql("SELECT message_id AS id, any_value(domain) AS domain, any_value(content) AS content FROM messages WHERE lower(trim(role)) = 'assistant' AND content IS NOT NULL AND domain IS NOT NULL GROUP BY message_id", T.words_sql("content"), 5, THRESHOLD, "domain")
     + " SELECT k.id AS message_id, min(z.other) AS first_message FROM k JOIN z USING (rep) GROUP BY k.id HAVING min(z.other) < k.id",
 )
 def near_dup_earlier_answer(spark, sf):
-    """Answers whose runs of five words repeat an earlier answer of their own family of chats."""
-    m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull() & F.col("family_id").isNotNull())
-    m = m.select(F.col("message_id").alias("id"), "family_id", "content").dropDuplicates(["id"])
-    # the family is part of the token, so a family of any size is joined on its rarest runs like a corpus
+    """Answers whose runs of five words repeat an earlier answer of their own domain."""
+    m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull() & F.col("domain").isNotNull())
+    m = m.select(F.col("message_id").alias("id"), "domain", "content").dropDuplicates(["id"])
+    # the domain is part of the token, so a domain of any size is joined on its rarest runs like a corpus
     grams = T.with_shingles(m, F.col("content"), 5, "grams")
-    c = jaccard_classes(grams.select("id", F.transform("grams", lambda w: F.concat("family_id", F.lit(" "), w)).alias("tokens")), THRESHOLD)
+    c = jaccard_classes(grams.select("id", F.transform("grams", lambda w: F.concat("domain", F.lit(" "), w)).alias("tokens")), THRESHOLD)
     first = c.both_ways().groupBy("rep").agg(F.min("other").alias("first_message"))
     return c.members.join(first, "rep").filter("first_message < id").select(F.col("id").alias("message_id"), "first_message")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marsad.functions import text as T
-from marsad.operators.ordering import numbered, sample_key
+from marsad.operators.ordering import numbered, placed, sample_key
 from marsad.plans.catalog import query
 from marsad.plans.explorer import CONV
 from marsad.plans.planning import key_sql
@@ -26,21 +26,28 @@ def pages(spark, sf) -> DataFrame:
     return latest(load(spark, sf, "evidence_pages"), "page_id")
 
 
-@query("seed_facts", f"SELECT s.seed_index, count(*) AS facts, count(DISTINCT p.url) AS used_sources, sum(length(p.content))::bigint AS chars, min(p.page_id) AS first_page FROM {SOURCES} s JOIN {PAGES} p ON p.url = s.url WHERE p.content IS NOT NULL AND p.fetch_error IS NULL GROUP BY s.seed_index")
+CHAT_HOSTS = f"(SELECT DISTINCT seed_index, {HOST} AS host FROM {SOURCES})"
+
+
+def chat_hosts(spark, sf) -> DataFrame:
+    return chat_sources(spark, sf).select("seed_index", T.host(F.col("url")).alias("host")).distinct()
+
+
+@query("seed_facts", f"WITH p AS (SELECT page_id, {HOST} AS host, content FROM {PAGES} WHERE content IS NOT NULL AND fetch_error IS NULL), k AS (SELECT host, count(*) AS facts, sum(length(content))::bigint AS chars, min(page_id) AS first_page FROM p GROUP BY host) SELECT s.seed_index, sum(k.facts)::bigint AS facts, count(*) AS used_sources, sum(k.chars)::bigint AS chars, min(k.first_page) AS first_page FROM {CHAT_HOSTS} s JOIN k USING (host) GROUP BY s.seed_index")
 def seed_facts(spark, sf):
-    """Each chat's source list exploded and joined to the snippets of its pages, summed up per chat."""
-    p = pages(spark, sf).filter("content is not null and fetch_error is null").select("page_id", "url", F.length("content").alias("chars"))
-    j = chat_sources(spark, sf).join(p, "url")
-    return j.groupBy("seed_index").agg(F.count("*").alias("facts"), F.count_distinct("url").alias("used_sources"), F.sum("chars").alias("chars"), F.min("page_id").alias("first_page"))
+    """Each chat's list of sources exploded and joined to the packs of their hosts, a pack being all snippets of a host, summed up before the join."""
+    p = pages(spark, sf).filter("content is not null and fetch_error is null").select("page_id", T.host(F.col("url")).alias("host"), F.length("content").alias("chars"))
+    packs = p.groupBy("host").agg(F.count("*").alias("facts"), F.sum("chars").alias("chars"), F.min("page_id").alias("first_page"))
+    return chat_hosts(spark, sf).join(packs, "host").groupBy("seed_index").agg(F.sum("facts").alias("facts"), F.count("*").alias("used_sources"), F.sum("chars").alias("chars"), F.min("first_page").alias("first_page"))
 
 
-@query("chats_without_evidence", f"SELECT c.seed_index, count(s.url) AS sources FROM {CONV} c LEFT JOIN {SOURCES} s USING (seed_index) WHERE NOT EXISTS (SELECT 1 FROM {SOURCES} t JOIN {PAGES} p ON p.url = t.url WHERE t.seed_index = c.seed_index AND p.page_text IS NOT NULL) GROUP BY c.seed_index")
+@query("chats_without_evidence", f"SELECT c.seed_index, count(s.host) AS sources FROM {CONV} c LEFT JOIN {CHAT_HOSTS} s USING (seed_index) WHERE NOT EXISTS (SELECT 1 FROM {CHAT_HOSTS} t JOIN {PAGES} p ON {HOST} = t.host WHERE t.seed_index = c.seed_index AND p.page_text IS NOT NULL) GROUP BY c.seed_index")
 def chats_without_evidence(spark, sf):
-    """Chats none of whose sources is a page with text: what a guard on missing evidence must reject."""
-    s = chat_sources(spark, sf)
-    had = s.join(pages(spark, sf).filter("page_text is not null").select("url"), "url", "left_semi").select("seed_index")
+    """Chats none of whose sources' hosts has a page with text: what a guard on missing evidence must reject."""
+    s = chat_hosts(spark, sf)
+    had = s.join(pages(spark, sf).filter("page_text is not null").select(T.host(F.col("url")).alias("host")).distinct(), "host", "left_semi").select("seed_index")
     c = load(spark, sf, "conversations").select("seed_index").distinct().join(had, "seed_index", "left_anti")
-    return c.join(s, "seed_index", "left").groupBy("seed_index").agg(F.count("url").alias("sources"))
+    return c.join(s, "seed_index", "left").groupBy("seed_index").agg(F.count("host").alias("sources"))
 
 
 def first_match(left: DataFrame, right: DataFrame, key: str, order: str) -> DataFrame:
@@ -171,17 +178,6 @@ def split_shuffle(spark, sf):
     return placed(d, ["split"], ["key"]).select("doc_id", "split", "place")
 
 
-def placed(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """Number the rows of each group from 0 in an order: all rows are numbered over all tasks, less the group's first number."""
-    n = numbered(df, [*group, *order], "_n")
-    first = n.groupBy(*group).agg(F.min("_n").alias("_first"))
-    same = None
-    for c in group:
-        test = F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
-        same = test if same is None else same & test
-    return n.alias("x").join(first.alias("y"), same).select(*(F.col(f"x.{c}") for c in df.columns), (F.col("x._n") - F.col("y._first")).alias("place"))
-
-
 @query("family_members", f"SELECT family_id, seed_index, row_number() OVER (PARTITION BY family_id ORDER BY seed_index) - 1 AS place, count(*) OVER (PARTITION BY family_id) AS size FROM {CONV} WHERE family_id IS NOT NULL")
 def family_members(spark, sf):
     """Chats grouped by family: each with its place in its family and the family's size, no family gathered in one place."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,8 @@ def local_session(cpus: int | None = None, partitions: int | None = None) -> Spa
         .config("spark.sql.shuffle.partitions", str(partitions or n))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # checkpoints go when the tables that stand on them are no longer referred to
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("MARSAD_DRIVER_MEMORY", "8g"))
@@ -36,6 +40,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="marsad-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     sc.setCheckpointDir(named)
     return named
 

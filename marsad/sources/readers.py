@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import html.parser
+import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,34 +83,20 @@ def ledger(spark: SparkSession, path: str) -> DataFrame:
     return r.select("stage", F.col("raw.usage.cost").cast("decimal(38,12)").alias("cost"), "raw.usage.prompt_tokens", "raw.usage.completion_tokens", F.try_to_timestamp("created_at").alias("created_at"))
 
 
-class _Visible(html.parser.HTMLParser):
-    HIDDEN = {"script", "style", "noscript"}
+# a comment, a hidden element up to its end, any other tag, in this order of trial
+_MARKUP = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|</?[a-z!?](?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
+#: A page's text is cut at so many characters.
+PAGE_CHARACTERS = 28_000
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
-        self.depth = 0
 
-    def handle_starttag(self, tag, attrs):
-        self.depth += tag in self.HIDDEN
+def visible_text(markup: str | None, most: int = PAGE_CHARACTERS) -> str | None:
+    """Text of a page without comments, scripts and styles, entities read, white space collapsed, cut at ``most`` characters.
 
-    def handle_endtag(self, tag):
-        if tag in self.HIDDEN and self.depth:
-            self.depth -= 1
-
-    def handle_data(self, data):
-        if not self.depth:
-            self.parts.append(data)
-
-
-def visible_text(markup: str | None, most: int = 28_000) -> str | None:
-    """Text of a page without scripts and styles, white space collapsed, cut at ``most`` characters."""
+    Markup is taken out in one pass, then entities are read, so that text about tags stays text. An element that never ends hides the rest.
+    """
     if markup is None:
         return None
-    p = _Visible()
-    p.feed(markup)
-    p.close()
-    return " ".join(" ".join(p.parts).split())[:most]
+    return " ".join(html.unescape(_MARKUP.sub(" ", markup)).split())[:most]
 
 
 def page_text(markup: Column) -> Column:
@@ -120,15 +107,94 @@ def page_text(markup: Column) -> Column:
     return F.pandas_udf(run, "string")(markup)
 
 
-def parse_transcript(text: Column) -> Column:
-    """Messages of a JSON list, of a transcript labelled in English or Arabic, or of a plain completion; null and blank give null."""
+# Role labels of transcripts in English and Arabic.
+ROLE_LABELS = {"user": "user", "assistant": "assistant", "system": "system", "المستخدم": "user", "المساعد": "assistant", "النظام": "system"}
+_LABEL = r"(?i)(?:^|\n)\s*(" + "|".join(ROLE_LABELS) + r")\s*:"
+
+
+def parse_transcript(text: Column, completion: bool = False) -> Column:
+    """Messages of a JSON list or of a labelled transcript; labels may be of any case and stand after blanks.
+
+    Other text is one answer where ``completion`` is set, else an error, as are null and blank. Text
+    before the first label belongs to no message.
+    """
     listed = F.from_json(text, f"array<{MESSAGE}>")
-    mark = r"(?m)^(User|Assistant|المستخدم|المساعد):[ \t]*"
-    marked = F.regexp_replace(text, mark, "\x1e$1\x1f")
+    marked = F.regexp_replace(text, _LABEL, "\x1e$1\x1f")
     pieces = F.filter(F.split(marked, "\x1e"), lambda p: p.contains("\x1f"))
-    labelled = F.transform(pieces, lambda p: F.struct(F.when(F.split_part(p, F.lit("\x1f"), F.lit(1)).isin("User", "المستخدم"), "user").otherwise("assistant").alias("role"), F.trim(F.regexp_replace(F.split_part(p, F.lit("\x1f"), F.lit(2)), r"\s+$", "")).alias("content")))
-    whole = F.array(F.struct(F.lit("assistant").alias("role"), F.trim(text).alias("content")))
-    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", None).when(F.size(listed) > 0, listed).when(text.rlike(mark), labelled).otherwise(whole)
+    names = F.create_map(*(F.lit(x) for pair in ROLE_LABELS.items() for x in pair))
+    # python's strip, which knows more white space than trim
+    stripped = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    labelled = F.transform(pieces, lambda p: F.struct(names[F.lower(F.split_part(p, F.lit("\x1f"), F.lit(1)))].alias("role"), stripped(F.split_part(p, F.lit("\x1f"), F.lit(2))).alias("content")))
+    whole = F.array(F.struct(F.lit("assistant").alias("role"), stripped(text).alias("content")))
+    wrong = lambda why: F.raise_error(F.lit(why)).cast(f"array<{MESSAGE}>")
+    other = whole if completion else wrong("neither a list of messages nor a labelled transcript")
+    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", wrong("an empty conversation")).when(F.size(listed) > 0, listed).when(text.rlike(_LABEL), labelled).otherwise(other)
+
+
+def indexed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(id, file, value): the lines of all files that are not blank, numbered from 0 by file and line, over all tasks.
+
+    Within a block of a file rows come in order, so (file, block, row) is the order of the lines.
+    """
+    from marsad.operators.ordering import numbered
+
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value")
+    return numbered(lines.filter(F.trim("value") != ""), ["file", "block", "row"], "id").select("id", "file", "value")
+
+
+def indexed_chats(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(id, file, chat columns, resolved) with dense ids in order of (file, line) over the lines that parse, and (file, malformed) counts."""
+    from marsad.operators.ordering import numbered
+
+    rows = indexed_lines(spark, path).filter(~F.col("file").contains(".passing."))
+    parsed = rows.select("id", "file", F.from_json("value", CHAT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r")).select("id", "file", "r.*")
+    bad = F.col("_corrupt_record").isNotNull()
+    good = parsed.filter(~bad).drop("_corrupt_record").withColumn("resolved", resolved_messages()).withColumnRenamed("id", "line")
+    counts = parsed.groupBy("file").agg(F.count_if(bad).alias("malformed"))
+    return numbered(good, ["line"], "id").drop("line"), counts
+
+
+def load_chats(spark: SparkSession, dataset: str, split: str | None = None) -> DataFrame:
+    """Chats of a dataset: a folder of splits in parquet where ``split`` names one, else JSON Lines read without parsing the messages."""
+    return read_opaque(spark, dataset) if split is None else spark.read.parquet(f"{dataset}/{split}")
+
+
+def sniffed(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Of ``discover``'s files those whose first line is a chat of one of the known shapes; only first lines are parsed."""
+    paths = [r.path for r in files.select("path").limit(10_001).collect()]
+    if len(paths) > 10_000:
+        raise ValueError("more than 10000 files")
+    if not paths:
+        return files
+    first = _first_lines(spark, paths)
+    chat = F.from_json("value", CHAT_SCHEMA)
+    shaped = first.select("path", chat.alias("r")).select("path", "r.*").filter(F.size(resolved_messages()) > 0).select("path")
+    return files.join(shaped, "path", "left_semi")
+
+
+def _first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value").filter(F.trim("value") != "")
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "row")).alias("value"))
+    # both sides name a file by the part of its address after the scheme
+    bare = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")
+    named = spark.createDataFrame([(p,) for p in paths], "path string")
+    return named.join(first, bare(F.col("path")) == bare(F.col("file"))).select("path", "value")
+
+
+def unresolved(spark: SparkSession, directory: str) -> DataFrame:
+    """(state, n): requests that were begun and not ended, by the ends of their files' names, ``.pending`` and ``.unresolved``."""
+    files = spark.read.format("binaryFile").load(directory).select(F.regexp_extract("path", r"\.(pending|unresolved)$", 1).alias("state"))
+    return files.filter("state <> ''").groupBy("state").agg(F.count("*").alias("n"))
+
+
+def total_cost(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One row with the decimal sum of the costs in several ledgers; folders that are not there add nothing."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    there = [p for p in paths if (h := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(h)]
+    out = spark.createDataFrame([], "cost decimal(38,12)")
+    for p in there:
+        out = out.unionByName(ledger(spark, p).select("cost"))
+    return out.agg(F.coalesce(F.sum("cost"), F.lit(0)).cast("decimal(38,12)").alias("cost"), F.count_if(F.col("cost").isNull()).alias("unknown"))
 
 
 def normalized_messages(messages: Column) -> Column:

@@ -57,7 +57,7 @@ def test_entry_works_without_the_training_text_queries(monkeypatch):
 
     def blocked(name, globals=None, locals=None, fromlist=(), level=0):
         if name.startswith("marsad.llm"):
-            raise ImportError(name)
+            raise ModuleNotFoundError(name, name=name)
         return real(name, globals, locals, fromlist, level)
 
     monkeypatch.setattr(builtins, "__import__", blocked)
