@@ -78,6 +78,15 @@ OTHER_LANGUAGE_WANTED = re.compile(
     r"(?i)ترجم|بالإنجليزي|بالانجليزي|للإنجليزي|للانجليزي|الإنجليزية|الانجليزية|بالفرنسي|للفرنسي|الفرنسية|بالعربي|للعربي|بالفارسي|بالتركي|بالأوردو|بالإسباني"
     r"|translat|in (?:english|arabic|french|spanish|turkish|persian|urdu|german)|into (?:english|arabic|french|spanish)|tradui|en (?:anglais|arabe|français|espagnol)"
 )
+# Pieces of which every wish for another language has one, in lower case; they are quicker to look for.
+_WANTED_PIECES = ("ترجم", "نجليزي", "فرنسي", "بالعربي", "للعربي", "فارسي", "تركي", "أوردو", "إسباني", "translat", "english", "arabic", "french", "spanish", "turkish", "persian", "urdu", "german", "tradui", "anglais", "arabe", "français", "espagnol")
+
+
+def other_language_wanted(prompt: str) -> bool:
+    low = prompt.lower()
+    return any(x in low for x in _WANTED_PIECES) and OTHER_LANGUAGE_WANTED.search(prompt) is not None
+
+
 _FENCE = re.compile(r"```.*?(?:```|\Z)|`[^`\n]*`", re.S)
 _CLAUSE = re.compile(r"[.!?؟،,;؛:\n。۔…]+")
 _STOP = ".!?؟。۔．…"
@@ -127,8 +136,8 @@ def script(text: str) -> str:
 def languages(words: list[str]) -> dict[str, float]:
     """The share of words that are frequent words of each language."""
     n = dict.fromkeys(_STOPS, 0)
-    for w in words:
-        for k in _LANGUAGES.get(w, ()):
+    for w in filter(_LANGUAGES.__contains__, words):
+        for k in _LANGUAGES[w]:
             n[k] += 1
     return {k: v / len(words) for k, v in n.items()} if words else {}
 
@@ -388,7 +397,7 @@ def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str
 
     # wrong language
     sa = script(shown)
-    if not prompt or OTHER_LANGUAGE_WANTED.search(prompt) or len(a) < 3 and sa in ("arabic", "latin", ""):
+    if not prompt or other_language_wanted(prompt) or len(a) < 3 and sa in ("arabic", "latin", ""):
         v["wrong_language"] = [NO, ABSTAIN, ABSTAIN]
     else:
         sq, lq, la = script(prompt), languages(bare_q), languages(bare_a)
