@@ -6,7 +6,7 @@ import re
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Option letters in order.
@@ -179,3 +179,25 @@ def fuzzy(reply: Column, references: Column) -> Column:
 def primary(metric: Column, bleu_: Column, rouge_l: Column, accuracy: Column) -> Column:
     """The score that counts for a metric; an unknown metric is an error."""
     return F.when(metric == "bleu", bleu_).when(metric == "rouge", rouge_l).when(metric == "accuracy", accuracy).otherwise(F.raise_error(F.concat(F.lit("unknown metric "), metric)).cast("double"))
+
+
+#: Scorers by name: (reply, references) -> score.
+SCORERS = {"bleu": bleu, "rouge": rouge_l, "accuracy": fuzzy, "rouge1": lambda p, r: rouge12(p, r)[0], "rouge2": lambda p, r: rouge12(p, r)[1]}
+
+
+def scorer(name: str):
+    """Register a scorer, a function of (reply, references) that gives a column."""
+
+    def add(f):
+        SCORERS[name] = f
+        return f
+
+    return add
+
+
+def scored(df: DataFrame, names: list[str], reply: str = "reply", references: str = "references") -> DataFrame:
+    """Add a column a scorer; an unknown name is an error before anything runs."""
+    unknown = [n for n in names if n not in SCORERS]
+    if unknown:
+        raise ValueError(f"no scorer named {', '.join(unknown)}")
+    return df.select("*", *(SCORERS[n](F.col(reply), F.col(references)).alias(n) for n in names))

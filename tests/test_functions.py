@@ -92,3 +92,15 @@ def test_text_scores(spark):
     assert out[4].b == 0 and out[5].r1 == 0 and out[5].f == 1.0  # case counts for words, not for the fuzzy match
     with pytest.raises(Exception, match="unknown metric"):
         df.select(S.primary(F.lit("other"), F.lit(1.0), F.lit(1.0), F.lit(1.0))).collect()
+
+
+def test_scorers_by_name(spark):
+    @S.scorer("same")
+    def same(reply, references):
+        return F.array_contains(references, reply).cast("int")
+
+    df = spark.createDataFrame([("a b", ["a b", "c"])], "reply string, references array<string>")
+    r = S.scored(df, ["same", "rouge1", "rouge2", "accuracy"]).first()
+    assert (r.same, r.rouge1, r.rouge2, r.accuracy) == (1, 1.0, 1.0, 1.0)
+    with pytest.raises(ValueError):
+        S.scored(df, ["none"])

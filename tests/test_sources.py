@@ -165,3 +165,38 @@ def test_exports(spark, tmp_path):
     assert (r.n, r.splits, r.categories) == (3, 2, 1)
     card = [x.value for x in spark.read.text(str(tmp_path / "r/card")).collect()]
     assert "| split | domain | n |" in card and "| train | law | 2 |" in card
+
+
+def test_benchmark_tables_of_several_shapes(spark):
+    from marsad.sources import benchmarks as B
+
+    wide = spark.createDataFrame([(1, "ctx", "q1", "a", "b", "", None, "B"), (2, " ", "q2", "a", None, "c", None, "?")], "row int, Context string, Question string, `Option 1` string, `Option 2` string, `Option 3` string, `Option 4` string, `Answer Key` string")
+    got = B.with_context(wide, ["row"], "s", [f"Option {i}" for i in range(1, 5)]).orderBy("id").collect()
+    assert [(r.id, r.input_text, r.choices, r.gold_index) for r in got] == [("id0", "ctx\n\nq1", ["a", "b"], 1), ("id1", "q2", ["a", "c"], None)]
+    nums = spark.createDataFrame([(5, "q", ["a", "b"], "1"), (6, "r", ["a"], None)], "row int, question string, choices array<string>, answer string")
+    assert [(r.id, r.gold_index) for r in B.with_numbers(nums, ["row"], "law").orderBy("id").collect()] == [("id-law-0", 1), ("id-law-1", None)]
+    exams = spark.createDataFrame([("Islamic Studies-1", "q", "1", "2", "3", "4", "C"), ("Islamic Studies-2", "q", "1", "2", "3", "4", "E"), ("Physics-1", "q", "1", "2", "3", "4", "A")], "id string, question string, A string, B string, C string, D string, answer string")
+    assert [(r.id, r.gold_index) for r in B.by_id_prefix(exams, "Islamic_Studies").collect()] == [("Islamic Studies-1", 2)]
+    trust = spark.createDataFrame([(1, "x y", "q", "أ) one", "ب) two", "ج) three", "ا "), (2, "z", "q", "one", "two", None, "ب")], "row int, Category string, Question string, A string, B string, C string, Answer string")
+    r = B.by_category(trust, ["row"], "x_y").first()
+    assert (r.choices, r.gold_index, r.id) == (["one", "two", "three"], 0, "id0")
+    with pytest.raises(Exception, match="without its letter"):
+        B.by_category(trust, ["row"], "z").collect()
+    free = spark.createDataFrame([("f1", "why", "c1", "because")], "id string, question string, candidates string, gold_answer string")
+    assert "why" in B.with_candidates(free).first().input_text
+
+
+def test_recipes_plans_and_targets(spark, tmp_path):
+    from marsad.sources import recipes as P
+
+    (tmp_path / "r.json").write_text(json.dumps({"jobs": [{"name": "a", "suite": "s"}, {"name": "a", "suite": "t"}, {"name": "../x", "suite": "s", "limit": 0}]}))
+    faults = P.recipe_faults(P.read_document(spark, str(tmp_path / "r.json")), {"s"})
+    assert faults == ["a: named twice", "a: unknown suite", "../x: not a plain folder name", "../x: limit below one"]
+    topics = spark.createDataFrame([("t1", 2), ("t1", 9), (None, None)], "topic_id string, exchanges int")
+    got = {r.fault: r.n for r in P.plan_faults(topics, 0, 1, {"exchanges": (1, 6), "concurrency": (1, 100), "attempts": (0, 2)}).collect()}
+    assert got == {"repeated topic": 1, "no topic": 1, "exchanges out of bounds": 2, "concurrency out of bounds": 1}
+    batch = lambda n: spark.range(n * 10, n * 10 + 10) if n < 5 else None
+    kept = P.until_target(batch, lambda d: d.filter("id % 3 = 0"), 6, str(tmp_path / "out"), "id")
+    assert [r.id for r in kept.collect()] == [0, 3, 6, 9, 12, 15]
+    with pytest.raises(ValueError):
+        P.until_target(lambda n: None, lambda d: d, 1, str(tmp_path / "none"), "id")
