@@ -65,7 +65,7 @@ error 0
 error 0 (page not found|the page you asked for was not found|not found|forbidden)
 0 (not found|forbidden|internal server error|bad gateway|service unavailable|gateway timeout|unauthorized|bad request|page not found)
 (internal server error|bad gateway|service unavailable|service temporarily unavailable|gateway timeout|access denied|permission denied|access forbidden|bad request)
-(the|this|that|requested|the requested|) (page|file|url|resource|address|document|article) (was not found|could not be found|cannot be found|can t be found|does not exist|doesn t exist|no longer exists|has been removed|has been deleted|has been moved|is not available|is unavailable|is missing)
+(the|this|that|requested|the requested|) (page|file|url|resource|address|document|article) (was not found|could not be found|cannot be found|can t be found|does not exist|doesn t exist|no longer exists|has been removed|has been deleted|has been moved|is not available|is unavailable)
 the page you (asked for|are looking for|requested|were looking for) (was not found|could not be found|does not exist|doesn t exist|is not here|has been removed|has moved)
 we (can t|cannot|could not|couldn t) find (the|that|this) page
 the requested url was not found on this server
@@ -198,6 +198,7 @@ MENU = """
 TALK = """
 how (do i|can i|do you|can you|to|would i) (enable|fix|solve|allow|handle|turn on|disable|debug|remove|avoid)
 what (does|is) (error|a 0|the error|this error|the message|placeholder text)
+(and|but|so|what) if (a|an|the|it|this|my|your|i|we)
 why (do i|does my|is my|does the|is the|do we) (get|see|page|site|browser|server)
 (error|code|message|status|notice) (means|tells you|appears when|shows up when|usually means|says that|was caused by)
 (is|are|was|were) caused by

@@ -31,7 +31,7 @@ def test_filler_alone_and_within():
 def test_notice_only_as_the_whole_value():
     for t in ["Error 404: the page you asked for was not found", "Home | Contact | About You need to enable scripts and cookies to run this app Site map", "خطأ 404: الصفحة المطلوبة غير موجودة", "فشل تحميل المحتوى [156855]", "الرئيسية | اتصل بنا هذا الموقع لا يعمل بدون تشغيل السكربتات وملفات الارتباط ©"]:
         assert kind(t) == "notice", t
-    for t in ["رقم 404 عند فريقنا يعني أن الصفحة نُقلت، والحل تحديث الرابط من لوحة التحكم.", "To turn scripts on in your browser open settings, then privacy, and flip the option there.", "Access denied. That is what the old guard said to all the people who came to the gate in the early morning of the feast.", "", "   "]:
+    for t in ["رقم 404 عند فريقنا يعني أن الصفحة نُقلت، والحل تحديث الرابط من لوحة التحكم.", "And if a config file is missing?", "What if the page is not found?", "To turn scripts on in your browser open settings, then privacy, and flip the option there.", "Access denied. That is what the old guard said to all the people who came to the gate in the early morning of the feast.", "", "   "]:
         assert kind(t) is None, t
 
 
