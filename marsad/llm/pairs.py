@@ -62,14 +62,14 @@ DECLINE_WORDS = set(forms.bare_words(
 ))
 # Courtesy around a refusal or an answer; such clauses neither help nor decline.
 COURTESY = re.compile(
-    r"^(?:عذرا|اسف|معليش|سامحني|للاسف|مع الاسف|الصراحه|اعتذر\w*|افهم طلبك|شكرا على|واتمنى تتفهم|اتمنى تتفهم|انصحك تسال|اسال مختص|راجع مختص|استشر|هل عندك سؤال|اقدر اساعدك في|الله يعطيك|جرب مصدر|حسب السياسه|يعطيك العافيه|تفضل|"
+    r"^(?:عذرا|اسف|معليش|سامحني|للاسف|مع الاسف|الصراحه|اعتذر(?:ت|لك|نا)?\b|افهم طلبك|شكرا على|واتمنى تتفهم|اتمنى تتفهم|انصحك تسال|اسال مختص|راجع مختص|استشر|هل عندك سؤال|اقدر اساعدك في|الله يعطيك|جرب مصدر|حسب السياسه|يعطيك العافيه|تفضل|"
     r"sorry|apologies|my apologies|unfortunately|regrettably|i m afraid|i am afraid|hmm|thanks for asking|thanks for the question|thank you|i understand|please (?:ask|consult|contact|see|speak)|ask (?:an?|your|someone)\b|consult|you may try|is there anything|happy to help|have a good|under the current policy|"
     r"désolé|je suis désolé|malheureusement|merci|je comprends|adressez vous|demandez à|consultez)"
 )
-# The first words of courtesy.
+# Words of which every courtesy above has one.
 COURTESY_WORDS = set(forms.bare_words(
-    "عذرا اسف معليش سامحني للاسف مع الصراحه اعتذر اعتذرلك اعتذاري افهم شكرا واتمنى اتمنى انصحك اسال راجع استشر هل اقدر الله جرب حسب يعطيك تفضل "
-    "sorry apologies my unfortunately regrettably i hmm thanks thank please ask an a your consult you is happy have under désolé je malheureusement merci adressez demandez consultez"
+    "عذرا اسف معليش سامحني للاسف الاسف الصراحه اعتذر اعتذرت اعتذرلك اعتذرنا افهم شكرا واتمنى اتمنى انصحك اسال راجع استشر عندك اساعدك يعطيك جرب السياسه العافيه تفضل "
+    "sorry apologies unfortunately regrettably afraid hmm thanks thank understand please ask consult may anything happy good policy désolé malheureusement merci comprends adressez demandez consultez"
 ))
 LEAD_INS = re.compile(
     r"^(?:سؤالك|تقصد|قصدك|تسال|انت تسال|تريد ان تعرف|تبي تعرف|تبغى تعرف|السؤال هو|السؤال عن|you mean|your question(?: is| was)?|you asked|you are asking|you re asking|so you re asking|you (?:want|would like|wish|need) to know|you re wondering|you wonder|the question (?:is|was)|votre question|vous demandez|vous voulez savoir|tu demandes|tu veux savoir|la question est)\b"
@@ -364,13 +364,13 @@ def numbers_alike(words: list[str], text: str) -> list[str]:
     return words if _DIGIT.search(text) is None else ["0" if w.isdigit() else w for w in words]
 
 
-def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str] | None = None, ids: Ids | None = None) -> dict[str, list[int]]:
+def votes(prompt: str | None, reply: str | None, frames: Frames, words: list[str] | None = None, ids: Ids | None = None, text: str | None = None) -> dict[str, list[int]]:
     """The labelling functions' votes for each defect; every list has a fixed length.
 
-    ``words`` are the bare words of the reply's consistent form without code, where the caller has them.
+    ``text`` is the reply's consistent form, ``words`` its bare words without code, where the caller has them.
     """
     ids = Ids() if ids is None else ids
-    text = forms.consistent(reply or "")
+    text = forms.consistent(reply or "") if text is None else text
     blank = _SHOWN.search(text) is None
     v = {"empty": [YES, YES if not any(unicodedata.category(c) == "So" for c in text) else ABSTAIN] if blank else [NO, ABSTAIN]}
     if blank:
@@ -567,10 +567,11 @@ def cast_votes(pairs: DataFrame, frames: Frames, idf: residue.Idf) -> DataFrame:
             left: list[bool] = []
             out: dict[str, list[int]] = {d: [] for d in DEFECTS}
             for p, r in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                words = forms.runs(forms.bare(without_code(forms.consistent(r)))) if r else []
+                text = forms.consistent(r) if r else ""
+                words = forms.runs(forms.bare(without_code(text)))
                 kind = residue.judge(r, exemplars, words=words if "`" not in r else None)[0] if r else None
                 left.append(kind is not None and not (kind == "slot" and p is not None and blanks.search(p) is not None))
-                for d, x in votes(p, r, shared.value, words, ids).items():
+                for d, x in votes(p, r, shared.value, words, ids, text).items():
                     out[d].append(code(x))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(left, pa.bool_()), *(pa.array(out[d], pa.int32()) for d in DEFECTS)], names=["record_table", "record_key", "residue", *DEFECTS])
 
