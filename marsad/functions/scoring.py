@@ -41,7 +41,9 @@ def split_words(c: Column) -> Column:
 
 
 def word_runs(w: Column, n: int) -> Column:
-    """All runs of n words, repeats included."""
+    """All runs of n words, repeats included, of a bound list of words."""
+    if n == 1:
+        return w
     runs = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
     return F.when(F.size(w) >= n, runs).otherwise(F.array().cast("array<string>"))
 

@@ -68,6 +68,19 @@ def with_shingles(df: DataFrame, text: Column, n: int, name: str) -> DataFrame:
     return df.withColumn(name, F.transform(F.array(words(text)), lambda w: shingles(w, n))[0])
 
 
+def with_hashed_runs(df: DataFrame, text: Column, n: int, name: str, *salt: Column) -> DataFrame:
+    """Add the 64-bit hashes of the distinct runs of n words of a text, with other columns in the hash where given; empty below n words.
+
+    No string is built for a run: its words are hashed where they stand.
+    """
+
+    def runs(w: Column) -> Column:
+        hashed = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(*salt, F.slice(w, i, n)))
+        return F.when(F.size(w) >= n, F.array_distinct(hashed)).otherwise(F.array().cast("array<bigint>"))
+
+    return df.withColumn(name, F.transform(F.array(words(text)), runs)[0])
+
+
 def shingles_sql(w: str, n: int) -> str:
     return f"list_distinct([array_to_string({w}[i:i + {n - 1}], ' ') for i in range(1, len({w}) - {n - 2})])"
 

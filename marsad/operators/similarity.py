@@ -30,14 +30,15 @@ class Close:
 
 
 def jaccard_classes(df: DataFrame, threshold: float) -> Close:
-    """(id, tokens array<string> of distinct tokens) -> sets at or above a threshold > 0.
+    """(id, tokens: array of distinct strings, or of their 64-bit hashes) -> sets at or above a threshold > 0.
 
     Sets are held as sorted 64-bit hashes, cut and stored once; equal sets collapse first. Tokens are
     ordered by how many sets have them; two similar sets share one of their rarest n - ceil(t * n) + 1
     tokens, so only those meet, and survivors are compared on their whole sets. Null and empty sets
     meet nothing and are no members. Ids must be unique.
     """
-    hashed = F.array_sort(F.transform("tokens", lambda t: F.xxhash64(t)))
+    strings = df.schema["tokens"].dataType.elementType.typeName() == "string"
+    hashed = F.sort_array(F.transform("tokens", lambda t: F.xxhash64(t)) if strings else F.col("tokens"))
     base = df.filter(F.size("tokens") > 0).select("id", hashed.alias("tokens")).withColumn("n", F.size("tokens"))
     base = cut(base.withColumn("h", F.xxhash64("tokens")).withColumn("g", F.xxhash64(F.lit(1), "tokens")))
     key = ["n", "h", "g"]

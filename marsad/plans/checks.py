@@ -72,8 +72,8 @@ def message_issues_of(messages: DataFrame, conversations: DataFrame, references:
     sources = c.select("seed_index", F.explode(F.from_json("sources", "array<struct<url:string>>")).alias("s")).select("seed_index", F.col("s.url").alias("url"))
     grams = lambda df, col: T.with_shingles(df, F.col(col), COPIED, "grams").withColumn("gram", F.explode("grams"))
     theirs = grams(references.filter("assistant is not null"), "assistant").select("gram").distinct()
-    own = T.with_shingles(answers.select(F.col("message_id").alias("id"), "seed_index", "place", "content"), F.col("content"), 5, "grams")
-    close = jaccard_classes(own.select("id", F.transform("grams", lambda g: F.concat(F.col("seed_index").cast("string"), F.lit(" "), g)).alias("tokens")), 0.72)
+    own = T.with_hashed_runs(answers.select(F.col("message_id").alias("id"), "seed_index", "content"), F.col("content"), 5, "tokens", F.col("seed_index"))
+    close = jaccard_classes(own.select("id", "tokens"), 0.72)
     at = close.members.join(answers.select(F.col("message_id").alias("id"), "seed_index", "place"), "id")
     earliest = at.groupBy("rep").agg(F.min("place").alias("first"))
     least = close.both_ways().join(earliest.toDF("other", "first"), "other").groupBy("rep").agg(F.min("first").alias("first"))

@@ -105,9 +105,8 @@ def runs_sql(n: int) -> str:
 )
 def rouge1_reply(spark, sf):
     """Word overlap of answers with a reference, where there is any."""
-    p = answer_pairs(spark, sf)
-    score = S.overlap_f1(S.split_words(F.col("content")), S.split_words(F.col("reference")), 1)
-    return p.select("message_id", F.round(score, 6).alias("rouge1")).filter("rouge1 > 0")
+    one, _ = S.rouge12(F.col("content"), F.array("reference"))
+    return answer_pairs(spark, sf).select("message_id", F.round(one, 6).alias("rouge1")).filter("rouge1 > 0")
 
 
 @query(

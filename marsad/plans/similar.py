@@ -33,7 +33,7 @@ def documents(spark, sf):
 
 
 def close_documents(spark, sf):
-    return jaccard_classes(T.with_shingles(documents(spark, sf), F.col("text"), 5, "tokens"), THRESHOLD)
+    return jaccard_classes(T.with_hashed_runs(documents(spark, sf), F.col("text"), 5, "tokens"), THRESHOLD)
 
 
 @query(
@@ -61,7 +61,7 @@ CLOSE = "WITH " + close_sql(f"SELECT doc_id AS id, created_at, text FROM documen
 
 def long_close(spark, sf):
     d = documents(spark, sf).filter(T.word_count(F.col("text")) >= 40)
-    return d, jaccard_classes(T.with_shingles(d, T.without_links(F.col("text")), 5, "tokens"), THRESHOLD)
+    return d, jaccard_classes(T.with_hashed_runs(d, T.without_links(F.col("text")), 5, "tokens"), THRESHOLD)
 
 
 @query("repetition_first_wins", CLOSE + " SELECT k.id AS doc_id, min(z.other) AS first_doc FROM k JOIN z USING (rep) GROUP BY k.id HAVING min(z.other) < k.id")
@@ -157,7 +157,6 @@ def near_dup_earlier_answer(spark, sf):
     m = load(spark, sf, "messages").filter((role() == "assistant") & F.col("content").isNotNull() & F.col("domain").isNotNull())
     m = m.select(F.col("message_id").alias("id"), "domain", "content").dropDuplicates(["id"])
     # the domain is part of the token, so a domain of any size is joined on its rarest runs like a corpus
-    grams = T.with_shingles(m, F.col("content"), 5, "grams")
-    c = jaccard_classes(grams.select("id", F.transform("grams", lambda w: F.concat("domain", F.lit(" "), w)).alias("tokens")), THRESHOLD)
+    c = jaccard_classes(T.with_hashed_runs(m, F.col("content"), 5, "tokens", F.col("domain")).select("id", "tokens"), THRESHOLD)
     first = c.both_ways().groupBy("rep").agg(F.min("other").alias("first_message"))
     return c.members.join(first, "rep").filter("first_message < id").select(F.col("id").alias("message_id"), "first_message")
